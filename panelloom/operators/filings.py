@@ -104,9 +104,8 @@ def new_rows(
     map-side, so a key repeated any number of times stays cheap, and the anti join
     sees distinct keys only.
     """
-    rest = [name for name in batch.columns if name not in keys]
-    ordering = F.struct(*order, *[name for name in rest if name not in order])
-    first = batch.groupBy(*keys).agg(F.min_by(F.struct(*rest), ordering).alias("_row"))
+    ranked = [*order, *[name for name in batch.columns if name not in {*keys, *order}]]
+    first = batch.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_row"))
     return (
         first.join(manifest.select(*keys), list(keys), "left_anti")
         .select(*keys, "_row.*")

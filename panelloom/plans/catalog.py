@@ -62,24 +62,24 @@ def placebo_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of HTML pages."""
-    pages = inputs.table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = inputs.texts(spark, sf_dir, "pages").select("page_id", "html")
     return tx.with_html_text(pages, "html").drop("html")
 
 
 @query
 def fast_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with tags stripped only."""
-    pages = inputs.table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = inputs.texts(spark, sf_dir, "pages").select("page_id", "html")
     return tx.with_stripped_text(pages, "html").drop("html")
 
 
 @query
 def filing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw bytes of pages and documents, each by its own route, as text."""
-    pages = inputs.table(spark, sf_dir, "pages").select(
+    pages = inputs.texts(spark, sf_dir, "pages").select(
         F.concat(F.lit("page-"), "page_id").alias("file"), F.col("html").alias("raw")
     )
-    documents = inputs.table(spark, sf_dir, "documents").select(
+    documents = inputs.texts(spark, sf_dir, "documents").select(
         F.concat(F.lit("document-"), "doc_id").alias("file"), F.col("text").alias("raw")
     )
     files = pages.unionByName(documents).select("file", F.encode("raw", "UTF-8").alias("content"))
@@ -89,7 +89,7 @@ def filing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def latin1_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latin-1 bytes of all pages, read back: UTF-8 first, else Latin-1."""
-    pages = inputs.table(spark, sf_dir, "pages")
+    pages = inputs.texts(spark, sf_dir, "pages")
     latin = F.regexp_replace("html", "[^\u0000-ÿ]", "?")
     content = F.encode(latin, "ISO-8859-1")
     return pages.select("page_id", tx.bytes_to_text(content).alias("text"))
@@ -98,7 +98,7 @@ def latin1_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def preprocess_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NFKC and collapsed white space."""
-    documents = inputs.table(spark, sf_dir, "documents")
+    documents = inputs.texts(spark, sf_dir, "documents")
     return documents.select("doc_id", tx.preprocess(F.col("text")).alias("text"))
 
 
@@ -242,7 +242,7 @@ def bootstrap_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def filings_transpose(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Struct-of-arrays histories of documents and conversations, one row per filing."""
     recent = inputs.lines_as_batches(
-        inputs.table(spark, sf_dir, "documents"), ["doc_id"], "source"
+        inputs.texts(spark, sf_dir, "documents"), ["doc_id"], "source"
     )
     older = inputs.lines_as_batches(
         inputs.table(spark, sf_dir, "conversations"), ["conv_id", "turn"], "role"

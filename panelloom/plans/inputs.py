@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelloom.functions import identifiers as ids
 from panelloom.operators import mapping as maps
+from panelloom.sources.scans import spread
 
 # The default keywords are absent from the shared documents.
 KEYWORDS = ("that", "with", "the of", "in the")
@@ -27,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One shared table of long texts or heavy rows, spread over all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def pad(number: Column | str, width: int) -> Column:
     """Zero-padded number that is never cut."""
     return F.format_string(f"%0{width}d", number)
@@ -34,7 +40,7 @@ def pad(number: Column | str, width: int) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents: the firm is the source, years cycle with the id."""
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("document_id"),
         ids.firm_id(ticker=F.col("source")).alias("firm_id"),
         F.upper("source").alias("ticker"),
@@ -142,7 +148,7 @@ def lines_as_manifest(lines: DataFrame) -> DataFrame:
 
 def line_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as manifest rows."""
-    return lines_as_manifest(table(spark, sf_dir, "lineitem"))
+    return lines_as_manifest(texts(spark, sf_dir, "lineitem"))
 
 
 def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +156,7 @@ def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.col("page_id")
     year = (F.lit(2015) + page % 7).cast("int")
     url = F.col("url")
-    return table(spark, sf_dir, "pages").select(
+    return texts(spark, sf_dir, "pages").select(
         ids.firm_id(cik=page).alias("firm_id"),
         F.concat(F.lit("P"), page).alias("ticker"),
         page.cast("string").alias("cik"),
@@ -179,7 +185,7 @@ def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = F.concat(pad(page, 10), pad(page % 97, 2), F.lit("000001"))
     landed = F.concat_ws("/", F.lit(LANDING), page.cast("string"), folder, document)
     stored = F.concat(F.lit("/archive/"), page)
-    return table(spark, sf_dir, "pages").select(
+    return texts(spark, sf_dir, "pages").select(
         F.when(url.contains("/en/"), landed)
         .when(url.contains("/es/"), F.concat(F.lit("/lost/"), page))
         .otherwise(stored)
@@ -251,7 +257,7 @@ def controls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("c_custkey", F.lit(".0")).alias("cik"),
         years,
         F.col("c_acctbal").alias("at"),
-        F.round(F.col("c_acctbal") / 100, 2).alias("roa"),
+        (F.col("c_acctbal") / 100).alias("roa"),
         F.col("c_nationkey").alias("sic"),
         F.col("c_custkey").cast("double").alias("emp"),
         F.col("c_name").alias("conm"),

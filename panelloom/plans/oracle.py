@@ -25,12 +25,13 @@ def _strip(text: str) -> str:
 
 
 def _unescape(text: str) -> str:
+    # All of these names also count without their semicolon.
     entities = {
-        "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "''", "&copy;": "©", "&reg;": "®",
-        "&middot;": "·", "&nbsp;": " ", "&amp;": "&",
+        "lt": "<", "gt": ">", "quot": '"', "copy": "©", "reg": "®", "middot": "·", "nbsp": " ",
+        "amp": "&",
     }
     for entity, char in entities.items():
-        text = f"replace({text}, '{entity}', '{char}')"
+        text = f"regexp_replace({text}, '&{entity};?', '{char}', 'g')"
     return text
 
 
@@ -408,7 +409,7 @@ FROM ({_orders(_KNOWN[0])}) a FULL OUTER JOIN ({_lines(_KNOWN[1])}) b USING (fir
 ORACLE["panel_controls"] = f"""WITH {_MAPPING}, controls AS (
   SELECT '00' || c_custkey AS compustat_gvkey, {_pad('c_custkey')} AS cik,
          CAST(y AS INTEGER) AS year, c_acctbal AS compustat_at,
-         round(c_acctbal / 100, 2) AS compustat_roa, c_nationkey AS compustat_sic,
+         c_acctbal / 100 AS compustat_roa, c_nationkey AS compustat_sic,
          CAST(c_custkey AS DOUBLE) AS compustat_emp, c_name AS conm, c_mktsegment AS tic
   FROM customer, unnest(range(1995, 2002)) AS years(y))
 SELECT p.*, m.cik, compustat_gvkey, compustat_at, compustat_roa, compustat_sic, compustat_emp,
@@ -506,7 +507,7 @@ FROM customer WHERE c_acctbal >= 0"""
 
 ORACLE["controls_scan"] = f"""
 SELECT '00' || c_custkey AS gvkey, {_pad('c_custkey')} AS cik, CAST(y AS INTEGER) AS year,
-       c_acctbal AS at, round(c_acctbal / 100, 2) AS roa, c_nationkey AS sic,
+       c_acctbal AS at, c_acctbal / 100 AS roa, c_nationkey AS sic,
        CAST(c_custkey AS DOUBLE) AS emp, c_name AS conm, c_mktsegment AS tic
 FROM customer, unnest(range(1995, 2002)) AS years(y)"""
 

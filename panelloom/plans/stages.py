@@ -77,7 +77,7 @@ def extract_features(
     """Documents to firm-year features; no documents give an empty typed table."""
     documents = scans.read_stage_if_exists(spark, documents_path, schemas.DOCUMENTS)
     return sinks.write_stage(
-        features.attention_firm_year(documents, keywords, source),
+        features.attention_firm_year(scans.spread(documents), keywords, source),
         features_path, "features", source, "attention", metadata_path,
     )
 
@@ -107,7 +107,7 @@ def draw_sample(
     keywords: Sequence[str] | None = None,
 ) -> None:
     """Documents to the two files of a blind labelling sample."""
-    documents = scans.read_stage(spark, documents_path)
+    documents = scans.spread(scans.read_stage(spark, documents_path))
     sample = sampling.generate_sample(documents, keywords, sample_size)
     sinks.write_blind_sample(sample, labeling_path, scores_path)
 

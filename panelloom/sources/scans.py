@@ -20,6 +20,17 @@ def _is_missing_path(error: AnalysisException) -> bool:
     return (error.getCondition() or "") == "PATH_NOT_FOUND"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores for costly work on a scan that yields only a few tasks.
+
+    A file with one row group is one task however large the cluster. A scan planned
+    into no more tasks than there are cores holds at most one split of data per core,
+    so moving its rows costs little; any larger scan is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() <= cores else scan
+
+
 def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A stage table in Parquet, with its declared schema when given."""
     reader = spark.read.schema(schema) if schema else spark.read
