@@ -24,11 +24,9 @@ def stable_hash(value: Column, length: int = HASH_HEX) -> Column:
 
 
 def _padded(number: Column) -> Column:
-    # lpad would cut longer numbers, so they are left alone.
+    # lpad cuts to the given width, so the width follows longer numbers.
     digits = number.cast("string")
-    return F.when(F.length(digits) >= CIK_DIGITS, digits).otherwise(
-        F.lpad(digits, CIK_DIGITS, "0")
-    )
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(CIK_DIGITS)), F.lit("0"))
 
 
 def normalize_cik(cik: Column, strict: bool = True) -> Column:
@@ -69,8 +67,7 @@ def normalize_identifier(kind: str, value: Column) -> Column:
 
 
 def _non_blank(value: Column) -> Column:
-    text = strip(value.cast("string"))
-    return F.when(text != "", text)
+    return F.nullif(strip(value.cast("string")), F.lit(""))
 
 
 def firm_id(

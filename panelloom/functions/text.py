@@ -81,8 +81,13 @@ def collapse_whitespace(text: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    """Number of white-space separated pieces (0 for null)."""
-    counted = F.regexp_count(text, F.lit(rf"(?U)[^{_WS}]++"))
+    """Number of white-space separated pieces (0 for null).
+
+    Each piece and the space around it shrinks to one character and those are counted:
+    a long text never becomes an array with one string per token.
+    """
+    shrunk = F.regexp_replace(text, rf"(?U)[{_WS}]*+[^{_WS}]++[{_WS}]*+", ".")
+    counted = F.when(text.rlike(rf"(?U)[^{_WS}]"), F.char_length(shrunk))
     return F.coalesce(counted, F.lit(0)).cast("bigint")
 
 

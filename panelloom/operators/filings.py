@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelloom import schemas
 from panelloom.functions import identifiers as ids
 from panelloom.functions import text as tx
+from panelloom.operators.joins import lookup_join
 
 # Fixed values -------------------------------------------------------------
 FORM_TYPES = ("10-K", "10-Q")
@@ -100,14 +101,17 @@ def new_rows(
 ) -> DataFrame:
     """Batch rows whose key the manifest lacks, one per key: the first by ``order``.
 
-    The batch is reduced to one row per key before the join. That aggregate combines
-    map-side, so a key repeated any number of times stays cheap, and the anti join
-    sees distinct keys only.
+    The batch is reduced to one row per key before the join, so a key repeated any
+    number of times shrinks to one row per task ahead of the shuffle, and the join
+    reads that shuffle. The join is a left join with a filter for that reason: Spark
+    would move an anti join below the aggregate, where the repeats are.
     """
     ranked = [*order, *[name for name in batch.columns if name not in {*keys, *order}]]
     first = batch.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_row"))
+    known = manifest.select(*keys).distinct().withColumn("_known", F.lit(True))
     return (
-        first.join(manifest.select(*keys), list(keys), "left_anti")
+        first.join(known, list(keys), "left")
+        .where(F.col("_known").isNull())
         .select(*keys, "_row.*")
         .select(*batch.columns)
     )
@@ -138,7 +142,7 @@ def rebuild_manifest(paths: DataFrame, mapping: DataFrame) -> DataFrame:
         F.regexp_extract("path", _LANDED, 3).alias("primary_document"),
         F.col("path").alias("raw_path"),
     )
-    return landed.join(firms, "cik").select(
+    return lookup_join(landed, firms, "cik", "inner").select(
         F.col("_firm.firm_id").alias("firm_id"),
         F.col("_firm.ticker").alias("ticker"),
         "cik",

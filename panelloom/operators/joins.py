@@ -1,10 +1,10 @@
 """Joins that stay balanced when a few keys hold most of the rows.
 
-Inner, left and anti joins with the large table on the left need no help: with
-adaptive execution Spark splits a hot left partition and reads the matching right
-partition once per split, and it broadcasts the right side when its measured size
-allows. What adaptive execution cannot split is a full outer join and the right
-side of a left join. Both are treated here.
+With adaptive execution Spark splits a hot partition of an inner join, and one on
+the left of a left join, and reads the other side's partition once per split; it
+broadcasts a side when its measured size allows. Three cases it cannot split are
+treated here: a side that is an aggregate's own shuffle, the right side of a left
+join, and a full outer join.
 """
 
 from __future__ import annotations
@@ -33,6 +33,21 @@ def _others(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [name for name in df.columns if name not in keys]
 
 
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join facts to a lookup with one row per ``key``.
+
+    There is no broadcast hint: Spark broadcasts the lookup when its size allows. A
+    lookup usually comes from an aggregate on the key, and a join that reads the
+    aggregate's shuffle cannot be split. The hash as a second key gives the lookup a
+    shuffle of its own, so a hot key among the facts can be.
+    """
+
+    def hashed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_hash", F.xxhash64(key))
+
+    return hashed(facts).join(hashed(lookup), [key, "_hash"], how).drop("_hash")
+
+
 def hot_keys(
     tables: Sequence[DataFrame], keys: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -143,12 +158,14 @@ def left_join(
     right: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
+    unique_keys: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join whose right side may repeat keys, some of them very often.
 
     A left row with a hot right key always finds a match. Those keys therefore go
-    through an inner join, which adaptive execution can split on both sides.
+    through an inner join, which adaptive execution can split on both sides. A right
+    side known to have one row per key (``unique_keys``) needs no such care.
     """
 
     def join(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
@@ -160,8 +177,8 @@ def left_join(
     matchable = right
     if not null_safe:
         matchable = right.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    hot = hot_keys([matchable], keys, hot_rows).select(*keys)
-    if hot.isEmpty():
+    hot = None if unique_keys else hot_keys([matchable], keys, hot_rows).select(*keys)
+    if hot is None or hot.isEmpty():
         return join(left, matchable, "left")
     on = _same("t", "h", keys, null_safe)
     small = F.broadcast(hot).alias("h")

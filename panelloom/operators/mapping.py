@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelloom import schemas
 from panelloom.functions import identifiers as ids
+from panelloom.operators.joins import lookup_join
 
 # Fixed value: the source label of bootstrapped rows.
 BOOTSTRAP_SOURCE = "sec_company_tickers"
@@ -101,7 +102,7 @@ def resolve_column(
     """
     lookup = lookup_table(mapping, kind, output)
     keyed = df.withColumn("_key", ids.normalize_identifier(kind, F.col(column))).drop(output)
-    return keyed.join(lookup, "_key", "left").drop("_key")
+    return lookup_join(keyed, lookup, "_key").drop("_key")
 
 
 def resolution_rate(resolved: DataFrame, output: str = "firm_id") -> DataFrame:
@@ -123,7 +124,7 @@ def bootstrap_mapping(universe: DataFrame, directory: DataFrame) -> DataFrame:
     by_ticker = directory.select(F.col("ticker").alias("_key"), F.col("cik"), F.col("title"))
     keyed = universe.drop("cik", "title").withColumn("_key", F.upper("ticker"))
     name = "company_name" if "company_name" in universe.columns else "title"
-    records = keyed.join(by_ticker, "_key").select(
+    records = lookup_join(keyed, by_ticker, "_key", "inner").select(
         "registered_seq",
         "cik",
         F.col("_key").alias("ticker"),
@@ -137,4 +138,4 @@ def bootstrap_unmatched(universe: DataFrame, directory: DataFrame) -> DataFrame:
     """Universe rows whose ticker the directory lacks."""
     known = directory.select(F.col("ticker").alias("_key"))
     keyed = universe.withColumn("_key", F.upper("ticker"))
-    return keyed.join(known, "_key", "left_anti").drop("_key")
+    return lookup_join(keyed, known, "_key", "left_anti").drop("_key")

@@ -102,8 +102,10 @@ def add_controls(
     """
     if "cik" in panel.columns:
         raise ValueError("panel already has a cik column")
-    keyed = left_join(panel, mapping.select("firm_id", "cik"), ["firm_id"], True, hot_rows)
+    # A mapping has one row per firm; controls may repeat a firm-year.
+    ciks = mapping.select("firm_id", "cik")
+    keyed = left_join(panel, ciks, ["firm_id"], null_safe=True, unique_keys=True)
     renamed = controls.withColumnsRenamed({c: f"{CONTROL_PREFIX}_{c}" for c in CONTROL_COLUMNS})
     clashes = set(renamed.columns) & set(keyed.columns) - {"cik", "year"}
     renamed = renamed.withColumnsRenamed({c: c + CLASH_SUFFIX for c in clashes})
-    return left_join(keyed, renamed, ["cik", "year"], True, hot_rows)
+    return left_join(keyed, renamed, ["cik", "year"], null_safe=True, hot_rows=hot_rows)

@@ -380,7 +380,7 @@ def panel_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").alias("year"),
         "o_orderkey",
     )
-    lines = inputs.table(spark, sf_dir, "lineitem").select(
+    lines = inputs.texts(spark, sf_dir, "lineitem").select(
         ids.firm_id(cik=F.col("l_suppkey")).alias("firm_id"),
         F.year("l_shipdate").alias("year"),
         "l_orderkey",

@@ -35,7 +35,8 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pad(number: Column | str, width: int) -> Column:
     """Zero-padded number that is never cut."""
-    return F.format_string(f"%0{width}d", number)
+    digits = (F.col(number) if isinstance(number, str) else number).cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

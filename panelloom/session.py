@@ -8,15 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime re-planning does the skew and partition-size work: reducers are merged
-# to the advisory size, hot partitions of inner, left and anti joins are split,
-# and a side is broadcast only when its measured size is under the threshold.
+# to the advisory size, hot partitions of joins are split,
+# and a side is broadcast only when its size is under Spark's own threshold.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.session.timeZone": "UTC",

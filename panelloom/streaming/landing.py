@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from panelloom import schemas
 from panelloom.operators import filings
-from panelloom.sources.scans import read_stage_if_exists
+from panelloom.sources.scans import read_stage_if_exists, spread
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
@@ -38,7 +38,8 @@ def append_stream(
 
     def append(batch: DataFrame, _epoch: int) -> None:
         spark = batch.sparkSession
-        rows = to_manifest(batch) if to_manifest else batch
+        landed = spread(batch)
+        rows = to_manifest(landed) if to_manifest else landed
         manifest = read_stage_if_exists(spark, manifest_path, schemas.MANIFEST)
         fresh = filings.new_rows(rows.select(*schemas.MANIFEST.names), manifest, order)
         fresh.write.mode("append").parquet(manifest_path)
