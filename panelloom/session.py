@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime re-planning does the skew and partition-size work: reducers are merged
-# to the advisory size, hot partitions of joins are split,
-# and a side is broadcast only when its size is under Spark's own threshold.
+# to the advisory size, hot partitions of joins are split, and a side is broadcast
+# only when its size is under Spark's own threshold.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

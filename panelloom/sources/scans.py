@@ -84,7 +84,7 @@ def parse_directory(documents: DataFrame, json: str = "value", order: str = "seq
 
 def read_directory(spark: SparkSession, path: str) -> DataFrame:
     """Ticker directory from landed JSON files."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return parse_directory(files.withColumn("seq", F.col("_metadata.file_path")))
 
 
@@ -131,11 +131,16 @@ def filings_as_columns(history: DataFrame) -> DataFrame:
     )
 
 
+def raw_file_rows(files: DataFrame) -> DataFrame:
+    """Path and content of a binary file scan or stream, Parquet files left out."""
+    path = F.regexp_replace("path", "^file:/+", "/")
+    return files.select(path.alias("path"), "content").where(~F.col("path").endswith(".parquet"))
+
+
 def read_raw_files(spark: SparkSession, root: str) -> DataFrame:
     """Landed raw files: path and content. Selecting only the path reads no content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    path = F.regexp_replace("path", "^file:/+", "/")
-    return files.select(path.alias("path"), "content").where(~F.col("path").endswith(".parquet"))
+    return raw_file_rows(files)
 
 
 def read_controls(spark: SparkSession, path: str) -> DataFrame:

@@ -9,16 +9,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from panelloom import schemas
 from panelloom.operators import filings
-from panelloom.sources.scans import read_stage_if_exists, spread
+from panelloom.sources.scans import raw_file_rows, read_stage_if_exists, spread
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
     """Stream of raw files under a folder; each file is seen once per checkpoint."""
-    return (
+    files = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", True)
         .load(root)
     )
+    return raw_file_rows(files)
 
 
 def append_stream(
