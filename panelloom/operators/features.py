@@ -14,24 +14,47 @@ from panelloom.functions import text as tx
 FEATURE_SOURCE = "sec_filings"
 
 
-def document_features(
-    documents: DataFrame, keywords: Sequence[str] = tx.DEFAULT_KEYWORDS
+def with_measures(
+    df: DataFrame, keywords: Sequence[str] = tx.DEFAULT_KEYWORDS, text: str = "text"
 ) -> DataFrame:
-    """Keyword and token counts per document. One projection over the text column.
+    """Add keyword and token counts of a text column.
 
     The keyword search runs once per text; every count derives from its result.
     """
-    text, hits = F.col("text"), F.col("__hits")
+    hits = F.col("__hits")
     mentions = F.size(hits).cast("bigint")
-    return documents.withColumn("__hits", tx.keyword_hits(text, keywords)).select(
-        "document_id",
-        "firm_id",
-        F.col("fiscal_year").alias("year"),
-        mentions.alias("ai_mention_count"),
-        tx.total_tokens(text, keywords).alias("total_tokens"),
-        mentions.alias("ai_token_count"),
-        (mentions > 0).alias("has_ai_mention"),
-        F.array_sort(F.array_distinct(F.transform(hits, F.lower))).alias("matched_keywords"),
+    return (
+        df.withColumn("__hits", tx.keyword_hits(F.col(text), keywords))
+        .withColumns(
+            {
+                "ai_mention_count": mentions,
+                "total_tokens": tx.total_tokens(F.col(text), keywords),
+                "ai_token_count": mentions,
+                "has_ai_mention": mentions > 0,
+                "matched_keywords": F.array_sort(
+                    F.array_distinct(F.transform(hits, F.lower))
+                ),
+            }
+        )
+        .drop("__hits")
+    )
+
+
+MEASURES = (
+    "ai_mention_count",
+    "total_tokens",
+    "ai_token_count",
+    "has_ai_mention",
+    "matched_keywords",
+)
+
+
+def document_features(
+    documents: DataFrame, keywords: Sequence[str] = tx.DEFAULT_KEYWORDS
+) -> DataFrame:
+    """Keyword and token counts per document. One projection over the text column."""
+    return with_measures(documents, keywords).select(
+        "document_id", "firm_id", F.col("fiscal_year").alias("year"), *MEASURES
     )
 
 

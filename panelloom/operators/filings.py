@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelloom import schemas
 from panelloom.functions import identifiers as ids
 from panelloom.functions import text as tx
+from panelloom.operators import features
 from panelloom.operators.joins import lookup_join
 
 # Fixed values -------------------------------------------------------------
@@ -190,31 +191,53 @@ def locate_files(manifest: DataFrame, paths: DataFrame, root: str) -> DataFrame:
     return located.where(F.col("raw_path").isNotNull()).select(*manifest.columns)
 
 
-def standardize(
-    manifest: DataFrame, files: DataFrame, root: str, content: str = "content"
-) -> DataFrame:
-    """Document records of all manifest rows whose file is there.
-
-    ``files`` has ``path`` and the raw bytes. Bytes become text in the scan, before
-    any shuffle; the joins that find each file see path strings only.
-    """
+def document_records(manifest: DataFrame, paths: DataFrame, root: str) -> DataFrame:
+    """Document records without their text, of all manifest rows whose file is there."""
     keyed = manifest.withColumn("cik", ids.normalize_file_cik(F.col("cik")))
-    located = locate_files(keyed, files.select("path"), root)
-    texts = tx.with_filing_text(files.select("path", content), content).select(
-        F.col("path").alias("raw_path"), "text"
-    )
-    return texts.join(located, "raw_path").select(
-        ids.document_id(
-            F.col("cik"), F.col("accession_number"), F.col("primary_document")
-        ).alias("document_id"),
+    cik, accession = F.col("cik"), F.col("accession_number")
+    return locate_files(keyed, paths, root).select(
+        ids.document_id(cik, accession, F.col("primary_document")).alias("document_id"),
         "firm_id",
         "cik",
         "ticker",
         "form_type",
         "filing_date",
-        fiscal_year(
-            F.col("fiscal_year"), F.col("filing_date"), F.col("accession_number")
-        ).alias("fiscal_year"),
-        "text",
+        fiscal_year(F.col("fiscal_year"), F.col("filing_date"), accession).alias("fiscal_year"),
         "raw_path",
     )
+
+
+def _parsed(files: DataFrame, content: str) -> DataFrame:
+    parsed = tx.with_filing_text(files.select("path", content), content)
+    return parsed.select(F.col("path").alias("raw_path"), "text")
+
+
+def standardize(
+    manifest: DataFrame, files: DataFrame, root: str, content: str = "content"
+) -> DataFrame:
+    """Document records with text.
+
+    ``files`` has ``path`` and the raw bytes. Bytes become text in the scan, before
+    any shuffle; the joins that find each file see path strings only.
+    """
+    records = document_records(manifest, files.select("path"), root)
+    return _parsed(files, content).join(records, "raw_path").select(*schemas.DOCUMENTS.names)
+
+
+def features_from_files(
+    manifest: DataFrame,
+    files: DataFrame,
+    root: str,
+    keywords: Sequence[str] = tx.DEFAULT_KEYWORDS,
+    content: str = "content",
+) -> DataFrame:
+    """Document features straight from raw files, when no documents table is wanted.
+
+    Texts are measured where they are read. Only the counts meet the manifest, so no
+    text is ever shuffled.
+    """
+    measured = features.with_measures(_parsed(files, content), keywords).drop("text")
+    records = document_records(manifest, files.select("path"), root)
+    return measured.join(records, "raw_path").select(
+        "document_id", "firm_id", F.col("fiscal_year").alias("year"), *features.MEASURES
+    )

@@ -330,6 +330,16 @@ def standardized_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def features_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Firm-years straight from the raw files of all pages."""
+    measured = filings.features_from_files(
+        inputs.page_manifest(spark, sf_dir), inputs.page_files(spark, sf_dir), inputs.LANDING,
+        inputs.KEYWORDS,
+    )
+    return features.firm_year_features(measured, inputs.PANEL_SOURCE)
+
+
 # -- panel -------------------------------------------------------------------------
 
 

@@ -342,6 +342,15 @@ SELECT cik || '_' || accession_number || '_' || document AS document_id, firm_id
        CASE WHEN contains(url, '/en/') THEN landed_path ELSE '/archive/' || page_id END AS raw_path
 FROM page_docs WHERE contains(url, '/en/') OR NOT contains(url, '/es/')"""
 
+ORACLE["features_from_files"] = f"""WITH {_PAGES}, counted AS (
+  SELECT firm_id, fiscal_year, document_id, len(hits) AS ai_mention_count,
+         len(hits) AS ai_token_count,
+         len(regexp_extract_all(text, '[^{_SPACE}]+')) AS total_tokens
+  FROM (SELECT firm_id, fiscal_year, page_id AS document_id, text, {_HITS} AS hits
+        FROM (SELECT *, {_routed('html')} AS text FROM page_docs
+              WHERE contains(url, '/en/') OR NOT contains(url, '/es/')))),
+{_FIRM_YEARS} SELECT * FROM firm_years"""
+
 # -- panel -------------------------------------------------------------------------
 
 ORACLE["to_firm_year"] = """

@@ -82,6 +82,26 @@ def extract_features(
     )
 
 
+def extract_features_from_files(
+    spark: SparkSession,
+    manifest_path: str,
+    root: str,
+    features_path: str,
+    metadata_path: str,
+    keywords: Sequence[str] = tx.DEFAULT_KEYWORDS,
+    source: str = features.FEATURE_SOURCE,
+) -> str:
+    """Manifest and raw files to firm-year features, without a documents table."""
+    manifest = scans.read_stage_if_exists(spark, manifest_path, schemas.MANIFEST)
+    measured = filings.features_from_files(
+        manifest, scans.read_raw_files(spark, root), root, keywords
+    )
+    return sinks.write_stage(
+        features.firm_year_features(measured, source), features_path, "features", source,
+        "attention", metadata_path,
+    )
+
+
 def build_panel(
     spark: SparkSession,
     feature_paths: Mapping[str, str],

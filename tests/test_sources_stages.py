@@ -161,6 +161,11 @@ def test_all_stages(spark, tmp_path):
     assert meta["intermediate"].row_count == 3 and meta["features"].row_count == 1
     assert meta["features"].created_at is not None and meta["features"].config_hash is None
 
+    stages.extract_features_from_files(
+        spark, at("manifest"), str(raw), at("direct"), at("meta2"))
+    direct, stored = (spark.read.parquet(at(n)).collect() for n in ("direct", "features"))
+    assert direct == stored
+
     stages.build_panel(spark, {"attention/sec": at("features"), "none": at("absent")}, at("panel"))
     panel = spark.read.parquet(at("panel"))
     row = panel.first()
