@@ -246,11 +246,13 @@ def with_keyword_excerpt(
 # -- markup ------------------------------------------------------------------------
 
 # One scan with the alternatives a tokenizer would try at each "<": comment, an
-# element whose content is dropped (an unclosed one runs to the end), any other tag.
-_DROPPED = ("script", "style", "noscript")
+# element whose text is no page text (an unclosed one runs to the end), a ruby
+# annotation, whose end tag is optional, or any other tag.
+_DROPPED = ("script", "style", "noscript", "template")
 HTML_MARKUP = (
     r"(?is)<!--.*?(?:-->|\z)"
     + "".join(rf"|<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in _DROPPED)
+    + r"|<r[tp]\b[^>]*>.*?(?=</?(?:rt|rp|ruby)\b|\z)"
     + r"""|</?[a-z][^'">]*+(?:(?:"[^"]*+"|'[^']*+')[^'">]*+)*+>"""
     + r"|</?[a-z][^>]*>|<[!?/][^>]*>"
 )

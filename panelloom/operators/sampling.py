@@ -32,11 +32,15 @@ _SLICES = 256
 _STRATUM = ("fiscal_year", "density_bin")
 
 
-def score_pool(
-    documents: DataFrame, keywords: Sequence[str] | None = None
-) -> DataFrame:
-    """Per document: mention count, density bin, excerpt and keyword prediction."""
+def score_pool(documents: DataFrame, keywords: Sequence[str] | None = None) -> DataFrame:
+    """Per document: mention count, density bin, excerpt and keyword prediction.
+
+    Ticker and form type are blank when the documents lack those columns.
+    """
     words = list(keywords or tx.DEFAULT_KEYWORDS)
+    for name in ("ticker", "form_type"):
+        if name not in documents.columns:
+            documents = documents.withColumn(name, F.lit(""))
     counted = documents.withColumn("ai_mention_count", tx.mention_count(F.col("text"), words))
     return tx.with_keyword_excerpt(counted, "text", words).select(
         "document_id",

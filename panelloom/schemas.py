@@ -22,8 +22,6 @@ def _table(spec: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[code], True) for name, code in fields])
 
 
-UNIVERSE = _table("ticker:s company_name:s sector:s")
-
 DIRECTORY = _table("ticker:s cik:s title:s")
 
 MAPPING = _table(

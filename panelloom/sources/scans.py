@@ -52,15 +52,10 @@ def read_stage_if_exists(
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
     """Firm universe CSV; lines starting with ``#`` and blank lines are skipped.
 
+    Columns follow the header, all as text, so a ticker like ``NA`` stays a ticker.
     Adds ``registered_seq``, the position in the file.
     """
-    frame = (
-        spark.read.option("comment", "#")
-        .option("header", True)
-        .option("enforceSchema", False)
-        .schema(schemas.UNIVERSE)
-        .csv(path)
-    )
+    frame = spark.read.option("comment", "#").option("header", True).csv(path)
     return frame.withColumn("registered_seq", F.monotonically_increasing_id())
 
 

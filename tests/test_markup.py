@@ -66,6 +66,9 @@ def test_html_cases(spark):
         "fish &chips & &; &#; &unknown;": "fish &chips & &; &#; &unknown;",
         "&AMP;&ampx;&copy2": "&&x;©2",
         "<!DOCTYPE html><?xml version='1'?><![CDATA[x]]>y": "y",
+        "<template>no <b>text</b></template>x": "x",
+        "<ruby>漢<rp>(</rp><rt>kan</rt><rp>)</rp></ruby>字": "漢 字",
+        "<ruby>a<rt>one<rp>two</ruby>b <rtc>c</rtc>": "a b c",
         "scripts <scripty>stay</scripty>": "scripts stay",
         "": "",
     }

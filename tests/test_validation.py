@@ -68,6 +68,11 @@ def test_no_documents(spark, documents):
         sampling.generate_sample(documents.limit(0))
 
 
+def test_missing_columns_are_blank(documents):
+    row = sampling.score_pool(documents.drop("ticker", "form_type")).first()
+    assert (row.ticker, row.form_type) == ("", "")
+
+
 def test_blind_files(spark, documents, tmp_path):
     sample = sampling.generate_sample(documents, ["end"], sample_size=30)
     labeling, scores = str(tmp_path / "labeling"), str(tmp_path / "scores")
