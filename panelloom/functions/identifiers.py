@@ -14,9 +14,10 @@ SAMPLE_ID_HEX = 12
 HASH_HEX = 16
 CIK_DIGITS = 10
 IDENTIFIER_TYPES = ("gvkey", "cik", "ticker", "cusip", "permno", "company_name")
-NO_IDENTIFIER = "At least one identifier is required to generate firm_id"
 # --------------------------------------------------------------------------
 
+_NO_IDENTIFIER = "a firm id needs at least one identifier"
+
 
 def stable_hash(value: Column, length: int = HASH_HEX) -> Column:
     """Leading hex digits of the SHA-256 of a string."""
@@ -99,9 +100,9 @@ def firm_id(
     if company_name is not None:
         seeds.append(F.concat(F.lit("name:"), F.upper(_non_blank(company_name))))
     if not seeds:
-        raise ValueError(NO_IDENTIFIER)
+        raise ValueError(_NO_IDENTIFIER)
     if on_missing == "raise":
-        seeds.append(F.raise_error(NO_IDENTIFIER).cast("string"))
+        seeds.append(F.raise_error(_NO_IDENTIFIER).cast("string"))
     digest = stable_hash(F.coalesce(*seeds), FIRM_ID_HEX)
     return F.concat(F.lit(FIRM_ID_PREFIX), digest)
 

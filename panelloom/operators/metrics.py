@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelloom.functions.text import strip
 
+
 def _ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top, bottom), F.lit(0.0))
 
@@ -18,14 +19,14 @@ def labelled_predictions(labels: DataFrame, scores: DataFrame | None = None) ->
     ``keyword_predicted`` themselves.
     """
     if "human_ai_mention" not in labels.columns:
-        raise ValueError("Labels file missing human_ai_mention column")
+        raise ValueError("labels have no human_ai_mention column")
     if scores is None:
         if "keyword_predicted" not in labels.columns:
-            raise ValueError("Scores are needed: labels carry no keyword_predicted column")
+            raise ValueError("give scores, or labels with a keyword_predicted column")
         pairs = labels
     else:
         if "sample_id" not in labels.columns or "sample_id" not in scores.columns:
-            raise ValueError("Labels and scores files must both include sample_id")
+            raise ValueError("labels and scores need a sample_id column")
         pairs = labels.select("sample_id", "human_ai_mention").join(
             scores.select("sample_id", "keyword_predicted"), "sample_id"
         )
@@ -68,6 +69,6 @@ def validation_metrics(labels: DataFrame, scores: DataFrame | None = None) -> Da
     metrics = confusion_metrics(pairs)
     return metrics.where(
         F.when(F.col("n_labeled") > 0, F.lit(True)).otherwise(
-            F.raise_error("No human labels found").cast("boolean")
+            F.raise_error("no row has a prediction and a label of 0 or 1").cast("boolean")
         )
     )

@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 
 # Fixed values -------------------------------------------------------------
 REQUIRED_COLUMNS = ("firm_id", "year")
+ALL_PRESENT = "All required columns present"
+MISSING_COLUMNS = "Missing: [%s]"
+DUPLICATE_ROWS = "Found %d duplicate firm_id-year rows"
+EMPTY_NO_DUPLICATES = "Empty panel; no duplicates"
+YEAR_RANGE = "Year range: %d-%d"
+NO_YEARS = "No year data to validate"
+NULL_FIRMS = "Found %d null firm_id values"
+EMPTY_PANEL = "Empty panel"
 FIRM_ID_PATTERN = "^OAA-"
 FIRST_YEAR = 1990
 COUNT_COLUMNS = ("document_count", "ai_mention_count", "total_tokens", "ai_token_count")
@@ -56,19 +64,16 @@ def quality_report(panel: DataFrame) -> DataFrame:
     empty = F.col("rows") == 0
     no_details = F.lit("{}")
     lacking = ", ".join(f"'{name}'" for name in missing)
-    cannot = F.lit(f"Missing: [{lacking}]")
+    cannot = F.lit(MISSING_COLUMNS % lacking)
     checks = [
         _check(
             "required_columns",
             F.lit(not missing),
-            cannot if missing else F.lit("All required columns present"),
+            cannot if missing else F.lit(ALL_PRESENT),
             _details(missing_columns=F.array(*map(F.lit, missing)).cast("array<string>")),
         )
     ]
 
-    def text(*parts: str | Column) -> Column:
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
     if missing:
         checks.append(_check("duplicate_keys", empty, cannot, no_details))
     else:
@@ -77,13 +82,11 @@ def quality_report(panel: DataFrame) -> DataFrame:
             _check(
                 "duplicate_keys",
                 n == 0,
-                F.when(empty, "Empty panel; no duplicates").otherwise(
-                    text("Found ", n, " duplicate firm_id-year rows")
-                ),
+                F.when(empty, EMPTY_NO_DUPLICATES).otherwise(F.format_string(DUPLICATE_ROWS, n)),
                 F.when(empty, no_details).otherwise(_details(duplicate_count=n)),
             )
         )
-    no_years = F.lit("No year data to validate")
+    no_years = F.lit(NO_YEARS)
     if "year" in missing:
         checks.append(_check("year_range", F.lit(True), no_years, no_details))
     else:
@@ -92,7 +95,7 @@ def quality_report(panel: DataFrame) -> DataFrame:
             _check(
                 "year_range",
                 F.lit(True),
-                F.when(low.isNull(), no_years).otherwise(text("Year range: ", low, "-", high)),
+                F.when(low.isNull(), no_years).otherwise(F.format_string(YEAR_RANGE, low, high)),
                 F.when(low.isNull(), no_details).otherwise(_details(min_year=low, max_year=high)),
             )
         )
@@ -104,7 +107,7 @@ def quality_report(panel: DataFrame) -> DataFrame:
             _check(
                 "null_firm_ids",
                 n == 0,
-                F.when(empty, "Empty panel").otherwise(text("Found ", n, " null firm_id values")),
+                F.when(empty, EMPTY_PANEL).otherwise(F.format_string(NULL_FIRMS, n)),
                 F.when(empty, no_details).otherwise(_details(null_count=n)),
             )
         )

@@ -109,7 +109,7 @@ def generate_sample(
 ) -> DataFrame:
     """Sample documents for labelling; no documents at all is an error."""
     if documents.isEmpty():
-        raise ValueError("No documents available for validation sampling")
+        raise ValueError("there are no documents to sample from")
     return stratified_sample(score_pool(documents, keywords), sample_size, seed)
 
 

@@ -17,7 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -144,11 +144,11 @@ def read_controls(spark: SparkSession, path: str) -> DataFrame:
         raw = spark.read.option("header", True).csv(path)
     except AnalysisException as error:
         if _is_missing_path(error):
-            raise FileNotFoundError(f"Controls file not found: {path}") from error
+            raise FileNotFoundError(f"no controls file at {path}") from error
         raise
     missing = sorted(set(CONTROL_REQUIRED) - set(raw.columns))
     if missing:
-        raise ValueError(f"Controls file missing required columns: {missing}")
+        raise ValueError(f"controls lack the columns {missing}")
     typed = raw.withColumns({name: F.col(name).cast(to) for name, to in CONTROL_TYPES.items()})
     return typed.withColumn("cik", ids.normalize_file_cik(F.col("cik"))).withColumnRenamed(
         "fyear", "year"

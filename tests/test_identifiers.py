@@ -85,9 +85,9 @@ def test_blank_identifiers_are_skipped(spark):
 def test_no_identifier(spark):
     nothing = [(None,) * 6]
     assert firm_ids(spark, nothing, on_missing="null") == [None]
-    with pytest.raises(Exception, match="At least one identifier"):
+    with pytest.raises(Exception, match="at least one identifier"):
         firm_ids(spark, nothing)
-    with pytest.raises(ValueError, match="At least one identifier"):
+    with pytest.raises(ValueError, match="at least one identifier"):
         ids.firm_id()
 
 

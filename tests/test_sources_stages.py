@@ -79,7 +79,7 @@ def test_controls(spark, tmp_path):
         "0000000005", 2023, 0.12, "TT")
     assert rows["002"].cik == "" and rows["002"].at is None
     path.write_text("gvkey,cik\n1,2\n")
-    with pytest.raises(ValueError, match="missing required columns"):
+    with pytest.raises(ValueError, match="controls lack"):
         scans.read_controls(spark, str(path))
     with pytest.raises(FileNotFoundError):
         scans.read_controls(spark, str(tmp_path / "absent.csv"))

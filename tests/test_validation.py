@@ -64,7 +64,7 @@ def test_rows_are_dropped_before_the_shuffle(documents):
 
 
 def test_no_documents(spark, documents):
-    with pytest.raises(ValueError, match="No documents"):
+    with pytest.raises(ValueError, match="no documents"):
         sampling.generate_sample(documents.limit(0))
 
 
@@ -82,7 +82,7 @@ def test_blind_files(spark, documents, tmp_path):
     assert hidden.columns == list(sampling.SCORE_COLUMNS)
     assert blind.count() == hidden.count() == 30
     assert blind.join(hidden, "sample_id").count() == 30
-    with pytest.raises(Exception, match="No human labels"):
+    with pytest.raises(Exception, match="no row has"):
         metrics.validation_metrics(blind, hidden).collect()
 
 
@@ -130,7 +130,7 @@ def test_errors(spark):
         metrics.validation_metrics(labels)
     with pytest.raises(ValueError, match="sample_id"):
         metrics.validation_metrics(labels, other.drop("sample_id"))
-    with pytest.raises(Exception, match="No human labels|No rows matched"):
+    with pytest.raises(Exception, match="no row has"):
         metrics.validation_metrics(labels, other).collect()
 
 
