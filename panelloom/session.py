@@ -9,12 +9,14 @@ from pyspark.sql import SparkSession
 
 # Runtime re-planning does the skew and partition-size work: reducers are merged
 # to the advisory size, hot partitions of joins are split, and a side is broadcast
-# only when its size is under Spark's own threshold.
+# only when its size is under Spark's own threshold. Where one side's partitions are
+# measured small, a hash join spares sorting the other side, which may carry texts.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
