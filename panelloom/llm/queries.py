@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import chat_tree, line_runs, mixing, pieces, url_rules
+from panelloom.llm import (
+    bloom_digest,
+    chat_tree,
+    chosen_path,
+    line_runs,
+    mixing,
+    passage_chunks,
+    pieces,
+    posting_lists,
+    quality,
+    url_rules,
+)
 from panelloom.llm.common import table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -148,3 +159,62 @@ ORACLE: dict[str, str] = {
             AS kept_sha256
         FROM marked GROUP BY doc_id""",
 }
+
+
+def op9_bloom_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every document and its edited text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bloom_digest.compare_with_next(spark, docs).withColumnRenamed("id", "doc_id")
+
+
+def op7_passage_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages of every document: spans that go and the documents that keep them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = passage_chunks.repeated_runs(spark, docs).withColumnRenamed("_id", "doc_id")
+    length = lambda spans: F.aggregate(
+        spans, F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["begin"]
+    )
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id",
+        F.coalesce(F.size("_shared"), F.lit(0)).alias("n_shared"),
+        F.coalesce(F.size("_drops"), F.lit(0)).alias("n_dropped"),
+        F.coalesce(length("_drops"), F.lit(0)).alias("dropped_bytes"),
+        F.coalesce("_firsts", F.array().cast("array<bigint>")).alias("first_doc_ids"),
+        F.coalesce("_drops", F.array().cast("array<struct<begin:bigint,end:bigint>>")).alias("spans"),
+    )
+
+
+def op10_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest of every vector whose id is divisible by 20."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return posting_lists.search(spark, rows, F.col("vec_id") % 20 == 0)
+
+
+QUERIES |= {
+    "op7_passage_chunks": op7_passage_chunks,
+    "op9_bloom_digest": op9_bloom_digest,
+    "op10_posting_lists": op10_posting_lists,
+}
+
+
+def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group and number of links of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chosen_path.join_documents(spark, docs).select(
+        F.col("_id").alias("doc_id"), "class_id", "copy_id", "n_copies", "n_links"
+    )
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score_documents(spark, docs.select("doc_id", "text"), labels)
+    return scored.select(
+        "_doc.doc_id",
+        quality.held_out(F.col("_doc.doc_id")).alias("held_out"),
+        F.col("_score").alias("score"),
+        F.when(F.col("_score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+QUERIES |= {"op3_chosen_path": op3_chosen_path, "op6_quality": op6_quality}
