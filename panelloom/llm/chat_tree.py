@@ -150,7 +150,8 @@ def format_tree(
     conversations = ends.join(places, ["_k1", "_k2"]).select(
         F.col("_conv").alias("conv"), "start", F.col("_depth").cast("bigint").alias("n_turns")
     )
-    return tree, conversations
+    # The tree is the output: it is written once and read from there.
+    return keep(spark, tree, "tree"), keep(spark, conversations, "conversations")
 
 
 def read_back(tree: DataFrame, conversations: DataFrame) -> DataFrame:
