@@ -29,6 +29,8 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             # The test tables are one small file each; smaller splits use all cores.
             "spark.sql.files.maxPartitionBytes": os.environ.get("BENCH_SPLIT", "128m"),
+            # The tables are one row group each: texts are dealt to all cores first.
+            "spark.panelloom.scanTasks": cpus,
             # Call-site capture slows plan building in Python.
             "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.ui.enabled": "false",

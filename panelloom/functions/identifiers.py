@@ -30,18 +30,24 @@ def _padded(number: Column) -> Column:
     return F.lpad(digits, F.greatest(F.length(digits), F.lit(CIK_DIGITS)), F.lit("0"))
 
 
+def whole_number(text: Column) -> Column:
+    """Text as a number; bad text raises whatever the session's ANSI setting. Null stays null."""
+    number = text.try_cast("bigint")
+    bad = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast("bigint")
+    return F.when(text.isNotNull() & number.isNull(), bad).otherwise(number)
+
+
 def normalize_cik(cik: Column, strict: bool = True) -> Column:
     """Zero-padded regulator id. Bad text raises, or is null when not strict. Null stays null."""
     text = strip(cik.cast("string"))
-    number = text.cast("bigint") if strict else text.try_cast("bigint")
-    return _padded(number)
+    return _padded(whole_number(text) if strict else text.try_cast("bigint"))
 
 
 def normalize_file_cik(cik: Column) -> Column:
     """Variant for files: cut at the first dot; missing, blank and ``nan`` give ``""``."""
     text = strip(F.substring_index(cik.cast("string"), ".", 1))
     blank = text.isNull() | (text == "") | (F.lower(text) == "nan")
-    return F.when(blank, F.lit("")).otherwise(_padded(F.when(~blank, text).cast("bigint")))
+    return F.when(blank, F.lit("")).otherwise(_padded(whole_number(F.when(~blank, text))))
 
 
 def unpadded_cik(cik: Column) -> Column:

@@ -27,7 +27,6 @@ DEFAULT_KEYWORDS = (
     "natural language processing",
     "computer vision",
 )
-LARGE_FILE_BYTES = 500_000
 EXCERPT_CHARS = 500
 # Density bins: name and the largest mention count still inside it.
 DENSITY_BINS = (("zero", 0), ("low", 5), ("medium", 20))
@@ -175,16 +174,6 @@ def total_tokens(text: Column, keywords: Sequence[str]) -> Column:
     return token_count(text) if clean_keywords(keywords) else F.lit(0).cast("bigint")
 
 
-def keyword_token_count(text: Column, keywords: Sequence[str]) -> Column:
-    """One token per match, whatever the keyword's length: equals the mention count."""
-    return mention_count(text, keywords)
-
-
-def matched_keywords(text: Column, keywords: Sequence[str]) -> Column:
-    """Distinct matches, lower-cased and sorted."""
-    return F.array_sort(F.array_distinct(F.transform(keyword_hits(text, keywords), F.lower)))
-
-
 # -- excerpts --------------------------------------------------------------------
 
 
@@ -319,12 +308,12 @@ def with_stripped_text(df: DataFrame, markup: str, output: str = "text") -> Data
 
 
 def with_filing_text(df: DataFrame, content: str, output: str = "text") -> DataFrame:
-    """Raw bytes to text: HTML route for small files that look like HTML, else the fast one."""
+    """Raw bytes to text: HTML route for files that look like HTML, else the fast one.
+
+    The route depends on the content only, so a page's text does not change with its size.
+    """
     df = df.withColumn("__raw", bytes_to_text(F.col(content)))
-    is_html = (F.octet_length(F.col(content)) <= LARGE_FILE_BYTES) & F.col("__raw").rlike(
-        _LOOKS_LIKE_HTML
-    )
-    df = df.withColumn("__html", is_html)
+    df = df.withColumn("__html", F.col("__raw").rlike(_LOOKS_LIKE_HTML))
     stripped = F.when(F.col("__html"), strip_html(F.col("__raw"))).otherwise(
         strip_tags(F.col("__raw"))
     )

@@ -15,7 +15,6 @@ from panelloom.operators.joins import lookup_join
 
 # Fixed values -------------------------------------------------------------
 FORM_TYPES = ("10-K", "10-Q")
-START_YEAR = 2015
 FALLBACK_YEAR = 2015
 CENTURY_PIVOT = 70
 MANIFEST_KEYS = ("cik", "accession_number")
@@ -29,25 +28,25 @@ def _number(digits: Column) -> Column:
 def select_filings(
     filings: DataFrame,
     forms: Sequence[str] = FORM_TYPES,
-    start_year: int = START_YEAR,
+    start_year: int | None = None,
     end_year: int | None = None,
 ) -> DataFrame:
     """Filings of the wanted forms and years with date, accession and document present.
 
-    Forms match exactly, so amendments are out. The year is that of the filing date;
-    without ``end_year`` the current year is the last. Adds ``fiscal_year``.
+    Forms match exactly, so amendments are out. The year is that of the filing date; a
+    date without one raises. Without bounds no year is left out. Adds ``fiscal_year``.
     """
-    year = F.substring("filing_date", 1, 4).cast("int")
-    last = F.lit(end_year) if end_year else F.year(F.current_date())
+    year = ids.whole_number(F.substring("filing_date", 1, 4)).cast("int")
     present = [
         F.col(name) != "" for name in ("filing_date", "accession_number", "primary_document")
     ]
     complete = present[0] & present[1] & present[2]
-    return (
-        filings.where(F.col("form_type").isin(*forms) & complete)
-        .withColumn("fiscal_year", year)
-        .where(F.col("fiscal_year").between(F.lit(start_year), last))
+    wanted = filings.where(F.col("form_type").isin(*forms) & complete).withColumn(
+        "fiscal_year", year
     )
+    if start_year:
+        wanted = wanted.where(F.col("fiscal_year") >= start_year)
+    return wanted.where(F.col("fiscal_year") <= end_year) if end_year else wanted
 
 
 def attach_firms(filings: DataFrame, universe: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -175,20 +174,30 @@ def fiscal_year(stored: Column, filing_date: Column, accession: Column) -> Colum
 def locate_files(manifest: DataFrame, paths: DataFrame, root: str) -> DataFrame:
     """Manifest with ``raw_path`` set to an existing file; rows without one are dropped.
 
-    The computed path is tried first, then the stored one. Only path strings take part.
+    The computed path is tried first, then the stored one: both meet the list of paths in
+    one join, and each manifest row keeps its first hit. Only path strings take part, and
+    rows without a stored path have no second try, so no null is ever a join key.
     """
     known = paths.select(F.col("path").alias("_found"))
     computed = filing_path(
         root, F.col("cik"), F.col("accession_number"), F.col("primary_document")
     )
-    tried = manifest.withColumn("_computed", computed)
-    first = tried.join(known, F.col("_computed") == F.col("_found"), "left")
-    first = first.withColumnRenamed("_found", "_at_computed")
-    second = first.withColumn(
-        "_stored", F.when(F.col("_at_computed").isNull(), F.col("raw_path"))
-    ).join(known, F.col("_stored") == F.col("_found"), "left")
-    located = second.withColumn("raw_path", F.coalesce("_at_computed", "_found"))
-    return located.where(F.col("raw_path").isNotNull()).select(*manifest.columns)
+    stored = F.when(~F.col("raw_path").eqNullSafe(computed), F.col("raw_path"))
+    tries = manifest.select("*", F.posexplode(F.array(computed, stored)).alias("_try", "_found"))
+    hits = tries.where(F.col("_found").isNotNull()).join(known, "_found")
+    # Equal manifest rows stay as many as they were.
+    first = F.count_if(F.col("_try") == 0)
+    second = F.count_if(F.col("_try") == 1)
+    located = hits.groupBy(*manifest.columns).agg(
+        F.min(F.when(F.col("_try") == 0, F.col("_found"))).alias("_at_computed"),
+        F.min(F.when(F.col("_try") == 1, F.col("_found"))).alias("_at_stored"),
+        F.when(first > 0, first).otherwise(second).cast("int").alias("_times"),
+    )
+    return (
+        located.withColumn("raw_path", F.coalesce("_at_computed", "_at_stored"))
+        .withColumn("_each", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+        .select(*manifest.columns)
+    )
 
 
 def document_records(manifest: DataFrame, paths: DataFrame, root: str) -> DataFrame:
@@ -217,8 +226,10 @@ def standardize(
 ) -> DataFrame:
     """Document records with text.
 
-    ``files`` has ``path`` and the raw bytes. Bytes become text in the scan, before
-    any shuffle; the joins that find each file see path strings only.
+    ``files`` has ``path`` and the raw bytes. Bytes become text in the scan; the join that
+    finds each file sees path strings only. The last join, on the path, moves texts unless
+    the files are a table bucketed by path (``sinks.write_bundles``): then only the records
+    are shuffled, to the buckets.
     """
     records = document_records(manifest, files.select("path"), root)
     return _parsed(files, content).join(records, "raw_path").select(*schemas.DOCUMENTS.names)

@@ -15,9 +15,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when one table holds this many of its rows. It also bounds the list
-# of hot keys: at most (rows of all tables / HOT_ROWS) of them exist, which is why
-# that list may be broadcast.
+from panelloom.session import scratch_path
+
+# A key is hot when one table holds this many of its rows. The list of hot keys grows with
+# the data, so it is never broadcast by request: Spark does so when its size allows.
 HOT_ROWS = 1_000_000
 
 
@@ -87,30 +88,67 @@ def _sliced(
     """Outer join of the hot keys only, every key cut into slices of ``hot_rows`` rows.
 
     The table with the most rows of a key spreads them over its slices; the other
-    tables repeat their (fewer) rows in each slice.
+    tables repeat their (fewer) rows in each slice. A row's slice is a hash of its
+    values, so it is the same when a task runs again in another order. Rows that are
+    equal throughout travel as one with a count and are repeated behind the join.
     """
     hot = hot.withColumn("_slices", F.ceil(F.col("_rows") / hot_rows).cast("int"))
     every = F.sequence(F.lit(0), F.col("_slices") - 1)
-    joined = hot.select(*keys, "_main", F.explode(every).alias("_slice"))
+    joined = hot.select(*keys, "_main", F.explode(every).alias("_slice")).withColumn(
+        "_copies", F.lit(1).cast("bigint")
+    )
     for i, table in enumerate(tables):
-        own = F.array((F.col("_position") % F.col("_slices")).cast("int"))
-        part = (
-            table.alias("t")
-            .join(F.broadcast(hot).alias("h"), _same("t", "h", keys, True))
-            .select("t.*", "h._main", "h._slices")
-            .withColumn("_position", F.monotonically_increasing_id())
-            .withColumn("_slice", F.explode(F.when(F.col("_main") == i, own).otherwise(every)))
-            .withColumn("_present", F.lit(True))
+        rows = table.alias("t").join(hot.alias("h"), _same("t", "h", keys, True)).select(
+            "t.*", "h._main", "h._slices"
+        )
+        own = (
+            rows.where(F.col("_main") == i)
+            .groupBy(*rows.columns)
+            .agg(F.count("*").alias("_times"))
+            .withColumn("_slice", F.pmod(F.xxhash64(*table.columns), "_slices").cast("int"))
         )
+        repeated = (
+            rows.where(F.col("_main") != i)
+            .withColumn("_times", F.lit(1).cast("bigint"))
+            .withColumn("_slice", F.explode(every))
+        )
+        part = own.unionByName(repeated).withColumn("_present", F.lit(True))
         on = _same("l", "r", [*keys, "_slice"], True)
         joined = (
             joined.alias("l")
             .join(part.alias("r"), on, "left")
             # A slice without rows of the main table would only repeat the others.
             .where((F.col("l._main") != i) | F.col("r._present"))
-            .select("l.*", *[F.col(f"r.{name}") for name in _others(table, keys)])
+            .select(
+                *[F.col(f"l.{name}") for name in joined.columns if name != "_copies"],
+                *[F.col(f"r.{name}") for name in _others(table, keys)],
+                (F.col("l._copies") * F.coalesce("r._times", F.lit(1))).alias("_copies"),
+            )
         )
-    return joined.drop("_main", "_slice")
+    repeats = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
+    return joined.withColumn("_copy", repeats).drop("_main", "_slice", "_copies", "_copy")
+
+
+def _by_hot(
+    df: DataFrame, hot: DataFrame, keys: Sequence[str], null_safe: bool, how: str
+) -> DataFrame:
+    """Rows with or without a hot key. Where the list is too large to be broadcast, a hash as
+    one more key keeps this join's shuffle apart from the next one's, so it can be split."""
+    name = F.xxhash64(F.lit("hot"), *keys)
+    marked = df.withColumn("_name", name).alias("t")
+    listed = hot.select(*keys).withColumn("_name", name).alias("h")
+    on = _same("t", "h", keys, null_safe) & (F.col("t._name") == F.col("h._name"))
+    return marked.join(listed, on, how).select(*[F.col(f"t.{c}") for c in df.columns])
+
+
+def _counted_hot_keys(
+    tables: Sequence[DataFrame], keys: Sequence[str], hot_rows: int
+) -> DataFrame | None:
+    """The hot keys, counted once and kept in the shared folder; None when there are none."""
+    path = scratch_path(tables[0].sparkSession, "hot-keys")
+    hot_keys(tables, keys, hot_rows).write.parquet(path)
+    kept = tables[0].sparkSession.read.parquet(path)
+    return None if kept.isEmpty() else kept
 
 
 def outer_join(
@@ -125,9 +163,7 @@ def outer_join(
     ``null_safe`` makes null keys match each other; otherwise rows with a null key
     match nothing and are appended without a join. Tables known to have one row per
     key (``unique_keys``) cannot be skewed and are joined at once. For others the
-    keys are counted first, and hot ones are joined apart in slices. Slices go by row
-    position, so give tables read from storage: their row order is the same when a
-    task runs again.
+    keys are counted once, by a job of its own, and hot ones are joined apart in slices.
     """
     if len(tables) == 1:
         return tables[0]
@@ -139,13 +175,11 @@ def outer_join(
     def fold(parts: Sequence[DataFrame]) -> DataFrame:
         return reduce(lambda a, b: _full_outer(a, b, keys, null_safe), parts)
 
-    hot = None if unique_keys else hot_keys(tables, keys, hot_rows)
-    if hot is None or hot.isEmpty():
+    hot = None if unique_keys else _counted_hot_keys(tables, keys, hot_rows)
+    if hot is None:
         merged = fold(tables)
     else:
-        on = _same("t", "h", keys, True)
-        small = F.broadcast(hot).alias("h")
-        cold = [table.alias("t").join(small, on, "left_anti") for table in tables]
+        cold = [_by_hot(table, hot, keys, True, "left_anti") for table in tables]
         merged = fold(cold).unionByName(_sliced(tables, keys, hot, hot_rows))
     if not null_safe:
         for rows in loners:
@@ -177,11 +211,19 @@ def left_join(
     matchable = right
     if not null_safe:
         matchable = right.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    hot = None if unique_keys else hot_keys([matchable], keys, hot_rows).select(*keys)
-    if hot is None or hot.isEmpty():
+    hot = None if unique_keys else _counted_hot_keys([matchable], keys, hot_rows)
+    if hot is None:
         return join(left, matchable, "left")
-    on = _same("t", "h", keys, null_safe)
-    small = F.broadcast(hot).alias("h")
-    cold = [df.alias("t").join(small, on, "left_anti") for df in (left, matchable)]
-    warm = [df.alias("t").join(small, on, "left_semi") for df in (left, matchable)]
-    return join(*cold, "left").unionByName(join(*warm, "inner"))
+    cold = [_by_hot(df, hot, keys, null_safe, "left_anti") for df in (left, matchable)]
+    warm = [_by_hot(left, hot, keys, null_safe, "left_semi"), matchable]
+    # The hash as one more key gives the inner join shuffles of its own, which can be split.
+    warm = [df.withColumn("_hash", F.xxhash64(*keys)) for df in warm]
+    on_hash = F.col("l._hash") == F.col("r._hash")
+    joined = warm[0].alias("l").join(
+        warm[1].alias("r"), _same("l", "r", keys, null_safe) & on_hash, "inner"
+    )
+    matched = joined.select(
+        *[F.col(f"l.{name}") for name in left.columns],
+        *[F.col(f"r.{name}") for name in _others(right, keys)],
+    )
+    return join(*cold, "left").unionByName(matched)

@@ -12,8 +12,15 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top, bottom), F.lit(0.0))
 
 
-def labelled_predictions(labels: DataFrame, scores: DataFrame | None = None) -> DataFrame:
-    """Label and prediction side by side, for rows whose label is 0 or 1.
+NO_MATCH = "no label row has a prediction"
+NO_LABEL = "no row with a prediction has a label of 0 or 1"
+
+
+def labelled_predictions(
+    labels: DataFrame, scores: DataFrame | None = None, keep_unlabelled: bool = False
+) -> DataFrame:
+    """Label and prediction side by side, for rows whose label is 0 or 1; on request also
+    for the others, with a null label.
 
     ``scores`` is joined on ``sample_id``; without it the labels must carry
     ``keyword_predicted`` themselves.
@@ -31,10 +38,11 @@ def labelled_predictions(labels: DataFrame, scores: DataFrame | None = None) ->
             scores.select("sample_id", "keyword_predicted"), "sample_id"
         )
     label = strip(F.col("human_ai_mention").cast("string"))
-    return pairs.where(label.isin("0", "1")).select(
-        label.cast("int").alias("actual"),
+    both = pairs.select(
+        F.when(label.isin("0", "1"), label.try_cast("int")).alias("actual"),
         F.col("keyword_predicted").cast("int").alias("predicted"),
     )
+    return both if keep_unlabelled else both.where(F.col("actual").isNotNull())
 
 
 def confusion_metrics(pairs: DataFrame) -> DataFrame:
@@ -64,11 +72,17 @@ def confusion_metrics(pairs: DataFrame) -> DataFrame:
 
 
 def validation_metrics(labels: DataFrame, scores: DataFrame | None = None) -> DataFrame:
-    """Metrics of labels against predictions; no match or no label is an error."""
-    pairs = labelled_predictions(labels, scores)
-    metrics = confusion_metrics(pairs)
-    return metrics.where(
-        F.when(F.col("n_labeled") > 0, F.lit(True)).otherwise(
-            F.raise_error("no row has a prediction and a label of 0 or 1").cast("boolean")
-        )
+    """Metrics of labels against predictions. That no row matches is one error, that no
+    matching row has a label of 0 or 1 another."""
+    pairs = labelled_predictions(labels, scores, keep_unlabelled=True)
+    used = F.col("actual").isNotNull()
+    metrics = confusion_metrics(pairs.where(used))
+    matched = pairs.agg(F.count("*").alias("_matched"), F.count_if(used).alias("_used"))
+    found = matched.select(
+        F.when(F.col("_matched") == 0, F.raise_error(NO_MATCH))
+        .when(F.col("_used") == 0, F.raise_error(NO_LABEL))
+        .otherwise(F.col("_used"))
+        .cast("bigint")
+        .alias("n_labeled")
     )
+    return metrics.join(found, "n_labeled").select(metrics.columns)

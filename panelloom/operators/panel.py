@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,6 @@ from panelloom.operators.joins import HOT_ROWS, left_join, outer_join
 
 # Fixed values -------------------------------------------------------------
 JOIN_KEYS = ("firm_id", "year")
-MIN_YEAR = 2015
-MAX_YEAR = 2026
 CONTROL_COLUMNS = ("at", "roa", "sic", "emp", "gvkey")
 CONTROL_PREFIX = "compustat"
 CLASH_SUFFIX = "_dup"
@@ -39,21 +38,23 @@ def assemble_panel(
     spark: SparkSession,
     tables: Mapping[str, DataFrame | None],
     join_keys: Sequence[str] = JOIN_KEYS,
-    min_year: int | None = MIN_YEAR,
-    max_year: int | None = MAX_YEAR,
+    min_year: int | None = None,
+    max_year: int | None = None,
     null_safe: bool = True,
     unique_keys: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Full outer join of feature tables on the keys, years filtered before the join.
 
-    Absent and empty tables are left out. Every table after the first gets its own
-    name as column prefix; its ``source`` becomes ``source_<table>``. The filter sits
-    on each input so that it reaches the Parquet scan.
+    Absent tables (None) are left out; whether a stored table is empty is decided where it
+    is read, so building the panel of tables with one row per key runs no job. Every table
+    after the first gets its own name as column prefix; its ``source`` becomes
+    ``source_<table>``. Without bounds no year is left out. The filter sits on each input
+    so that it reaches the Parquet scan.
     """
     parts: list[DataFrame] = []
     for name, df in tables.items():
-        if df is None or df.isEmpty():
+        if df is None:
             continue
         if parts:
             df = prefix_columns(df, name.replace("/", "_"), exclude=[*join_keys, "source"])
@@ -67,26 +68,41 @@ def assemble_panel(
 def panel_sql(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
-    min_year: int | None = MIN_YEAR,
-    max_year: int | None = MAX_YEAR,
+    min_year: int | None = None,
+    max_year: int | None = None,
+    unique_keys: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """SQL form: ``FULL OUTER JOIN ... USING (firm_id, year)`` over named views.
 
-    Null keys match nothing and columns keep their names, except that every later
-    ``source`` is called ``source_<table>``. A year filter on the joined year equals
-    one on each input, and only the latter is pushed down.
+    Null keys match nothing, so rows with one never enter the join: they are appended.
+    Columns keep their names, except that every later ``source`` is called
+    ``source_<table>``. A year filter on the joined year equals one on each input, and
+    only the latter is pushed down. Views get names of their own for each call. Tables
+    that may repeat a key (``unique_keys`` false) take the same join in its DataFrame
+    form, which splits hot keys.
     """
     if not tables:
         return schemas.empty(spark, schemas.PANEL_KEYS)
-    views = []
+    parts = []
     for i, (name, df) in enumerate(tables.items()):
-        view = table_prefix(name)
         if i:
-            df = df.withColumnRenamed("source", f"source_{view}")
-        within_years(df, min_year, max_year).createOrReplaceTempView(view)
-        views.append(view)
+            df = df.withColumnRenamed("source", f"source_{table_prefix(name)}")
+        parts.append(within_years(df, min_year, max_year))
+    if not unique_keys:
+        return outer_join(parts, JOIN_KEYS, False, False, hot_rows)
+    keyless = F.col("firm_id").isNull() | F.col("year").isNull()
+    call = uuid.uuid4().hex
+    views = []
+    for name, part in zip(tables, parts, strict=True):
+        view = f"{table_prefix(name)}_{call}"
+        part.where(~keyless).createOrReplaceTempView(f"`{view.replace('`', '_')}`")
+        views.append(f"`{view.replace('`', '_')}`")
     joins = "".join(f" FULL OUTER JOIN {view} USING (firm_id, year)" for view in views[1:])
-    return spark.sql(f"SELECT * FROM {views[0]}{joins}")
+    joined = spark.sql(f"SELECT * FROM {views[0]}{joins}")
+    for part in parts:
+        joined = joined.unionByName(part.where(keyless), allowMissingColumns=True)
+    return joined
 
 
 def add_controls(

@@ -60,19 +60,19 @@ def _draw(seed: int, salt: str) -> Column:
     return F.sha2(F.concat(F.lit(f"{seed}|{salt}"), F.col("document_id").cast("string")), 256)
 
 
-def stratified_sample(
+def choose_ids(
     pool: DataFrame, sample_size: int = SAMPLE_SIZE, seed: int = SEED
 ) -> DataFrame:
-    """Up to ``sample_size`` documents, spread over (fiscal_year, density_bin) strata.
+    """Ids of up to ``sample_size`` documents, spread over (fiscal_year, density_bin) strata.
 
     Each stratum gives at most ``max(1, sample_size // bins present)`` documents and
     the union is cut down uniformly. A stratum may hold most of the documents, so its
     smallest draws are found in two rounds: per slice, then over the slices. The
     first round keeps ``sample_size`` rows per slice, a constant that lets Spark
-    drop the others before the shuffle and that no quota can exceed. Every bin
-    survives it, so bins are counted on the few rows left.
+    drop the others before the shuffle and that no quota can exceed. Only the id, the
+    stratum and the draw travel. Bins are counted by an aggregate over the rows left.
     """
-    drawn = pool.withColumns(
+    drawn = pool.select("document_id", *_STRATUM).withColumns(
         {
             "_draw": _draw(seed, ""),
             "_slice": F.pmod(F.xxhash64("document_id"), F.lit(_SLICES)),
@@ -80,25 +80,53 @@ def stratified_sample(
     )
     by_slice = Window.partitionBy(*_STRATUM, "_slice").orderBy("_draw", "document_id")
     by_stratum = Window.partitionBy(*_STRATUM).orderBy("_draw", "document_id")
-    # At most strata x sample_size rows are left here, whatever the pool's size.
-    everything = Window.partitionBy(F.lit(0))
     survivors = (
         drawn.withColumn("_rank", F.row_number().over(by_slice))
         .where(F.col("_rank") <= sample_size)
         .withColumn("_rank", F.row_number().over(by_stratum))
         .where(F.col("_rank") <= sample_size)
     )
-    bins = F.size(F.collect_set("density_bin").over(everything))
+    # Every bin has a row of rank 1 in each of its strata.
+    bins = survivors.where(F.col("_rank") == 1).agg(F.count_distinct("density_bin")).scalar()
     quota = F.greatest(F.lit(1), F.floor(F.lit(sample_size) / bins))
     return (
-        survivors.withColumn("_quota", quota)
-        .where(F.col("_rank") <= F.col("_quota"))
+        survivors.where(F.col("_rank") <= quota)
         .withColumn("_second", _draw(seed, "second|"))
         .orderBy("_second", "document_id")
         .limit(sample_size)
-        .withColumn("sample_id", ids.sample_id(F.col("document_id")))
-        .drop("_draw", "_slice", "_rank", "_quota", "_second")
+        .select("document_id")
+    )
+
+
+def stratified_sample(
+    pool: DataFrame, sample_size: int = SAMPLE_SIZE, seed: int = SEED
+) -> DataFrame:
+    """The pool's rows of the chosen ids, with their blind id."""
+    return _rows_of(choose_ids(pool, sample_size, seed), pool).withColumn(
+        "sample_id", ids.sample_id(F.col("document_id"))
+    )
+
+
+def _rows_of(chosen: DataFrame, table: DataFrame) -> DataFrame:
+    # At most sample_size ids: the caller's parameter bounds what is broadcast.
+    return table.join(F.broadcast(chosen.distinct()), "document_id", "left_semi")
+
+
+def sample_documents(
+    documents: DataFrame,
+    keywords: Sequence[str] | None = None,
+    sample_size: int = SAMPLE_SIZE,
+    seed: int = SEED,
+) -> DataFrame:
+    """Sample straight from documents: all are counted, only the chosen ones get excerpts."""
+    words = list(keywords or tx.DEFAULT_KEYWORDS)
+    strata = documents.select(
+        "document_id",
+        F.col("fiscal_year").cast("int").alias("fiscal_year"),
+        tx.density_bin(tx.mention_count(F.col("text"), words)).alias("density_bin"),
     )
+    chosen = _rows_of(choose_ids(strata, sample_size, seed), documents)
+    return score_pool(chosen, words).withColumn("sample_id", ids.sample_id(F.col("document_id")))
 
 
 def generate_sample(
@@ -107,10 +135,10 @@ def generate_sample(
     sample_size: int = SAMPLE_SIZE,
     seed: int = SEED,
 ) -> DataFrame:
-    """Sample documents for labelling; no documents at all is an error."""
+    """Sample a stored documents table for labelling; no documents at all is an error."""
     if documents.isEmpty():
         raise ValueError("there are no documents to sample from")
-    return stratified_sample(score_pool(documents, keywords), sample_size, seed)
+    return sample_documents(documents, keywords, sample_size, seed)
 
 
 def blind_labeling(sample: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,6 +103,14 @@ def preprocess_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", tx.preprocess(F.col("text")).alias("text"))
 
 
+@query
+def preprocess_wide_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NFKC where it changes every text: full-width letters and ligatures are planted."""
+    documents = inputs.texts(spark, sf_dir, "documents")
+    wide = F.translate(F.replace(F.col("text"), F.lit("fi"), F.lit("ﬁ")), "aeo", "ａｅｏ")
+    return documents.select("doc_id", tx.preprocess(wide).alias("text"))
+
+
 @query
 def density_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per year and density bin."""
@@ -235,9 +244,49 @@ def bootstrap_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def mapping_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bootstrapped mapping saved, replaced by itself and loaded."""
+    path = sinks.save_mapping(bootstrap_mapping(spark, sf_dir), scratch_path(spark, "mapping"))
+    sinks.save_mapping(sinks.load_mapping(spark, path), path)
+    return sinks.load_mapping(spark, path)
+
+
 # -- filings -----------------------------------------------------------------------
 
 
+@query
+def filing_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filing histories of all customers, landed as JSON files and read back."""
+    path = scratch_path(spark, "submissions")
+    inputs.submissions(spark, sf_dir).write.partitionBy("shelf").text(path)
+    return scans.filings_as_columns(scans.read_filing_history(spark, path))
+
+
+@query
+def raw_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed file per supplier, read as bytes and decoded."""
+    path = scratch_path(spark, "raw")
+    inputs.table(spark, sf_dir, "supplier").select("s_name", "s_suppkey").write.partitionBy(
+        "s_suppkey"
+    ).text(path)
+    files = scans.read_raw_files(spark, path)
+    return files.select(
+        F.regexp_extract("path", "s_suppkey=([0-9]+)", 1).cast("bigint").alias("s_suppkey"),
+        tx.collapse_whitespace(tx.bytes_to_text(F.col("content"))).alias("text"),
+    )
+
+
+@query
+def bundled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of all pages whose raw bytes lie in a table bucketed by path."""
+    name = f"bundles_{uuid.uuid4().hex}"
+    sinks.write_bundles(inputs.page_files(spark, sf_dir), name, buckets=8)
+    return filings.standardize(
+        inputs.page_manifest(spark, sf_dir), spark.table(name), inputs.LANDING
+    )
+
+
 @query
 def filings_transpose(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Struct-of-arrays histories of documents and conversations, one row per filing."""
@@ -289,6 +338,21 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.read_stage(spark, manifest_path, schemas.MANIFEST)
 
 
+@query
+def landing_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed in several files and appended in as many micro-batches."""
+    landed, manifest_path = scratch_path(spark, "landed"), scratch_path(spark, "manifest")
+    rows = inputs.orders_as_manifest(spark, sf_dir)
+    rows.repartition(3, F.col("accession_number")).write.parquet(landed)
+    stream = (
+        spark.readStream.schema(schemas.MANIFEST).option("maxFilesPerTrigger", 1).parquet(landed)
+    )
+    landing.append_stream(
+        stream, manifest_path, scratch_path(spark, "checkpoint")
+    ).awaitTermination()
+    return scans.read_stage(spark, manifest_path, schemas.MANIFEST)
+
+
 @query
 def filing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Path, document id and inferred year of every line's filing."""
@@ -384,18 +448,14 @@ def panel_outer_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def panel_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panel of single orders and line items: firm-years repeat on both sides."""
-    orders = inputs.table(spark, sf_dir, "orders").select(
-        ids.firm_id(cik=F.col("o_custkey")).alias("firm_id"),
-        F.year("o_orderdate").alias("year"),
-        "o_orderkey",
-    )
-    lines = inputs.texts(spark, sf_dir, "lineitem").select(
+    """Panel of yearly orders and single line items: firm-years repeat on one side."""
+    lines = inputs.table(spark, sf_dir, "lineitem").select(
         ids.firm_id(cik=F.col("l_suppkey")).alias("firm_id"),
         F.year("l_shipdate").alias("year"),
         "l_orderkey",
         "l_linenumber",
     )
+    orders = inputs.order_firm_years(spark, sf_dir).select("firm_id", "year", "orders")
     return panel.assemble_panel(
         spark, {"orders": orders, "lines": lines}, min_year=_LOW, max_year=_HIGH
     )
@@ -405,7 +465,8 @@ def panel_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def panel_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL form of the panel; rows without a firm match nothing."""
     return panel.panel_sql(
-        spark, _tables(spark, sf_dir, null_firms=True), min_year=_LOW, max_year=_HIGH
+        spark, _tables(spark, sf_dir, null_firms=True), min_year=_LOW, max_year=_HIGH,
+        unique_keys=True,
     )
 
 
@@ -434,6 +495,12 @@ def qc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def qc_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overall result of a report with failing checks."""
+    return quality.report_passed(qc_report(spark, sf_dir))
+
+
 @query
 def qc_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Violations of each declared rule."""
@@ -454,7 +521,26 @@ def score_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelling sample with everything known about it."""
-    return sampling.stratified_sample(score_pool(spark, sf_dir))
+    return sampling.sample_documents(inputs.documents(spark, sf_dir), inputs.KEYWORDS)
+
+
+@query
+def blind_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both files of the blind sample, written and read back side by side."""
+    labeling, scores = scratch_path(spark, "labeling"), scratch_path(spark, "scores")
+    sinks.write_blind_sample(stratified_sample(spark, sf_dir), labeling, scores)
+    seen = scans.read_text_csv(spark, labeling).select("sample_id", "excerpt")
+    hidden = scans.read_text_csv(spark, scores)
+    return hidden.join(seen, "sample_id").select(
+        "sample_id",
+        "document_id",
+        "firm_id",
+        F.col("fiscal_year").cast("int").alias("fiscal_year"),
+        F.col("ai_mention_count").cast("bigint").alias("ai_mention_count"),
+        "density_bin",
+        F.col("keyword_predicted").cast("int").alias("keyword_predicted"),
+        "excerpt",
+    )
 
 
 @query
@@ -497,24 +583,25 @@ def stage_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         metadata, partition_by=["year"],
     )
     counted = scans.read_stage(spark, metadata, schemas.STAGE_METADATA).select(
-        "source", "row_count"
+        "source", "stage", "signal_layer", "row_count", "config_hash",
+        (F.col("path") == path).alias("path_kept"), F.col("created_at").isNotNull().alias("dated"),
     )
     stored = scans.read_stage(spark, path, schemas.ATTENTION_FIRM_YEAR)
-    return stored.join(counted, "source").select(*stored.columns, "row_count")
+    return stored.join(counted, "source").select(*stored.columns, *counted.columns[1:])
 
 
 @query
 def universe_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Universe CSV of all customers; those in debt are commented out."""
+    """Universe CSV of all customers in order; those in debt are commented out."""
     customer = inputs.table(spark, sf_dir, "customer")
     mark = F.when(F.col("c_acctbal") < 0, "# ").otherwise("")
     path = scratch_path(spark, "universe")
-    customer.select(
+    customer.orderBy("c_custkey").coalesce(1).select(
         F.concat(mark, F.lit("T"), "c_custkey").alias("ticker"),
         F.col("c_name").alias("company_name"),
         F.col("c_mktsegment").alias("sector"),
     ).write.option("header", True).option("comment", "~").csv(path)
-    return scans.read_universe(spark, path).drop("registered_seq")
+    return scans.read_universe(spark, path)
 
 
 @query
@@ -530,12 +617,17 @@ def panel_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel saved as Parquet and CSV; the CSV read back."""
     path = scratch_path(spark, "panel")
     sinks.save_panel(panel_outer_nullsafe(spark, sf_dir), path, ["parquet", "csv"])
-    return scans.read_text_csv(spark, f"{path}.csv").select(
-        "firm_id",
-        F.col("year").cast("int").alias("year"),
-        F.col("orders").cast("bigint").alias("orders"),
-        F.col("ship_lines_quantity").cast("double").alias("ship_lines_quantity"),
-    )
+    kinds = scans.read_stage(spark, path).dtypes
+    text = scans.read_text_csv(spark, f"{path}.csv")
+    return text.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds])
+
+
+@query
+def panel_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel saved as a catalogue table and read by name."""
+    path = scratch_path(spark, "panel")
+    sinks.save_panel(panel_outer_nullsafe(spark, sf_dir), path, ["table"])
+    return spark.table(sinks.PANEL_TABLE)
 
 
 @query

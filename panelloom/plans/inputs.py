@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from panelloom.functions import identifiers as ids
 from panelloom.operators import mapping as maps
-from panelloom.sources.scans import spread
+from panelloom.session import scan_tasks
 
 # The default keywords are absent from the shared documents.
 KEYWORDS = ("that", "with", "the of", "in the")
@@ -29,8 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One shared table of long texts or heavy rows, spread over all cores."""
-    return spread(table(spark, sf_dir, name))
+    """One shared table of long texts. Each is one file with one row group, so one task; a
+    caller that wants more of them sets ``spark.panelloom.scanTasks`` (the benchmark does)."""
+    tasks = scan_tasks(spark)
+    rows = table(spark, sf_dir, name)
+    return rows.repartition(tasks) if tasks else rows
 
 
 def pad(number: Column | str, width: int) -> Column:
@@ -129,6 +132,39 @@ def order_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_as_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as manifest rows, each under a key of its own."""
+    rows = order_filings(spark, sf_dir)
+    return rows.select(
+        ids.firm_id(cik=F.col("cik")).alias("firm_id"),
+        F.lit("T").alias("ticker"),
+        ids.normalize_cik(F.col("cik")).alias("cik"),
+        "accession_number",
+        "form_type",
+        "filing_date",
+        F.lit(0).alias("fiscal_year"),
+        "primary_document",
+        F.concat(F.lit("order/"), "accession_number").alias("raw_path"),
+    )
+
+
+def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filing histories as JSON text, one array of 100 customers' objects per shelf."""
+    filed = order_filings(spark, sf_dir).withColumnsRenamed(
+        {"accession_number": "accessionNumber", "form_type": "form",
+         "filing_date": "filingDate", "primary_document": "primaryDocument"}
+    )
+    names = ("accessionNumber", "form", "filingDate", "primaryDocument")
+    lists = [F.col(f"rows.{n}").alias(n) for n in names]
+    recent = filed.groupBy("cik").agg(F.collect_list(F.struct(*names)).alias("rows"))
+    objects = recent.select(
+        F.floor(F.col("cik").cast("bigint") / 100).alias("shelf"),
+        F.struct("cik", F.struct(F.struct(*lists).alias("recent")).alias("filings")).alias("one"),
+    )
+    packed = objects.groupBy("shelf").agg(F.collect_list("one").alias("all"))
+    return packed.select(F.to_json("all").alias("value"), "shelf")
+
+
 def lines_as_manifest(lines: DataFrame) -> DataFrame:
     """Line items as manifest rows; the lines of one order and supplier share a key."""
     cik = ids.normalize_cik(F.col("l_suppkey"))
@@ -149,7 +185,7 @@ def lines_as_manifest(lines: DataFrame) -> DataFrame:
 
 def line_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items as manifest rows."""
-    return lines_as_manifest(texts(spark, sf_dir, "lineitem"))
+    return lines_as_manifest(table(spark, sf_dir, "lineitem"))
 
 
 def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,7 @@ def _fast(markup: str) -> str:
 
 
 def _routed(raw: str) -> str:
-    is_html = rf"strlen({raw}) <= 500000 AND regexp_matches({raw}, '(?i)<(?:html|body|div)')"
+    is_html = rf"regexp_matches({raw}, '(?i)<(?:html|body|div)')"
     return f"CASE WHEN {is_html} THEN {_html(raw)} ELSE {_fast(raw)} END"
 
 
@@ -135,6 +135,10 @@ ORACLE["latin1_text"] = r"""
 SELECT page_id, regexp_replace(html, '[^\x{0}-\x{ff}]', '?', 'g') AS text FROM pages"""
 
 # NFKC leaves these documents as they are and DuckDB has no NFKC function.
+ORACLE["preprocess_wide_text"] = (
+    f"SELECT doc_id, {_collapse('text')} AS text FROM documents"
+)
+
 ORACLE["preprocess_text"] = f"SELECT doc_id, {_collapse('text')} AS text FROM documents"
 
 ORACLE["density_bins"] = f"""WITH {_DOCS}
@@ -242,6 +246,8 @@ _BOOT = f"""boot AS (
 
 ORACLE["bootstrap_mapping"] = f"WITH {_BOOT} SELECT * FROM boot"
 
+ORACLE["mapping_saved"] = ORACLE["bootstrap_mapping"]
+
 ORACLE["bootstrap_unmatched"] = """
 SELECT 't' || c_custkey AS ticker, c_name AS company_name, c_mktsegment AS sector,
        c_custkey AS registered_seq
@@ -277,6 +283,29 @@ FROM filings JOIN boot USING (cik)
 WHERE form_type IN ('10-K', '10-Q') AND filing_date <> '' AND primary_document <> ''
   AND fiscal_year BETWEEN 1996 AND 2000"""
 
+_ORDERS_FILED = f"""
+SELECT CAST(o_custkey AS VARCHAR) AS cik,
+       {_pad('o_custkey')} || '-' || strftime(o_orderdate, '%y') || '-'
+         || {_pad('o_orderkey', 6)} AS accession_number,
+       CASE o_orderstatus WHEN 'F' THEN '10-K' WHEN 'O' THEN '10-Q' ELSE '10-K/A' END
+         AS form_type,
+       CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''
+            ELSE strftime(o_orderdate, '%Y-%m-%d') END AS filing_date,
+       CASE WHEN o_totalprice < 50000 THEN '' ELSE 'order-' || o_orderkey || '.htm' END
+         AS primary_document
+FROM orders"""
+
+ORACLE["filing_history"] = _ORDERS_FILED
+
+ORACLE["landing_batches"] = f"""
+SELECT {_cik_firm('CAST(cik AS BIGINT)')} AS firm_id, 'T' AS ticker,
+       {_pad('CAST(cik AS BIGINT)')} AS cik, accession_number,
+       form_type, filing_date, 0 AS fiscal_year, primary_document,
+       'order/' || accession_number AS raw_path
+FROM ({_ORDERS_FILED})"""
+
+ORACLE["raw_file_texts"] = "SELECT s_suppkey, s_name AS text FROM supplier"
+
 _LINES = f"""lines AS (
   SELECT {_cik_firm('l_suppkey')} AS firm_id, 'T' || {_pad('l_suppkey')} AS ticker,
          {_pad('l_suppkey')} AS cik,
@@ -342,6 +371,8 @@ SELECT cik || '_' || accession_number || '_' || document AS document_id, firm_id
        CASE WHEN contains(url, '/en/') THEN landed_path ELSE '/archive/' || page_id END AS raw_path
 FROM page_docs WHERE contains(url, '/en/') OR NOT contains(url, '/es/')"""
 
+ORACLE["bundled_documents"] = ORACLE["standardized_documents"]
+
 ORACLE["features_from_files"] = f"""WITH {_PAGES}, counted AS (
   SELECT firm_id, fiscal_year, document_id, len(hits) AS ai_mention_count,
          len(hits) AS ai_token_count,
@@ -401,15 +432,16 @@ FULL OUTER JOIN (SELECT * FROM ({_lines(_KNOWN[1])}) {_IN_YEARS}) b
 ORACLE["panel_outer_nullsafe"] = _NULLSAFE
 
 ORACLE["panel_repeated_keys"] = f"""
-SELECT firm_id, year, o_orderkey, l_orderkey AS lines_l_orderkey,
+SELECT firm_id, year, orders, l_orderkey AS lines_l_orderkey,
        l_linenumber AS lines_l_linenumber
-FROM (SELECT {_cik_firm('o_custkey')} AS firm_id, CAST(year(o_orderdate) AS INTEGER) AS year,
-             o_orderkey FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000) a
+FROM (SELECT * FROM ({_orders()}) {_IN_YEARS}) a
 FULL OUTER JOIN (
   SELECT {_cik_firm('l_suppkey')} AS firm_id, CAST(year(l_shipdate) AS INTEGER) AS year,
          l_orderkey, l_linenumber FROM lineitem WHERE year(l_shipdate) BETWEEN 1996 AND 2000) b
 USING (firm_id, year)"""
 
+ORACLE["panel_table"] = _NULLSAFE
+
 ORACLE["panel_sql"] = f"""
 SELECT firm_id, year, a.source, orders, cents, b.source AS source_ship_lines, lines, quantity
 FROM ({_orders(_KNOWN[0])}) a FULL OUTER JOIN ({_lines(_KNOWN[1])}) b USING (firm_id, year)
@@ -456,6 +488,8 @@ _RULES = {
     "ai_token_count_minimum": "o_orderkey < 0",
     "ai_mention_share_range": "o_totalprice / 300000 > 1 OR o_totalprice < 0",
 }
+ORACLE["qc_overall"] = f"SELECT bool_and(passed) AS passed FROM ({ORACLE['qc_report']})"
+
 ORACLE["qc_constraints"] = " UNION ALL ".join(
     f"SELECT '{rule}' AS rule, count(*) FILTER ({broken}) AS violations FROM orders"
     for rule, broken in _RULES.items()
@@ -489,6 +523,10 @@ SELECT sample_id, excerpt, '' AS human_ai_mention FROM sample"""
 
 ORACLE["blind_scores"] = f"WITH {_SAMPLE} SELECT * EXCLUDE (excerpt) FROM sample"
 
+ORACLE["blind_files"] = f"""WITH {_SAMPLE}
+SELECT sample_id, document_id, firm_id, fiscal_year, ai_mention_count, density_bin,
+       keyword_predicted, excerpt FROM sample"""
+
 ORACLE["confusion_metrics"] = f"""WITH {_DOCS}, counts AS (
   SELECT count(*) AS n_labeled,
          count(*) FILTER (quality = 1 AND ai_mention_count > 0) AS tp,
@@ -508,10 +546,14 @@ FROM rates"""
 # -- files and views -------------------------------------------------------------------
 
 ORACLE["stage_round_trip"] = f"""WITH {_DOCS}, {_FIRM_YEARS}
-SELECT *, (SELECT count(*) FROM firm_years) AS row_count FROM firm_years"""
+SELECT *, 'features' AS stage, 'attention' AS signal_layer, CAST(NULL AS VARCHAR) AS config_hash,
+       true AS path_kept, true AS dated,
+       (SELECT count(*) FROM firm_years) AS row_count FROM firm_years"""
 
+# One file with one block: positions count from 2^40.
 ORACLE["universe_scan"] = """
-SELECT 'T' || c_custkey AS ticker, c_name AS company_name, c_mktsegment AS sector
+SELECT 'T' || c_custkey AS ticker, c_name AS company_name, c_mktsegment AS sector,
+       1099511627775 + row_number() OVER (ORDER BY c_custkey) AS registered_seq
 FROM customer WHERE c_acctbal >= 0"""
 
 ORACLE["controls_scan"] = f"""
@@ -520,8 +562,7 @@ SELECT '00' || c_custkey AS gvkey, {_pad('c_custkey')} AS cik, CAST(y AS INTEGER
        CAST(c_custkey AS DOUBLE) AS emp, c_name AS conm, c_mktsegment AS tic
 FROM customer, unnest(range(1995, 2002)) AS years(y)"""
 
-ORACLE["panel_export"] = f"""
-SELECT firm_id, year, orders, ship_lines_quantity FROM ({_NULLSAFE})"""
+ORACLE["panel_export"] = _NULLSAFE
 
 ORACLE["sql_view"] = """
 SELECT o_orderstatus, count(*) AS lines, sum(l_quantity) AS quantity

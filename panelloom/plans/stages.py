@@ -33,7 +33,7 @@ def ingest(
     manifest_path: str,
     root: str,
     forms: Sequence[str] = filings.FORM_TYPES,
-    start_year: int = filings.START_YEAR,
+    start_year: int | None = None,
     end_year: int | None = None,
 ) -> str:
     """Append the wanted new filings of a landed history to the manifest."""
@@ -77,7 +77,7 @@ def extract_features(
     """Documents to firm-year features; no documents give an empty typed table."""
     documents = scans.read_stage_if_exists(spark, documents_path, schemas.DOCUMENTS)
     return sinks.write_stage(
-        features.attention_firm_year(scans.spread(documents), keywords, source),
+        features.attention_firm_year(documents, keywords, source),
         features_path, "features", source, "attention", metadata_path,
     )
 
@@ -107,12 +107,12 @@ def build_panel(
     feature_paths: Mapping[str, str],
     output_path: str,
     formats: Sequence[str] = ("parquet",),
-    min_year: int | None = panel.MIN_YEAR,
-    max_year: int | None = panel.MAX_YEAR,
+    min_year: int | None = None,
+    max_year: int | None = None,
 ) -> str:
-    """Feature tables to the saved panel."""
+    """Feature tables to the saved panel; missing and empty ones are left out."""
     tables = {
-        name: scans.read_stage_if_exists(spark, path) for name, path in feature_paths.items()
+        name: scans.read_stage_if_filled(spark, path) for name, path in feature_paths.items()
     }
     assembled = panel.assemble_panel(spark, tables, min_year=min_year, max_year=max_year)
     return sinks.save_panel(assembled, output_path, formats)
@@ -127,7 +127,7 @@ def draw_sample(
     keywords: Sequence[str] | None = None,
 ) -> None:
     """Documents to the two files of a blind labelling sample."""
-    documents = scans.spread(scans.read_stage(spark, documents_path))
+    documents = scans.read_stage(spark, documents_path)
     sample = sampling.generate_sample(documents, keywords, sample_size)
     sinks.write_blind_sample(sample, labeling_path, scores_path)
 

@@ -6,65 +6,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES = {
-    "s": T.StringType(),
-    "i": T.IntegerType(),
-    "l": T.LongType(),
-    "d": T.DoubleType(),
-    "b": T.BooleanType(),
-    "t": T.TimestampType(),
-}
+STRING, INT, LONG = T.StringType(), T.IntegerType(), T.LongType()
+DOUBLE, TIMESTAMP = T.DoubleType(), T.TimestampType()
 
 
-def _table(spec: str) -> T.StructType:
-    """``"name:s year:i"`` → StructType, all columns nullable."""
-    fields = (item.split(":") for item in spec.split())
-    return T.StructType([T.StructField(name, _TYPES[code], True) for name, code in fields])
+def _table(**columns: T.DataType) -> T.StructType:
+    """A table's columns and types, all nullable."""
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-DIRECTORY = _table("ticker:s cik:s title:s")
-
 MAPPING = _table(
-    "firm_id:s gvkey:s cik:s ticker:s cusip:s permno:i company_name:s source:s registered_seq:l"
+    firm_id=STRING, gvkey=STRING, cik=STRING, ticker=STRING, cusip=STRING, permno=INT,
+    company_name=STRING, source=STRING, registered_seq=LONG,
 )
 
 MANIFEST = _table(
-    "firm_id:s ticker:s cik:s accession_number:s form_type:s filing_date:s "
-    "fiscal_year:i primary_document:s raw_path:s"
+    firm_id=STRING, ticker=STRING, cik=STRING, accession_number=STRING, form_type=STRING,
+    filing_date=STRING, fiscal_year=INT, primary_document=STRING, raw_path=STRING,
 )
 
 DOCUMENTS = _table(
-    "document_id:s firm_id:s cik:s ticker:s form_type:s filing_date:s "
-    "fiscal_year:i text:s raw_path:s"
+    document_id=STRING, firm_id=STRING, cik=STRING, ticker=STRING, form_type=STRING,
+    filing_date=STRING, fiscal_year=INT, text=STRING, raw_path=STRING,
 )
 
 ATTENTION_FIRM_YEAR = _table(
-    "firm_id:s year:i document_count:l ai_mention_count:l total_tokens:l "
-    "ai_token_count:l ai_mention_share:d source:s"
+    firm_id=STRING, year=INT, document_count=LONG, ai_mention_count=LONG, total_tokens=LONG,
+    ai_token_count=LONG, ai_mention_share=DOUBLE, source=STRING,
 )
 
-# Feature tables with a declared layout and no producer here; the panel joins them as they are.
-INVESTMENT_FIRM_YEAR = _table(
-    "firm_id:s year:i source:s event_count:l ai_patent_count:l ai_job_posting_count:l "
-    "ai_hiring_intensity:d"
-)
+PANEL_KEYS = _table(firm_id=STRING, year=INT)
 
-DEPLOYMENT_FIRM_YEAR = _table(
-    "firm_id:s year:i source:s product_launch_count:l api_launch_count:l "
-    "feature_release_count:l documentation_update_count:l total_deployment_events:l"
+STAGE_METADATA = _table(
+    stage=STRING, source=STRING, signal_layer=STRING, path=STRING, created_at=TIMESTAMP,
+    row_count=LONG, config_hash=STRING,
 )
 
-PANEL_KEYS = _table("firm_id:s year:i")
-
-LABELS = _table("sample_id:s excerpt:s human_ai_mention:s")
-
-SCORES = _table(
-    "sample_id:s document_id:s firm_id:s ticker:s fiscal_year:s form_type:s "
-    "ai_mention_count:s density_bin:s keyword_predicted:s"
-)
-
-STAGE_METADATA = _table("stage:s source:s signal_layer:s path:s created_at:t row_count:l config_hash:s")
-
 _FILING_LISTS = T.StructType(
     [
         T.StructField(name, T.ArrayType(T.StringType()))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import os
 import tempfile
 import uuid
 
@@ -16,13 +19,26 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
+    # Well below the advisory size: that one counts compressed bytes, and several tasks
+    # share an executor's memory.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "24m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
+# On a cluster, shuffles start with many reducers, since adaptive execution can merge but not
+# add any: 20,000 of 5 GB for 100 TB of text. Small ones are merged to the advisory size.
+CLUSTER_DEFAULTS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+
+
+def scan_tasks(spark: SparkSession) -> int | None:
+    """Tasks that a caller asks for on scans of single-file tables; None: as Spark plans."""
+    wanted = spark.conf.get("spark.panelloom.scanTasks", None)
+    return int(wanted) if wanted else None
+
+
 def build_session(
     app: str = "panelloom",
     master: str | None = None,
@@ -32,17 +48,26 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(conf or {})}.items():
+    local = (master or os.environ.get("MASTER", "")).startswith("local")
+    cluster = {} if local else CLUSTER_DEFAULTS
+    for key, value in {**DEFAULTS, **cluster, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    root = tempfile.TemporaryDirectory(prefix="panelloom-", ignore_cleanup_errors=True)
+    atexit.register(root.cleanup)
+    return root.name
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the cluster's shared checkpoint folder.
 
     Executors on any machine must see it, so the session's
-    ``spark.checkpoint.dir`` is used. A machine-local folder is chosen only for
-    local masters, where no such setting is needed.
+    ``spark.checkpoint.dir`` is used. Only for local masters, where it is unset, one
+    folder of this process is made, used throughout and removed at its end.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -50,5 +75,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="panelloom-")
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,17 +20,6 @@ def _is_missing_path(error: AnalysisException) -> bool:
     return (error.getCondition() or "") == "PATH_NOT_FOUND"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores for costly work on a scan that yields only a few tasks.
-
-    A file with one row group is one task however large the cluster. A scan planned
-    into no more tasks than there are cores holds at most one split of data per core,
-    so moving its rows costs little; any larger scan is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() <= cores else scan
-
-
 def read_stage(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A stage table in Parquet, with its declared schema when given."""
     reader = spark.read.schema(schema) if schema else spark.read
@@ -49,23 +38,46 @@ def read_stage_if_exists(
         return schemas.empty(spark, schema) if schema else None
 
 
+def read_stage_if_filled(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """A stage table, or None when it is missing or has no rows (one row is looked for)."""
+    table = read_stage_if_exists(spark, path, schema)
+    return None if table is None or table.isEmpty() else table
+
+
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
     """Firm universe CSV; lines starting with ``#`` and blank lines are skipped.
 
     Columns follow the header, all as text, so a ticker like ``NA`` stays a ticker.
-    Adds ``registered_seq``, the position in the file.
+    Adds ``registered_seq``: files in order of their paths, blocks of a file in order, rows
+    in order. It does not depend on how Spark packs files into tasks.
     """
     frame = spark.read.option("comment", "#").option("header", True).csv(path)
-    return frame.withColumn("registered_seq", F.monotonically_increasing_id())
+    block = ["_file", "_start"]
+    rows = frame.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    first = F.min("_at").over(Window.partitionBy(*block))
+    rows = rows.withColumn("_at", F.col("_at") - first)
+    # One row per block of a file; each holds up to 2^40 rows.
+    order = Window.orderBy(*block)
+    blocks = rows.select(*block).distinct().withColumn("_block", F.row_number().over(order))
+    sequence = F.shiftleft(F.col("_block").cast("bigint"), 40) + F.col("_at")
+    return rows.join(blocks, block).select(*frame.columns, sequence.alias("registered_seq"))
 
 
 def parse_directory(documents: DataFrame, json: str = "value", order: str = "seq") -> DataFrame:
     """Ticker directory from JSON objects of entries; one row per upper-cased ticker.
 
     When a ticker repeats, the last entry wins: by ``order`` of the documents, then
-    by position inside one.
+    by position inside one. A damaged document raises.
     """
-    entries = F.map_entries(F.from_json(json, T.MapType(T.StringType(), schemas.TICKER_ENTRY)))
+    kind = T.MapType(T.StringType(), schemas.TICKER_ENTRY)
+    entries = F.map_entries(F.from_json(json, kind, {"mode": "FAILFAST"}))
     rows = documents.select(F.col(order).alias("_doc"), F.posexplode(entries).alias("_pos", "_e"))
     fields = rows.select(
         F.struct("_doc", "_pos").alias("_order"),
@@ -99,17 +111,24 @@ def transpose_filings(batches: DataFrame, column: str, keep: tuple[str, ...] = (
 def read_filing_history(
     spark: SparkSession, submissions: str, shards: str | None = None
 ) -> DataFrame:
-    """All filings of the landed submission files and, if given, of older shards."""
-    files = spark.read.schema(schemas.SUBMISSIONS).option("multiLine", True).json(submissions)
+    """All filings of the landed submission files and, if given, of older shards.
+
+    A damaged file raises."""
+    strict = {"mode": "FAILFAST"}
+    kind = T.ArrayType(schemas.SUBMISSIONS)  # a file holds one object or an array of them
+    files = spark.read.text(submissions, wholetext=True).select(
+        F.inline(F.from_json("value", kind, strict))
+    )
     recent = transpose_filings(
         files.select("cik", F.col("filings.recent").alias("batch")), "batch", ("cik",)
     )
     if shards is None:
         return recent
-    older = spark.read.schema(schemas.SUBMISSION_SHARD).option("multiLine", True).json(shards)
     # A shard carries no id of its own; its file name starts with CIK and ten digits.
     cik = F.regexp_extract(F.col("_metadata.file_name"), "CIK([0-9]{10})", 1)
-    shard = older.select(cik.alias("cik"), F.struct(*schemas.SUBMISSION_SHARD.names).alias("batch"))
+    shard = spark.read.text(shards, wholetext=True).select(
+        cik.alias("cik"), F.from_json("value", schemas.SUBMISSION_SHARD, strict).alias("batch")
+    )
     return recent.unionByName(
         transpose_filings(shard, "batch", ("cik",)), allowMissingColumns=True
     )
@@ -133,7 +152,11 @@ def raw_file_rows(files: DataFrame) -> DataFrame:
 
 
 def read_raw_files(spark: SparkSession, root: str) -> DataFrame:
-    """Landed raw files: path and content. Selecting only the path reads no content."""
+    """Landed raw files: path and content. Selecting only the path reads no content.
+
+    The driver lists the files, so this suits fresh landings. Large collections belong in a
+    bundle table (``sinks.write_bundles``), which has the same two columns.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return raw_file_rows(files)
 

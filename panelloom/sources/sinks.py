@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,16 +24,31 @@ def _rename(spark: SparkSession, source: str, target: str) -> bool:
 
 
 def publish_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Publish a table as Parquet; see ``_swapped``."""
+    return _swapped(
+        df.sparkSession, path, lambda fresh: df.write.partitionBy(*partition_by).parquet(fresh)
+    )
+
+
+def publish_csv(df: DataFrame, path: str, **options) -> str:
+    """Publish a table as CSV with a header; see ``_swapped``."""
+    return _swapped(
+        df.sparkSession, path, lambda fresh: df.write.options(header=True, **options).csv(fresh)
+    )
+
+
+def _swapped(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
     """Write a complete new copy beside ``path``, then swap it in by renames.
 
-    The target may be an input of ``df``: it is not touched before the new copy is
-    committed. The old copy is kept as ``<path>__old-<id>`` until the swap is done.
+    The target may be an input of what is written: it is not touched before the new copy is
+    committed. The old copy is kept as ``<path>__old-<id>`` until the swap is done. Between
+    the two renames the path is absent for a moment, and on object stores a rename is a
+    copy: use it on file systems with a quick rename (HDFS, local, shared POSIX folders).
     """
-    spark = df.sparkSession
     tag = uuid.uuid4().hex
     base = path.rstrip("/")
     fresh, old = f"{base}__new-{tag}", f"{base}__old-{tag}"
-    df.write.partitionBy(*partition_by).parquet(fresh)
+    write(fresh)
     replaced = _rename(spark, base, old)
     if not _rename(spark, fresh, base):
         if replaced:
@@ -86,12 +101,28 @@ def save_panel(panel: DataFrame, path: str, formats: Sequence[str] = ("parquet",
     publish_parquet(panel, path)
     written = panel.sparkSession.read.parquet(path)
     if "csv" in formats:
-        written.write.mode("overwrite").option("header", True).csv(f"{path.rstrip('/')}.csv")
+        publish_csv(written, f"{path.rstrip('/')}.csv")
     if "table" in formats:
-        written.write.mode("overwrite").saveAsTable(PANEL_TABLE)
+        # A complete new table first, then the name moves to it.
+        spark, fresh = panel.sparkSession, f"{PANEL_TABLE}_{uuid.uuid4().hex}"
+        written.write.saveAsTable(fresh)
+        spark.sql(f"DROP TABLE IF EXISTS {PANEL_TABLE}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {PANEL_TABLE}")
     return path
 
 
+def write_bundles(files: DataFrame, table: str, buckets: int) -> str:
+    """Raw files as a catalogue table of (path, content), bucketed and sorted by path.
+
+    Many files share a Parquet file, so no listing grows with their number, and a join on
+    the path leaves the contents where they are. Existing rows stay; new ones are appended.
+    """
+    files.select("path", "content").write.bucketBy(buckets, "path").sortBy("path").mode(
+        "append"
+    ).saveAsTable(table)
+    return table
+
+
 def save_mapping(mapping: DataFrame, path: str) -> str:
     """Publish a mapping table; the mapping may have been read from the same path."""
     return publish_parquet(mapping.select(*schemas.MAPPING.names), path)
@@ -115,7 +146,5 @@ def write_blind_sample(sample: DataFrame, labeling_path: str, scores_path: str)
         (sampling.blind_labeling(kept), labeling_path),
         (sampling.blind_scores(kept), scores_path),
     ):
-        frame.write.mode("overwrite").option("header", True).option("escape", '"').option(
-            "emptyValue", ""
-        ).csv(path)
+        publish_csv(frame, path, escape='"', emptyValue="")
     kept.unpersist()

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from panelloom import schemas
 from panelloom.operators import filings
-from panelloom.sources.scans import raw_file_rows, read_stage_if_exists, spread
+from panelloom.sources.scans import raw_file_rows, read_stage_if_exists
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
@@ -40,8 +40,7 @@ def append_stream(
 
     def append(batch: DataFrame, _epoch: int) -> None:
         spark = batch.sparkSession
-        landed = spread(batch)
-        rows = to_manifest(landed) if to_manifest else landed
+        rows = to_manifest(batch) if to_manifest else batch
         manifest = read_stage_if_exists(spark, manifest_path, schemas.MANIFEST)
         fresh = filings.new_rows(rows.select(*schemas.MANIFEST.names), manifest, order)
         fresh.write.mode("append").parquet(manifest_path)

@@ -78,10 +78,7 @@ def tables(spark):
 
 
 def test_panel(spark, tables):
-    empty = schemas.empty(spark, schemas.DEPLOYMENT_FIRM_YEAR)
-    out = panel.assemble_panel(
-        spark, {"none": None, "zero": empty, **tables}, min_year=2015, max_year=2019
-    )
+    out = panel.assemble_panel(spark, {"none": None, **tables}, min_year=2015, max_year=2019)
     assert out.columns == ["firm_id", "year", "source", "n", "source_b_second", "b_second_n"]
     rows = {tuple(r) for r in out.collect()}
     assert rows == {
@@ -113,7 +110,7 @@ def test_panel_sql_does_not_match_nulls(spark, tables):
     assert out.columns == ["firm_id", "year", "source", "n", "source_b_second", "m"]
     rows = Counter_rows(out)
     assert rows[(None, 2016, "s", 4, None, None)] == rows[(None, 2016, None, None, "t", 30)] == 1
-    assert sum(rows.values()) == 5
+    assert sum(rows.values()) == 7
 
 
 def Counter_rows(df):

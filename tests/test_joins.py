@@ -121,3 +121,14 @@ def test_hot_right_side_of_left_join_is_split(spark, tmp_path, settings):
     assert out.count() == 90_002
     out.collect()
     assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_slices_do_not_depend_on_row_order(spark, tmp_path):
+    """Equal rows and rows in another order give the same panel."""
+    rows = [("hot", 2000, i % 50) for i in range(3_000)]
+    y = table(spark, str(tmp_path / "y"), "y", [("hot", 2000, 1), ("hot", 2000, 2)])
+    x = spark.createDataFrame(rows, "firm_id string, year int, x int")
+    one = joins.outer_join([x.repartition(7), y], KEYS, hot_rows=100)
+    two = joins.outer_join([x.orderBy("x").repartition(3, "x"), y], KEYS, hot_rows=100)
+    assert one.count() == 6_000
+    assert as_counter(map(tuple, one.collect())) == as_counter(map(tuple, two.collect()))

@@ -108,7 +108,8 @@ def test_generated_pages_match_a_parser(spark):
 
 
 def test_bytes_are_decoded_and_routed(spark):
-    large = b"<html><script>kept</script>" + b"<p>word</p>" * 60_000
+    # The same page is read by the same rules at any size.
+    large = b"<html><script>gone</script>" + b"<p>word</p>" * 60_000
     contents = [
         "<html>café<script>x</script></html>".encode(),
         "<HTML>café</HTML>".encode("latin-1"),
@@ -124,7 +125,7 @@ def test_bytes_are_decoded_and_routed(spark):
     )
     out = [r.text for r in tx.with_filing_text(df, "content").orderBy("id").collect()]
     assert out[:4] == ["café", "café", "plain kept", "in"]
-    assert out[4].startswith("kept word word") and len(out[4].split()) == 60_001
+    assert out[4] == " ".join(["word"] * 60_000)
     assert out[5:] == ["", None]
 
 

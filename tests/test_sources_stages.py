@@ -103,13 +103,48 @@ def test_failed_publish_leaves_the_old_table(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
-def test_spread_moves_small_scans_only(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    small = scans.spread(spark.read.parquet(path))
-    assert small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    large = spark.range(0, 1000, 1, 64)
-    assert scans.spread(large) is large
+def test_missing_and_empty_stages_are_left_out(spark, tmp_path):
+    path = str(tmp_path / "empty")
+    schemas.empty(spark, schemas.PANEL_KEYS).write.parquet(path)
+    assert scans.read_stage_if_filled(spark, path) is None
+    assert scans.read_stage_if_filled(spark, str(tmp_path / "none")) is None
+    spark.range(3).write.parquet(str(tmp_path / "three"))
+    assert scans.read_stage_if_filled(spark, str(tmp_path / "three")).count() == 3
+
+
+def test_damaged_json_raises(spark, tmp_path):
+    good = '{"0": {"cik_str": 1, "ticker": "A", "title": "a"}}'
+    folder = tmp_path / "directory"
+    folder.mkdir()
+    (folder / "1.json").write_text(good)
+    (folder / "2.json").write_text(good[:-9])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scans.read_directory(spark, str(folder)).collect()
+    history = tmp_path / "history"
+    history.mkdir()
+    (history / "1.json").write_text('{"cik": "1", "filings": {"recent": {"accessionNumber": ["x"')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scans.read_filing_history(spark, str(history)).collect()
+
+
+def test_universe_order_follows_paths_not_sizes(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("ticker,company_name,sector\nA,a,s\nB,b,s\n")
+    rows = "".join(f"T{i},name {i},sector\n" for i in range(5000))
+    (tmp_path / "2.csv").write_text("ticker,company_name,sector\n# note\n" + rows)
+    universe = scans.read_universe(spark, str(tmp_path / "*.csv"))
+    tickers = [r.ticker for r in universe.orderBy("registered_seq").collect()]
+    assert tickers == ["A", "B", *[f"T{i}" for i in range(5000)]]
+
+
+def test_bundles_keep_contents_in_place(spark, settings):
+    files = spark.range(50).selectExpr("concat('/p/', id) AS path", "cast(cast(id AS string) AS binary) AS content")
+    sinks.write_bundles(files, "bundles_test", 4)
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    wanted = spark.range(30).selectExpr("concat('/p/', id) AS path")
+    joined = spark.table("bundles_test").join(wanted, "path")
+    assert joined.count() == 30
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    spark.sql("DROP TABLE bundles_test")
 
 
 def test_views(spark, tmp_path):

@@ -82,7 +82,7 @@ def test_blind_files(spark, documents, tmp_path):
     assert hidden.columns == list(sampling.SCORE_COLUMNS)
     assert blind.count() == hidden.count() == 30
     assert blind.join(hidden, "sample_id").count() == 30
-    with pytest.raises(Exception, match="no row has"):
+    with pytest.raises(Exception, match="no row with"):
         metrics.validation_metrics(blind, hidden).collect()
 
 
@@ -130,8 +130,11 @@ def test_errors(spark):
         metrics.validation_metrics(labels)
     with pytest.raises(ValueError, match="sample_id"):
         metrics.validation_metrics(labels, other.drop("sample_id"))
-    with pytest.raises(Exception, match="no row has"):
+    with pytest.raises(Exception, match=metrics.NO_MATCH):
         metrics.validation_metrics(labels, other).collect()
+    blank = spark.createDataFrame([("b", "")], "sample_id string, human_ai_mention string")
+    with pytest.raises(Exception, match=metrics.NO_LABEL):
+        metrics.validation_metrics(blank, other).collect()
 
 
 def test_combined_file(spark):
