@@ -1,0 +1,191 @@
+"""Registered corpus queries and the pipeline against SQL, the public library or brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import os
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import oracle_compare
+import pytest
+import sentencepiece
+
+import __spark_entry__ as entry_module
+import corpus_pipeline
+from panelloom.llm.common import keep, table
+from panelloom.llm.queries import MODEL, ORACLE, QUERIES
+
+SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="shared tables are absent")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = oracle_compare.connect(SMALL)
+    yield connection
+    connection.close()
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall()
+    return {key: text or "" for key, text in rows}
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_all_are_registered():
+    names = set(entry_module.queries())
+    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names}
+    assert "pipeline" in names and set(ORACLE) <= set(entry_module.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_sql(spark, duck, name):
+    assert oracle_compare.differences(QUERIES[name](spark, SMALL), duck, ORACLE[name]) == []
+
+
+def test_native_plan(spark):
+    plan = QUERIES["op8_line_runs"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_op1(spark, texts):
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for row in QUERIES["op1_pieces"](spark, SMALL).collect():
+        ids = model.encode(texts[row.doc_id], add_bos=True, add_eos=True)
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert row.decoded_sha256 == sha(model.decode(ids))
+        assert row.span_bytes == len(texts[row.doc_id].encode())
+
+
+def test_op3(spark, texts):
+    sets = {}
+    for key, text in texts.items():
+        words = text.split()
+        sets[key] = frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+    links, parent = Counter(), {key: key for key in texts}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for one, a in sets.items():
+        for two, b in sets.items():
+            if one < two and len(a & b) / len(a | b) >= 0.8:
+                links[one] += 1
+                links[two] += 1
+                low, high = sorted((root(one), root(two)))
+                parent[high] = low
+    rows = QUERIES["op3_chosen_path"](spark, SMALL).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for row in rows:
+        assert row.n_links == links[row.doc_id] and row.class_id == root(row.doc_id)
+
+
+def test_op5(spark, texts):
+    rows = QUERIES["op5_mixing"](spark, SMALL).collect()
+    sources = dict(duckdb.sql(f"SELECT doc_id, source FROM '{SMALL}/documents.parquet'").fetchall())
+    sizes = {key: len(re.findall(r"[^\x20\x09-\x0D]+", text)) for key, text in texts.items()}
+    taken, total = Counter(), Counter()
+    for key, size in sizes.items():
+        total[sources[key]] += size
+    for row in rows:
+        assert row.size == sizes[row.doc_id] and row.source_size == total[sources[row.doc_id]]
+        assert 0 <= row.taken <= 3 * row.size
+        taken[sources[row.doc_id]] += row.taken
+    for row in rows:
+        assert abs(taken[sources[row.doc_id]] - row.target) <= 1
+    again = QUERIES["op5_mixing"](spark, SMALL).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+
+
+def test_op6(spark):
+    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{LARGER}/labels.parquet'").fetchall())
+    rows = QUERIES["op6_quality"](spark, LARGER).collect()
+    held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert np.mean([a == b for a, b in held]) >= 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def test_op7(spark, texts):
+    first, repeated, shared20 = {}, set(), defaultdict(set)
+    for key in sorted(texts):
+        words = texts[key].split()
+        for i in range(len(words) - 50):
+            if first.setdefault(tuple(words[i : i + 51]), key) != key:
+                repeated.add(key)
+        for i in range(len(words) - 19):
+            shared20[tuple(words[i : i + 20])].add(key)
+    near = {key for keys in shared20.values() if len(keys) > 1 for key in keys}
+    rows = QUERIES["op7_passage_chunks"](spark, SMALL).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    assert repeated <= {r.doc_id for r in rows if r.n_dropped}
+    assert {r.doc_id for r in rows if r.n_shared} <= near  # clean documents are left alone
+
+
+def test_op9(spark, texts):
+    rows = QUERIES["op9_bloom_digest"](spark, SMALL).collect()
+    order = sorted(texts, reverse=True)
+    following = dict(zip(order, order[1:] + order[:1], strict=True))
+    prints = defaultdict(set)
+    for row in rows:
+        text, half = texts[row.doc_id], len(texts[row.doc_id]) // 2
+        assert row.edited_sha256 == sha(text[: len(text) - half] + texts[following[row.doc_id]][:half])
+        prints[text].add(row.fingerprint)
+    assert len(rows) == len(texts) and all(len(p) == 1 for p in prints.values())
+    assert np.mean([r.near_edited for r in rows]) > 0.3 > np.mean([r.near_next for r in rows])
+
+
+def test_op10(spark):
+    data = duckdb.sql(f"SELECT vec_id, embedding FROM '{LARGER}/embeddings.parquet'").fetchall()
+    ids = np.array([r[0] for r in data])
+    vectors = np.array([r[1] for r in data], np.float64)
+    found = defaultdict(set)
+    for row in QUERIES["op10_posting_lists"](spark, LARGER).collect():
+        found[row.query_id].add(row.vec_id)
+    hits = []
+    for i in np.flatnonzero(ids % 20 == 0):
+        order = [j for j in np.lexsort((ids, -(vectors @ vectors[i]))) if j != i][:20]
+        hits.append(len(found[ids[i]] & set(ids[order].tolist())) / 20)
+    assert np.mean(hits) >= 0.9
+
+
+def test_pipeline_stages(spark):
+    docs = table(spark, SMALL, "documents")
+    columns, before = docs.columns, {r.doc_id: r for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = keep(spark, stage(spark, docs, SMALL), name)
+        rows = docs.collect()
+        if name != "encoding":
+            assert docs.columns == columns
+        if name == "quality":
+            assert 0 < len(rows) < len(before)
+        if name == "line_dedup":
+            assert {r.doc_id for r in rows} == set(before)
+            seen = {}
+            for row in sorted(rows, key=lambda r: r.doc_id):
+                for line in row.text.split("\n"):
+                    key = line.strip(" \t\n\x0b\x0c\r").lower()
+                    if len(key) >= 10:
+                        assert seen.setdefault(key, row.doc_id) == row.doc_id
+        if name == "near_duplicates":
+            assert len({r.doc_id for r in rows}) == len(rows) < len(before)
+            assert len({r.text for r in rows}) == len(rows)
+        if name == "mixing":
+            assert max(Counter(r.doc_id for r in rows).values()) <= 4
+        if name == "encoding":
+            model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+            for row in rows[:50]:
+                ids = np.frombuffer(row.ids, "<u4").tolist()
+                assert row.decoded_sha256 == sha(model.decode(ids))
+                assert ids == model.encode(before[row.doc_id].text, add_bos=True, add_eos=True)
+        before = {r.doc_id: r for r in rows}
+    assert corpus_pipeline.run(spark, SMALL).count() == len(rows)
