@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import mixed, runs_of, texts_of
+from panelloom.llm.common import mixed, text_runs
 
 WINDOW = 64
 NEIGHBOURS = 64
@@ -142,7 +142,7 @@ def fingerprints(texts: list[str], rank: np.ndarray) -> list[np.ndarray]:
     counts = np.bincount(owners, minlength=len(texts))
     chains = -(-counts // PER_FILTER)
     bases = np.cumsum([0, *chains])
-    ordinal = np.arange(len(owners)) - np.repeat(np.cumsum([0, *counts[:-1]]), counts)
+    ordinal = np.arange(len(owners)) - np.repeat(np.cumsum(counts) - counts, counts)
     row = bases[owners] + ordinal // PER_FILTER
     bits = np.zeros(int(bases[-1]) * BITS, np.uint8)
     for i in range(HASHES):
@@ -186,9 +186,8 @@ def histogram(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(LEVELS, np.int64)
         for batch in batches:
-            texts = texts_of(batch.column(0))
-            for low, high in runs_of([len(t) for t in texts], SLICE_BYTES):
-                total += level_counts(texts[low:high])
+            for _, _, texts in text_runs(batch.column(0), SLICE_BYTES):
+                total += level_counts(texts)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["level", "n"])
 
@@ -220,7 +219,7 @@ def _with_next(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str)
         (heads[(i + 1) % len(heads)]["_key"], head["_bucket"]) for i, head in enumerate(heads)
     ]
     followers = spark.createDataFrame(pairs, "_key BIGINT, _before INT")
-    extra = rows.join(followers, "_key").select(
+    extra = rows.join(F.broadcast(followers), "_key").select(
         F.col("_before").alias("_bucket"), "_key", "_id", "_text", F.lit(False).alias("_own")
     )
     own = rows.select("_bucket", "_key", "_id", "_text", F.lit(True).alias("_own"))
@@ -278,11 +277,11 @@ def compare_with_next(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            names = ("_bucket", "_id", "_text", "_own")
-            columns = [batch.column(name).to_pylist() for name in names]
-            rows = list(zip(*columns, strict=True))
-            for low, high in runs_of([len(row[2]) for row in rows], SLICE_BYTES):
-                result, held = flush(held + rows[low:high])
+            for low, high, texts in text_runs(batch.column("_text"), SLICE_BYTES):
+                part = batch.slice(low, high - low)
+                columns = [part.column(name).to_pylist() for name in ("_bucket", "_id", "_own")]
+                rows = list(zip(columns[0], columns[1], texts, columns[2], strict=True))
+                result, held = flush(held + rows)
                 yield result
 
     return _with_next(spark, docs, id_col, text_col).mapInArrow(run, RESULT_DDL)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,10 +53,18 @@ def texts_of(column) -> list[str]:
     return [value or "" for value in column.to_pylist()]
 
 
+def text_runs(column: pa.Array, budget: int) -> Iterator[tuple[int, int, list[str]]]:
+    """Rows of an Arrow string column from ``low`` to ``high`` as Python strings, about
+    ``budget`` bytes at a time, so that a batch is never held twice."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for low, high in runs_of(sizes, budget):
+        yield low, high, texts_of(column.slice(low, high - low))
+
+
 class Hashes(dict):
     """Word to 64-bit hash; forgets all when full, so its memory is bounded."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.LIMIT:
