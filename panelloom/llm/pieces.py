@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_format
 
-from panelloom.llm.common import runs_of, texts_of
+from panelloom.llm.common import text_runs
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-MEMO_RUNS, MEMO_CHARS, SLICE_BYTES = 200_000, 64, 2 << 20
+MEMO_RUNS, MEMO_CHARS, SLICE_BYTES = 100_000, 64, 1 << 20
 RUN = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 RESULT = (
     "ids BINARY, begins BINARY, ends BINARY, decoded STRING, n_tokens BIGINT, span_bytes BIGINT"
@@ -235,10 +235,9 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(model_path)
         for batch in batches:
-            texts = texts_of(batch.column("_text"))
-            for low, high in runs_of([len(t) for t in texts], SLICE_BYTES):
+            for low, high, texts in text_runs(batch.column("_text"), SLICE_BYTES):
                 rows = []
-                for ids, begins, ends in coder.encode(texts[low:high]):
+                for ids, begins, ends in coder.encode(texts):
                     covered = int((ends.astype(np.int64) - begins).sum())
                     rows.append(
                         (
@@ -257,9 +256,8 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text") -> Da
                 )
 
     others = [F.col(f"`{name}`") for name in docs.columns if name != text_col]
-    rows = docs.select(
-        F.struct(*others, F.lit(0).alias("_")).alias("_doc"), F.col(text_col).alias("_text")
-    )
+    others = others or [F.lit(None).cast("int").alias("nothing")]
+    rows = docs.select(F.struct(*others).alias("_doc"), F.col(text_col).alias("_text"))
     kind = rows.schema["_doc"].dataType.simpleString()
     return rows.mapInArrow(run, f"_doc {kind}, {RESULT}")
 

@@ -5,7 +5,7 @@ Words are hashed into ``BUCKETS`` buckets. Each bucket has a sparse random index
 words within ``REACH`` places of it, over all documents. Partial sums per task are whole
 numbers, so their total does not depend on the order of tasks. A document is the weighted
 mean of its words' context and index vectors, with weights that fall with a bucket's share
-of all words. A network of two layers in numpy is fitted on a sample of labelled rows; one
+of all words, the mean product of the two, the lengths of the two means and the logarithm of the number of words. A network of two layers in numpy is fitted on a sample of labelled rows; one
 number, the temperature, is then fitted on a part of the sample that the network did not see,
 and divides the logits, so that scores are probabilities.
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import Hashes, mixed, runs_of, texts_of
+from panelloom.llm.common import Hashes, mixed, text_runs
 
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 BUCKETS = 1 << 15
@@ -41,10 +41,13 @@ SMOOTH = 1e-3
 SAMPLE_ROWS = 20_000
 CALIBRATION_SHARE = 0.2
 HIDDEN = 32
-EPOCHS = 40
+STEPS = 2500
+BATCH = 256
+DECAY = 1e-3
 SEED = 17
 SLICE_BYTES = 1 << 19
 COLUMNS = [f"c{i}" for i in range(WIDTH)]
+POOLED = 2 * WIDTH + 4
 
 _names = mixed(np.arange(BUCKETS * SPIKES, dtype=np.uint64) + np.uint64(1)).reshape(BUCKETS, SPIKES)
 PLACE = (_names % np.uint64(WIDTH)).astype(np.int64)
@@ -80,9 +83,8 @@ def context_sums(docs: DataFrame, text_col: str) -> DataFrame:
         total = np.zeros((BUCKETS, WIDTH), np.int64)
         seen = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            texts = texts_of(batch.column(0))
-            for low, high in runs_of([len(t) for t in texts], SLICE_BYTES):
-                add_contexts(total, seen, [buckets(t, hashes) for t in texts[low:high]])
+            for _, _, texts in text_runs(batch.column(0), SLICE_BYTES):
+                add_contexts(total, seen, [buckets(t, hashes) for t in texts])
         used = np.flatnonzero(seen)
         for low in range(0, len(used), 4096):
             part = used[low : low + 4096]
@@ -96,8 +98,9 @@ def context_sums(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def vector_table(sums: pa.Table) -> np.ndarray:
-    """Weighted context and index vector of every bucket; the last column is the weight."""
-    table = np.zeros((BUCKETS, 2 * WIDTH + 1), np.float32)
+    """Weighted context and index vector of every bucket and their inner product (large for
+    words that are their own neighbours); the last column is the weight."""
+    table = np.zeros((BUCKETS, 2 * WIDTH + 2), np.float32)
     if not sums.num_rows:
         return table
     rows = sums.column("bucket").to_numpy()
@@ -111,18 +114,22 @@ def vector_table(sums: pa.Table) -> np.ndarray:
         np.add.at(own, (np.arange(len(rows)), PLACE[rows, k]), SIGN[rows, k] / SPIKES**0.5)
     weight = SMOOTH / (SMOOTH + counts / counts.sum())
     table[rows, :WIDTH] = weight[:, None] * context
-    table[rows, WIDTH:-1] = weight[:, None] * own
+    table[rows, WIDTH : 2 * WIDTH] = weight[:, None] * own
+    table[rows, -2] = weight * (context * own).sum(axis=1)
     table[rows, -1] = weight
     return table
 
 
 def pooled(text: str, table: np.ndarray, hashes: Hashes) -> np.ndarray:
-    """A document's vector."""
+    """A document's vector: the means, the lengths of the vectors (near 1 where few words come again and
+    again) and the logarithm of the number of words."""
     total = np.zeros(table.shape[1], np.float64)
     found = buckets(text, hashes)
     for low in range(0, len(found), 2048):
         total += table[found[low : low + 2048]].sum(axis=0)
-    return (total[:-1] / total[-1] if total[-1] else total[:-1]).astype(np.float32)
+    mean = total[:-1] / total[-1] if total[-1] else total[:-1]
+    lengths = np.linalg.norm(mean[:-1].reshape(2, WIDTH), axis=1)
+    return np.concatenate([mean, lengths, [np.log1p(len(found))]]).astype(np.float32)
 
 
 class Network:
@@ -155,23 +162,26 @@ class Network:
             random.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1),
         ]
         one, two = [np.zeros_like(x) for x in w], [np.zeros_like(x) for x in w]
-        step = 0
-        for epoch in range(EPOCHS):
-            rate = 0.005 * 0.5 * (1 + np.cos(np.pi * epoch / EPOCHS))
-            order = random.permutation(len(labels))
-            for low in range(0, len(order), 256):
-                part = order[low : low + 256]
-                x, y = rows[part], labels[part]
-                hidden = np.tanh(x @ w[0] + w[1])
-                error = (_sigmoid(hidden @ w[2] + w[3]) - y) / len(y)
-                back = np.outer(error, w[2]) * (1 - hidden**2)
-                slopes = [x.T @ back + 1e-4 * w[0], back.sum(axis=0), hidden.T @ error, error.sum(keepdims=True)]
-                step += 1
-                for i, slope in enumerate(slopes):
-                    one[i] = 0.9 * one[i] + 0.1 * slope
-                    two[i] = 0.999 * two[i] + 0.001 * slope**2
-                    fair = one[i] / (1 - 0.9**step)
-                    w[i] = w[i] - rate * fair / (np.sqrt(two[i] / (1 - 0.999**step)) + 1e-8)
+        order, low = random.permutation(len(labels)), 0
+        for step in range(1, STEPS + 1):
+            rate = 0.005 * 0.5 * (1 + np.cos(np.pi * step / STEPS))
+            part = order[low : low + BATCH]
+            low += BATCH
+            if low >= len(order):
+                order, low = random.permutation(len(labels)), 0
+            x, y = rows[part], labels[part]
+            hidden = np.tanh(x @ w[0] + w[1])
+            error = (_sigmoid(hidden @ w[2] + w[3]) - y) / len(y)
+            back = np.outer(error, w[2]) * (1 - hidden**2)
+            slopes = [
+                x.T @ back + DECAY * w[0], back.sum(axis=0),
+                hidden.T @ error + DECAY * w[2], error.sum(keepdims=True),
+            ]
+            for i, slope in enumerate(slopes):
+                one[i] = 0.9 * one[i] + 0.1 * slope
+                two[i] = 0.999 * two[i] + 0.001 * slope**2
+                fair = one[i] / (1 - 0.9**step)
+                w[i] = w[i] - rate * fair / (np.sqrt(two[i] / (1 - 0.999**step)) + 1e-8)
         self.weights = w
 
     def logits(self, vectors: np.ndarray) -> np.ndarray:
@@ -217,8 +227,11 @@ def score_documents(
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
-            texts = texts_of(batch.column("_text"))
-            rows = [pooled(text, table.value, hashes).tobytes() for text in texts]
+            rows = [
+                pooled(text, table.value, hashes).tobytes()
+                for _, _, texts in text_runs(batch.column("_text"), SLICE_BYTES)
+                for text in texts
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_label"), pa.array(rows, pa.binary())], ["_label", "_vector"]
             )
@@ -234,16 +247,19 @@ def score_documents(
     sample = fitted.select("_label", "_text").mapInArrow(pool, "_label INT, _vector BINARY").toArrow()
     vectors = np.frombuffer(b"".join(sample.column("_vector").to_pylist()), np.float32)
     found = sample.column("_label").to_numpy()
-    vectors = vectors.reshape(len(found), 2 * WIDTH)
+    vectors = vectors.reshape(len(found), POOLED)
     order = np.lexsort((*vectors.T[:4], found))  # the order of tasks must not matter
     network = spark.sparkContext.broadcast(Network(vectors[order], found[order]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
-            texts = texts_of(batch.column("_text"))
-            rows = [pooled(text, table.value, hashes) for text in texts]
-            values = network.value.scores(np.array(rows, np.float32).reshape(-1, 2 * WIDTH))
+            rows = [
+                pooled(text, table.value, hashes)
+                for _, _, texts in text_runs(batch.column("_text"), SLICE_BYTES)
+                for text in texts
+            ]
+            values = network.value.scores(np.array(rows, np.float32).reshape(-1, POOLED))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_doc"), pa.array(values, pa.float64())], ["_doc", "_score"]
             )
