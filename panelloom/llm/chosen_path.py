@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import Hashes, keep, mixed, texts_of
+from panelloom.llm.common import Hashes, keep, mixed, text_runs
 from panelloom.llm.graph import components
 
 WORDS = 5
@@ -45,9 +45,12 @@ LIMIT = 128
 ROUNDS = 3
 DEEPER = 3
 MARGIN = 0.15
+BLOCK_NODES = 1024
 BLOCK_SETS = 256
 BLOCK_GRAMS = 1 << 20
+BROADCAST_ROWS = 500_000
 LAST = 2**63 - 1
+SLICE_BYTES = 1 << 20
 
 _draw = np.random.default_rng(5)
 MULTIPLY = _draw.integers(0, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -75,7 +78,7 @@ def minwise(grams: np.ndarray) -> np.ndarray:
     for low in range(0, len(grams), 1024):
         part = grams[low : low + 1024, None] * MULTIPLY + ADD
         np.minimum(least, part.min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32)
+    return (least >> np.uint64(48)).astype(np.uint16)
 
 
 def split(tokens: np.ndarray, owner: np.ndarray, path: np.ndarray, threshold: float):
@@ -93,7 +96,7 @@ def split(tokens: np.ndarray, owner: np.ndarray, path: np.ndarray, threshold: fl
 
 def _tokens(column: pa.Array) -> np.ndarray:
     """A binary column of minwise tokens as a matrix."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SLOTS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SLOTS)
 
 
 def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -104,11 +107,12 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         hashes = Hashes()
         for batch in batches:
             names, sizes, tokens = [], [], []
-            for text in texts_of(batch.column("_body")):
-                grams = gram_set(text, hashes)
-                names.append(xxhash.xxh3_64_intdigest(grams.tobytes()))
-                sizes.append(len(grams))
-                tokens.append(minwise(grams).tobytes())
+            for _, _, texts in text_runs(batch.column("_body"), SLICE_BYTES):
+                for text in texts:
+                    grams = gram_set(text, hashes)
+                    names.append(xxhash.xxh3_64_intdigest(grams.tobytes()))
+                    sizes.append(len(grams))
+                    tokens.append(minwise(grams).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"), batch.column("_text"),
@@ -191,10 +195,14 @@ def _rooted(count: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 
 def _alike(table: pa.Table, bar: float) -> pa.Table:
-    """Edges from each class to the least one it is connected to inside its node."""
+    """Edges from each class to the least one it is connected to inside its node.
+
+    In a pair of two blocks only edges between them are wanted, one for each group that is
+    connected inside its own block, since each block is also compared with itself."""
     table = table.sort_by([("_path", "ascending"), ("_class", "ascending")])
     keys = table.column("_path").to_numpy()
     names = table.column("_class").to_numpy()
+    sides = table.column("_side").to_numpy()
     tokens = _tokens(table.column("_tokens").combine_chunks())
     ones, twos = [], []
     rows, step = np.arange(len(keys)), 1
@@ -210,8 +218,15 @@ def _alike(table: pa.Table, bar: float) -> pa.Table:
             twos.append(part + step)
         step += 1
     none = np.zeros(0, np.int64)
-    label = _rooted(len(keys), np.concatenate([none, *ones]), np.concatenate([none, *twos]))
-    moved = np.flatnonzero((label != np.arange(len(keys))) & (names[label] != names))
+    one, two = np.concatenate([none, *ones]), np.concatenate([none, *twos])
+    label = _rooted(len(keys), one, two)
+    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    mixed_node = np.minimum.reduceat(sides, firsts) != np.maximum.reduceat(sides, firsts)
+    crossing = np.repeat(mixed_node, np.diff([*firsts, len(keys)]))
+    inner = sides[one] == sides[two]
+    own = _rooted(len(keys), one[inner], two[inner])
+    wanted = ~crossing | (own == np.arange(len(keys)))
+    moved = np.flatnonzero((label != np.arange(len(keys))) & (names[label] != names) & wanted)
     return pa.table({"_a": names[moved], "_b": names[label[moved]]})
 
 
@@ -224,7 +239,8 @@ def _candidates(spark: SparkSession, classes: DataFrame, threshold: float, runs:
         sizes = paths.groupBy("_path").agg(F.count("*").alias("_n")).where("_n > 1")
         sizes = keep(spark, sizes, "nodes")
         large = F.col("_n") > LIMIT
-        inside = paths.join(sizes, "_path").join(tokens, "_class")
+        shared = keep(spark, paths.join(sizes, "_path"), "shared")
+        inside = shared.join(tokens, "_class")
         if turn == ROUNDS or sizes.where(large).isEmpty():
             leaves.append(inside)
             break
@@ -239,13 +255,13 @@ def _candidates(spark: SparkSession, classes: DataFrame, threshold: float, runs:
     edges: DataFrame | None = None
     for inside in leaves:
         # Leftovers: every pair of blocks of a large node is compared.
-        blocks = F.ceil(F.col("_n") / LIMIT).cast("int")
+        blocks = F.ceil(F.col("_n") / BLOCK_NODES).cast("int")
         own = F.pmod(F.xxhash64("_class", "_path"), blocks).cast("int")
         other = F.explode(F.sequence(F.lit(0), blocks - 1))
         rows = inside.withColumn("_own", own).withColumn("_other", other)
         rows = rows.select(
             F.xxhash64("_path", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("_path"),
-            "_class", "_tokens",
+            "_class", "_tokens", F.col("_own").alias("_side"),
         )
         bar = threshold - MARGIN
         found = _streamed(rows, "_path", lambda t: _alike(t, bar), "_a BIGINT, _b BIGINT")
@@ -316,11 +332,12 @@ def _grams(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
-            grams = [gram_set(text, hashes).tobytes() for text in texts_of(batch.column("_body"))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_class"), pa.array(grams, pa.large_binary()).cast(pa.binary())],
-                ["_class", "_grams"],
-            )
+            for low, high, texts in text_runs(batch.column("_body"), SLICE_BYTES):
+                grams = [gram_set(text, hashes).tobytes() for text in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_class").slice(low, high - low), pa.array(grams, pa.binary())],
+                    ["_class", "_grams"],
+                )
 
     return rows.select("_class", "_body").mapInArrow(run, "_class BIGINT, _grams BINARY")
 
@@ -342,7 +359,7 @@ def join_documents(
     )
     sizes = keep(spark, sizes, "classes")
     lead = sets.join(sizes.withColumnRenamed("_rep", "_id").select("_class", "_id"), ["_class", "_id"])
-    classes = lead.select("_class", "_id", "_text", "_tokens").dropDuplicates(["_class"])
+    classes = lead.select("_class", "_id", "_text", "_tokens").dropDuplicates(["_class", "_id"])
     classes = keep(spark, classes, "leads")
     edges = _candidates(spark, classes, threshold, runs)
     groups = components(spark, edges, "_a", "_b")
@@ -360,6 +377,9 @@ def join_documents(
     )
     text = _keyed(docs, id_col, text_col)
     asked = classes.join(members.select("_class"), "_class").select("_class", "_id", "_text")
+    asked = keep(spark, asked, "asked")
+    if asked.count() <= BROADCAST_ROWS:  # 24 bytes each; beyond, texts are shuffled to them
+        asked = F.broadcast(asked)
     bodies = text.join(asked, ["_id", "_text"]).dropDuplicates(["_class"]).select("_class", "_body")
     grams = _grams(bodies)
     paired = placed.join(grams, "_class").withColumn(
