@@ -8,9 +8,12 @@ same turns get the same positions) and its attention intervals: the ranges of it
 and its own, which are all that its characters may attend to. A token is one code point;
 segments end at turn borders, so a tokeniser can be applied to each segment alone.
 
-Depth-first order is the order of the arrays of hashes from the root. Nodes are range
-partitioned by it and starts are partial sums per partition plus a base per partition, so no
-task sees more than its share, whatever shares a first turn.
+Conversations are ranked by the arrays of their hashes. The first conversation in that order
+that has a node owns it, and nodes in order of (owner, turn) are in depth-first order. Nodes
+are range partitioned by it and starts are partial sums per partition plus a base per
+partition, so no task sees more than its share, whatever shares a first turn or a whole
+conversation. Ranges of ancestors that follow each other are one range, so a long chain of
+turns costs one range a node, not one per ancestor.
 
 Template: ``<|im_start|>`` role NEWLINE text ``<|im_end|>`` NEWLINE. In texts and roles a
 backslash is doubled and ``<|`` becomes ``<\\|`` (and a line break in a role ``<\\/``), so
@@ -31,6 +34,7 @@ from panelloom.llm.common import keep
 
 START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
+STRETCH = 4096
 
 
 def escape(text: Column) -> Column:
@@ -65,8 +69,24 @@ def _turns(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> DataF
     upto = Window.partitionBy("_conv").orderBy("_depth")
     one = F.bit_xor(F.xxhash64("_depth", "_role", "_text")).over(upto)
     two = F.bit_xor(F.xxhash64(F.lit("second"), "_depth", "_role", "_text")).over(upto)
-    named = numbered.withColumns({"_k1": one, "_k2": two})
-    return named.withColumn("_path", F.collect_list(F.struct("_k1", "_k2")).over(upto))
+    return numbered.withColumns({"_k1": one, "_k2": two})
+
+
+def _ranked(spark: SparkSession, turns: DataFrame) -> DataFrame:
+    """An ordered number for each conversation: ``_conv``, ``_rank``."""
+    steps = F.sort_array(F.collect_list(F.struct("_depth", "_k1", "_k2")))
+    paths = turns.groupBy("_conv").agg(steps.alias("_steps")).select(
+        "_conv", F.transform("_steps", lambda s: F.struct(s["_k1"], s["_k2"])).alias("_path")
+    )
+    # The conversation itself as the last key deals out equal paths.
+    dealt = keep(
+        spark,
+        paths.repartitionByRange("_path", "_conv").withColumn("_part", F.spark_partition_id()),
+        "paths",
+    )
+    order = Window.partitionBy("_part").orderBy("_path", "_conv")
+    rank = F.shiftleft(F.col("_part").cast("bigint"), 40) + F.row_number().over(order)
+    return dealt.select("_conv", rank.alias("_rank"))
 
 
 def format_tree(
@@ -85,13 +105,16 @@ def format_tree(
     the segment under the loss mask). Conversations: ``conv``, ``start`` of the last node,
     ``n_turns``."""
     turns = keep(spark, _turns(rows, conv, turn, role, text), "turns")
-    distinct = turns.select("_k1", "_k2", "_role", "_text", "_depth", "_path").dropDuplicates(
-        ["_k1", "_k2"]
-    )
+    ranks = keep(spark, _ranked(spark, turns), "ranks")
+    turns = turns.join(ranks, turns["_conv"].eqNullSafe(ranks["_conv"])).drop(ranks["_conv"])
+    turns = keep(spark, turns, "ranked-turns")
+    owners = turns.groupBy("_k1", "_k2").agg(F.min("_rank").alias("_owner"))
+    owners = keep(spark, owners, "owners")
+    owned = turns.join(owners, ["_k1", "_k2"]).where("_rank = _owner")
     head = F.concat(F.lit(START), escape_role(F.col("_role")), F.lit("\n"))
     body = escape(F.col("_text"))
-    nodes = distinct.select(
-        "_k1", "_k2", "_depth", "_path",
+    nodes = owned.select(
+        "_k1", "_k2", "_rank", "_depth",
         F.concat(head, body, F.lit(END + "\n")).alias("segment"),
         F.char_length(head).alias("_head"),
         F.when(F.col("_role") == loss_role, F.char_length(body)).otherwise(0).alias("loss_length"),
@@ -99,71 +122,85 @@ def format_tree(
     # Written once: the partition numbers and sums below see one fixed division.
     nodes = keep(
         spark,
-        nodes.repartitionByRange("_path").sortWithinPartitions("_path")
-        .withColumn("part", F.spark_partition_id()),
+        nodes.repartitionByRange("_rank", "_depth").withColumn("part", F.spark_partition_id()),
         "tree-nodes",
     )
     sums = nodes.groupBy("part").agg(F.sum("length").alias("_sum"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    inner = Window.partitionBy("part").orderBy("_path").rowsBetween(
+    inner = Window.partitionBy("part").orderBy("_rank", "_depth").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    slim = nodes.select("part", "_k1", "_k2", "_depth", "_path", "length")
+    slim = nodes.select("part", "_k1", "_k2", "_rank", "_depth", "length")
     starts = keep(
         spark,
         slim.withColumn("_in", F.coalesce(F.sum("length").over(inner), F.lit(0)))
         .join(bases, "part")
-        .select("part", "_k1", "_k2", "_depth", "_path", "length",
+        .select("_k1", "_k2", F.col("_rank").alias("_owner"), "length",
                 (F.col("_base") + F.col("_in")).alias("start")),
         "tree-starts",
     )
-    # A node's ancestors are the elements of its path; their hashes find them.
-    steps = starts.select("start", "length", F.explode("_path").alias("_up")).select(
-        "start", "length", "_up.*"
-    )
-    ranges = starts.select(
-        "_k1", "_k2", F.col("start").alias("_from"),
-        (F.col("start") + F.col("length")).alias("_to"),
-    )
-    attends = (
-        steps.join(ranges, ["_k1", "_k2"])
-        .groupBy("start", "length")
-        .agg(F.sort_array(F.collect_list(F.struct(
-            F.col("_from").alias("from"), F.col("_to").alias("to")
-        ))).alias("attends"))
-        .withColumn("position", F.aggregate(
-            "attends", F.lit(0).cast("bigint"), lambda n, r: n + r["to"] - r["from"]
-        ) - F.col("length"))
-    )
-    places = starts.select("_k1", "_k2", "start")
-    tree = (
-        nodes.join(places, ["_k1", "_k2"])
-        .join(attends.drop("length"), "start")
-        .select("part", "start", "length", "segment", "position", "attends",
-                F.col("_head").alias("loss_from"), "loss_length")
-    )
-    final = F.max("_depth").over(Window.partitionBy("_conv"))
-    ends = turns.select("_conv", "_depth", "_k1", "_k2").withColumn("_last", final).where(
-        "_depth = _last"
-    )
-    conversations = ends.join(places, ["_k1", "_k2"]).select(
+    placed = turns.select("_conv", "_rank", "_depth", "_k1", "_k2").join(starts, ["_k1", "_k2"])
+    placed = keep(spark, _with_ranges(placed), "ranges")
+    own = placed.where("_rank = _owner").select("_k1", "_k2", "start", "position", "attends")
+    tree = nodes.join(own, ["_k1", "_k2"]).select(
+        "part", "start", "length", "segment", "position", "attends",
+        F.col("_head").alias("loss_from"), "loss_length",
+    )
+    conversations = placed.where("_depth = _last").select(
         F.col("_conv").alias("conv"), "start", F.col("_depth").cast("bigint").alias("n_turns")
     )
     # The tree is the output: it is written once and read from there.
     return keep(spark, tree, "tree"), keep(spark, conversations, "conversations")
 
 
+def _with_ranges(placed: DataFrame) -> DataFrame:
+    """Turns of each conversation with ``attends``, ``position`` and ``_last`` (its depth)."""
+    order = Window.partitionBy("_rank").orderBy("_depth")
+    ended = F.lag(F.col("start") + F.col("length")).over(order)
+    cut = placed.withColumn("_ended", ended).withColumn(
+        "_cut", F.when(~F.col("start").eqNullSafe(F.col("_ended")), F.struct("start", "_ended"))
+    )
+    # A range begins at each cut and ends where the turn before the next cut ended.
+    cuts = F.collect_list("_cut").over(order)
+    last = F.max("_depth").over(Window.partitionBy("_rank"))
+    cut = cut.withColumn("_cuts", cuts).withColumn("_last", last)
+    until = F.col("start") + F.col("length")
+    ranges = F.transform(
+        "_cuts",
+        lambda c, i: F.struct(
+            c["start"].alias("from"),
+            F.coalesce(F.get("_cuts", i + 1)["_ended"], until).alias("to"),
+        ),
+    )
+    held = F.aggregate("attends", F.lit(0).cast("bigint"), lambda n, r: n + r["to"] - r["from"])
+    return cut.withColumn("attends", ranges).withColumn("position", held - F.col("length")).drop(
+        "_cut", "_cuts", "_ended"
+    )
+
+
 def read_back(tree: DataFrame, conversations: DataFrame) -> DataFrame:
     """Each conversation's formatted text, turns and text under the loss mask, from the
-    written segments that its last node attends to."""
+    written segments in the ranges that its last node attends to."""
     ends = tree.select("start", "attends")
     asked = conversations.join(ends, "start").select(
-        "conv", "n_turns", F.posexplode("attends").alias("_i", "_range")
-    ).select("conv", "n_turns", "_i", F.col("_range")["from"].alias("start"))
-    segments = tree.select("start", "segment", "loss_from", "loss_length")
-    parts = asked.join(segments, "start").select(
-        "conv", "n_turns", "_i", "segment",
+        "conv", "n_turns", F.explode("attends").alias("_range")
+    )
+    # Ranges meet segments through the stretches of the sequence that they cover.
+    low, high = F.col("_range")["from"], F.col("_range")["to"]
+    stretch = F.sequence(F.floor(low / STRETCH), F.floor((high - 1) / STRETCH))
+    asked = asked.select(
+        "conv", "n_turns", low.alias("_from"), high.alias("_to"),
+        F.explode(stretch).alias("_stretch"),
+    )
+    segments = tree.select(
+        "start", "segment", "loss_from", "loss_length",
+        F.floor(F.col("start") / STRETCH).alias("_stretch"),
+    )
+    parts = asked.join(segments, "_stretch").where(
+        (F.col("start") >= F.col("_from")) & (F.col("start") < F.col("_to"))
+    ).select(
+        "conv", "n_turns", F.col("start").alias("_i"), "segment",
         F.substring(F.col("segment"), F.col("loss_from") + 1, F.col("loss_length")).alias("_loss"),
     )
     joined = parts.groupBy("conv", "n_turns").agg(
