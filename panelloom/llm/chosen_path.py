@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import Hashes, keep, mixed, text_runs
+from panelloom.llm.common import Hashes, keep, mixed, release, text_runs
 from panelloom.llm.graph import components
 
 WORDS = 5
@@ -121,6 +121,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 ],
                 ["_id", "_text", "_class", "_size", "_tokens"],
             )
+        release()
 
     return _keyed(docs, id_col, text_col).mapInArrow(run, shape)
 

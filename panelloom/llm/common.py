@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -61,6 +62,14 @@ def text_runs(column: pa.Array, budget: int) -> Iterator[tuple[int, int, list[st
         yield low, high, texts_of(column.slice(low, high - low))
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers are reused and would keep their peak."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Hashes(dict):
     """Word to 64-bit hash; forgets all when full, so its memory is bounded."""
 

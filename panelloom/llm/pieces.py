@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_format
 
-from panelloom.llm.common import text_runs
+from panelloom.llm.common import release, text_runs
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -254,6 +254,7 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text") -> Da
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_doc").slice(low, high - low), *columns], ["_doc", *names]
                 )
+        release()
 
     others = [F.col(f"`{name}`") for name in docs.columns if name != text_col]
     others = others or [F.lit(None).cast("int").alias("nothing")]

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import Hashes, mixed, text_runs
+from panelloom.llm.common import Hashes, mixed, release, text_runs
 
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 BUCKETS = 1 << 15
@@ -91,6 +91,8 @@ def context_sums(docs: DataFrame, text_col: str) -> DataFrame:
             arrays = [pa.array(part), pa.array(seen[part])]
             arrays += [pa.array(np.ascontiguousarray(total[part, i])) for i in range(WIDTH)]
             yield pa.RecordBatch.from_arrays(arrays, ["bucket", "n", *COLUMNS])
+        del total, seen, hashes
+        release()
 
     shape = ", ".join(f"{name} BIGINT" for name in ("bucket", "n", *COLUMNS))
     sums = docs.select(text_col).mapInArrow(run, shape)
@@ -263,6 +265,7 @@ def score_documents(
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_doc"), pa.array(values, pa.float64())], ["_doc", "_score"]
             )
+        release()
 
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"),
