@@ -5,9 +5,11 @@ joined. A set is represented by 128 minwise tokens. In each run a tree of random
 walked: at a node every token slot is sampled with probability 1 / (threshold x slots), and
 each sampled token opens a child for all sets that share it. A set finds its own nodes of
 the first ``DEPTH`` levels without meeting another set. Nodes with one class are dropped
-after counting; nodes with more than ``LIMIT`` classes are split further, up to ``ROUNDS`` times;
-the rest are compared by brute force, leftovers in pairs of blocks. ``RUNS`` runs leave a
-pair at the very threshold apart with probability 0.69^20 < 0.001, more similar ones less.
+after counting; all others are compared by brute force at this depth, whatever their size, so
+``RUNS`` runs leave a pair at the very threshold apart with probability 0.69^20 < 0.001, more
+similar ones less, in large nodes, too. Nodes of more than ``BLOCK_NODES`` classes are first
+compared inside random blocks; then pairs of blocks are compared, but for the classes that
+are connected already: only connected groups are asked for.
 
 The nodes' comparisons use the minwise tokens with a margin of more than four standard
 errors and only give connected groups of candidates. An exact check of the whole sets
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelloom.llm.common import Hashes, keep, mixed, release, text_runs
@@ -41,9 +43,6 @@ THRESHOLD = 0.8
 SLOTS = 128
 RUNS = 20
 DEPTH = 4
-LIMIT = 128
-ROUNDS = 3
-DEEPER = 3
 MARGIN = 0.15
 BLOCK_NODES = 1024
 BLOCK_SETS = 256
@@ -134,22 +133,17 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _walk(rows: DataFrame, levels: int, threshold: float, runs: int | None) -> DataFrame:
-    """Paths after some more levels; ``runs``: start from that many roots."""
+def _walk(rows: DataFrame, levels: int, threshold: float, runs: int) -> DataFrame:
+    """Paths after some levels from each of ``runs`` roots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens = _tokens(batch.column("_tokens"))
             names = batch.column("_class").to_numpy()
             everyone = np.arange(len(names))
-            if runs is None:
-                starts = [batch.column("_path").to_numpy().view(np.uint64)]
-            else:
-                starts = [
-                    np.full(len(names), mixed(np.array([r + 1], np.uint64))[0]) for r in range(runs)
-                ]
-            for path in starts:
+            for r in range(runs):
                 owner = everyone
+                path = np.full(len(names), mixed(np.array([r + 1], np.uint64))[0])
                 for _ in range(levels):
                     owner, path = split(tokens, owner, path, threshold)
                 yield pa.RecordBatch.from_arrays(
@@ -196,78 +190,116 @@ def _rooted(count: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 
 def _alike(table: pa.Table, bar: float) -> pa.Table:
-    """Edges from each class to the least one it is connected to inside its node.
+    """Edges from each group to another one it is connected to inside its node.
 
-    In a pair of two blocks only edges between them are wanted, one for each group that is
-    connected inside its own block, since each block is also compared with itself."""
-    table = table.sort_by([("_path", "ascending"), ("_class", "ascending")])
+    Rows of one ``_group`` are connected before. Pairs that are connected already are not
+    compared, nor, where ``_cross``, are pairs inside one of two blocks."""
+    table = table.sort_by([("_path", "ascending"), ("_group", "ascending")])
     keys = table.column("_path").to_numpy()
-    names = table.column("_class").to_numpy()
+    groups = table.column("_group").to_numpy()
     sides = table.column("_side").to_numpy()
+    cross = table.column("_cross").to_numpy()
     tokens = _tokens(table.column("_tokens").combine_chunks())
-    ones, twos = [], []
+    fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (groups[1:] != groups[:-1])])
+    label = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    ones, twos, found = [], [], 0
     rows, step = np.arange(len(keys)), 1
     while True:
         rows = rows[rows + step < len(keys)]
         rows = rows[keys[rows] == keys[rows + step]]
         if not len(rows):
             break
-        for low in range(0, len(rows), 8192):
-            part = rows[low : low + 8192]
+        asked = rows[label[rows] != label[rows + step]]
+        asked = asked[~cross[asked] | (sides[asked] != sides[asked + step])]
+        for low in range(0, len(asked), 8192):
+            part = asked[low : low + 8192]
             part = part[(tokens[part] == tokens[part + step]).sum(axis=1) >= bar * SLOTS]
             ones.append(part)
             twos.append(part + step)
+            found += len(part)
+        if found and (step & (step - 1) == 0 or 8 * found > len(keys)):
+            label = _joined(label, ones, twos)
+            ones, twos, found = [], [], 0
         step += 1
-    none = np.zeros(0, np.int64)
-    one, two = np.concatenate([none, *ones]), np.concatenate([none, *twos])
-    label = _rooted(len(keys), one, two)
-    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    mixed_node = np.minimum.reduceat(sides, firsts) != np.maximum.reduceat(sides, firsts)
-    crossing = np.repeat(mixed_node, np.diff([*firsts, len(keys)]))
-    inner = sides[one] == sides[two]
-    own = _rooted(len(keys), one[inner], two[inner])
-    wanted = ~crossing | (own == np.arange(len(keys)))
-    moved = np.flatnonzero((label != np.arange(len(keys))) & (names[label] != names) & wanted)
-    return pa.table({"_a": names[moved], "_b": names[label[moved]]})
+    label = _joined(label, ones, twos)
+    moved = np.flatnonzero(fresh & (groups[label] != groups))
+    return pa.table({"_a": groups[moved], "_b": groups[label[moved]]})
+
+
+def _joined(label: np.ndarray, ones: list[np.ndarray], twos: list[np.ndarray]) -> np.ndarray:
+    """Labels after more connections."""
+    if not ones:
+        return label
+    one, two = label[np.concatenate(ones)], label[np.concatenate(twos)]
+    return _rooted(len(label), one, two)[label]
 
 
 def _candidates(spark: SparkSession, classes: DataFrame, threshold: float, runs: int) -> DataFrame:
     """Edges that connect each group of candidates."""
     tokens = classes.select("_class", "_tokens")
+    bar = threshold - MARGIN
+    shape = "_a BIGINT, _b BIGINT"
     paths = keep(spark, _walk(tokens, DEPTH, threshold, runs), "paths")
-    leaves = []
-    for turn in range(ROUNDS + 1):
-        sizes = paths.groupBy("_path").agg(F.count("*").alias("_n")).where("_n > 1")
-        sizes = keep(spark, sizes, "nodes")
-        large = F.col("_n") > LIMIT
-        shared = keep(spark, paths.join(sizes, "_path"), "shared")
-        inside = shared.join(tokens, "_class")
-        if turn == ROUNDS or sizes.where(large).isEmpty():
-            leaves.append(inside)
-            break
-        leaves.append(inside.where(~large))
-        paths = keep(
-            spark,
-            _walk(
-                inside.where(large).select("_path", "_class", "_tokens"), DEEPER, threshold, None
-            ).distinct(),
-            "paths",
-        )
-    edges: DataFrame | None = None
-    for inside in leaves:
-        # Leftovers: every pair of blocks of a large node is compared.
-        blocks = F.ceil(F.col("_n") / BLOCK_NODES).cast("int")
-        own = F.pmod(F.xxhash64("_class", "_path"), blocks).cast("int")
-        other = F.explode(F.sequence(F.lit(0), blocks - 1))
-        rows = inside.withColumn("_own", own).withColumn("_other", other)
-        rows = rows.select(
-            F.xxhash64("_path", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("_path"),
-            "_class", "_tokens", F.col("_own").alias("_side"),
-        )
-        bar = threshold - MARGIN
-        found = _streamed(rows, "_path", lambda t: _alike(t, bar), "_a BIGINT, _b BIGINT")
-        edges = found if edges is None else edges.unionByName(found)
-    return edges
+    sizes = paths.groupBy("_path").agg(F.count("*").alias("_n")).where("_n > 1")
+    sizes = keep(spark, sizes, "nodes")
+    shared = keep(spark, paths.join(sizes, "_path"), "shared")
+    block = _block("_n")
+    rows = shared.join(tokens, "_class").select(
+        F.xxhash64("_path", block).alias("_path"), F.col("_class").alias("_group"),
+        F.lit(0).cast("bigint").alias("_side"), F.lit(False).alias("_cross"), "_tokens",
+    )
+    edges = keep(spark, _streamed(rows, "_path", lambda t: _alike(t, bar), shape), "inside")
+    large = shared.where(F.col("_n") > BLOCK_NODES)
+    if large.isEmpty():
+        return edges
+
+    # What large nodes have not connected yet, in all pairs of blocks. A group that fills
+    # blocks has its own, which are not compared with each other.
+    groups = components(spark, edges, "_a", "_b")
+    large = large.join(groups.withColumnRenamed("node", "_class"), "_class", "left").select(
+        "_path", "_class", F.coalesce("label", "_class").alias("_group")
+    )
+    large = keep(spark, large, "large")
+    parts = large.groupBy("_path", "_group").agg(F.count("*").alias("_m"))
+    full = F.col("_m") > BLOCK_NODES
+    parts = parts.groupBy("_path", F.when(full, F.col("_group")).alias("_own")).agg(
+        F.sum("_m").alias("_m"), F.count("*").alias("_groups")
+    )
+    parts = keep(spark, parts, "parts")
+    open_nodes = parts.groupBy("_path").agg(F.sum("_groups").alias("_groups")).where("_groups > 1")
+    parts = parts.join(open_nodes.select("_path"), "_path")
+    blocks = parts.withColumn("_i", F.explode(F.sequence(F.lit(0), _blocks("_m") - 1)))
+    blocks = blocks.groupBy("_path").agg(
+        F.collect_list(F.struct("_own", F.xxhash64("_own", "_i").alias("_side"))).alias("_others")
+    )
+    own = parts.where(F.col("_own").isNotNull()).select("_path", F.col("_own").alias("_group"), "_m")
+    rest = parts.where(F.col("_own").isNull()).select("_path", F.col("_m").alias("_rest"))
+    placed = large.join(blocks, "_path").join(rest, "_path", "left")
+    placed = placed.join(own, ["_path", "_group"], "left")
+    kind = F.when(F.col("_m").isNotNull(), F.col("_group"))
+    placed = placed.withColumn("_own", kind).withColumn(
+        "_side", F.xxhash64("_own", _block(F.coalesce("_m", "_rest")))
+    )
+    placed = placed.withColumn("_other", F.explode("_others")).where(
+        F.col("_own").isNull() | ~F.col("_own").eqNullSafe(F.col("_other._own"))
+    )
+    low, high = F.least("_side", "_other._side"), F.greatest("_side", "_other._side")
+    rows = placed.join(tokens, "_class").select(
+        F.xxhash64("_path", low, high).alias("_path"), "_group", "_side",
+        (low != high).alias("_cross"), "_tokens",
+    )
+    across = _streamed(rows, "_path", lambda t: _alike(t, bar), shape)
+    return groups.select(F.col("node").alias("_a"), F.col("label").alias("_b")).unionByName(across)
+
+
+def _blocks(count: Column | str) -> Column:
+    """How many blocks so many classes of a node take."""
+    return F.ceil((F.col(count) if isinstance(count, str) else count) / BLOCK_NODES).cast("int")
+
+
+def _block(count: Column | str) -> Column:
+    """The class's block among them."""
+    return F.pmod(F.xxhash64("_class", "_path"), _blocks(count)).cast("int")
 
 
 def _checked(table: pa.Table, threshold: float) -> pa.Table:

@@ -21,6 +21,7 @@ from panelloom.llm import (
     quality,
     url_rules,
 )
+from panelloom.llm.graph import components
 from panelloom.llm.queries import MODEL, URL_RULES
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -169,6 +170,51 @@ def test_near_duplicates(spark, docs, none):
     assert chosen_path.keep_one(spark, none).count() == 0
 
 
+def test_pairs_in_large_nodes_are_candidates(spark, monkeypatch):
+    """Pairs at the threshold among thousands that are made of shared passages: every token
+    has one of two values, so all nodes are large, and unrelated sets agree in half."""
+    monkeypatch.setattr(chosen_path, "MARGIN", 0.1)  # keeps unrelated sets apart here
+    random = np.random.default_rng(6)
+    pairs = 2000
+    tokens = random.integers(0, 2, (pairs, chosen_path.SLOTS)).astype(np.uint16)
+    twins = tokens.copy()
+    for twin in twins:
+        twin[random.permutation(chosen_path.SLOTS)[:26]] ^= 1
+    rows = [(i, r.tobytes()) for i, r in enumerate(np.concatenate([tokens, twins]))]
+    frame = spark.createDataFrame(rows, "_class bigint, _tokens binary").repartition(4)
+    edges = chosen_path._candidates(spark, frame, chosen_path.THRESHOLD, chosen_path.RUNS)
+    groups = {r.node: r.label for r in components(spark, edges, "_a", "_b").collect()}
+    missed = sum(groups.get(i, -1) != groups.get(i + pairs, -2) for i in range(pairs))
+    print(f"missed {missed} of {pairs}")
+    assert missed <= 0.002 * pairs
+    assert len(set(groups.values())) > pairs / 2
+
+
+def test_large_nodes_in_blocks(spark, monkeypatch):
+    """Groups that fill blocks, small groups and single classes of one node in blocks of 8."""
+    monkeypatch.setattr(chosen_path, "BLOCK_NODES", 8)
+    random = np.random.default_rng(8)
+    template = random.integers(0, 1 << 16, chosen_path.SLOTS).astype(np.uint16)
+    tokens = []
+    for size in [60, 30, *[2] * 20, *[1] * 20]:
+        base = template.copy()
+        base[random.permutation(chosen_path.SLOTS)[:64]] = random.integers(0, 1 << 16, 64)
+        for _ in range(size):
+            tokens.append(base.copy())
+            tokens[-1][random.integers(chosen_path.SLOTS)] = random.integers(1 << 16)
+    tokens = np.array(tokens)
+    alike = (tokens[:, None] == tokens[None]).mean(axis=2) >= 0.65
+    frame = spark.createDataFrame(
+        [(i, r.tobytes()) for i, r in enumerate(tokens)], "_class bigint, _tokens binary"
+    )
+    edges = chosen_path._candidates(spark, frame, chosen_path.THRESHOLD, chosen_path.RUNS)
+    found = {r.node: r.label for r in components(spark, edges, "_a", "_b").collect()}
+    label = chosen_path._rooted(len(tokens), *np.nonzero(alike))
+    for i, one in enumerate(label):
+        for j in range(i):
+            assert (label[j] == one) == (found.get(i, -i - 1) == found.get(j, -j - 1))
+
+
 def test_url_rules(spark):
     urls = [
         None, "", "no scheme", "http://", "http://net", "http://net/", "https://A.B.NET/x?y",
