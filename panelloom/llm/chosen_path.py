@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.llm.common import Hashes, keep, mixed, release, text_runs
@@ -383,8 +383,9 @@ def join_documents(
     threshold: float = THRESHOLD,
     runs: int = RUNS,
 ) -> DataFrame:
-    """Per row ``_id``, ``_text`` (hash), ``class_id`` (smallest id of its group of linked
-    documents), ``copy_id`` (smallest id with an equal set), ``n_copies`` (rows with an equal
+    """Per row ``_id``, ``_text`` (hash), ``_label`` (name of its group of linked documents),
+    ``class_id`` (the group's smallest id; groups share it where ids are null or come more
+    than once), ``copy_id`` (smallest id with an equal set), ``n_copies`` (rows with an equal
     set) and ``n_links`` (other rows at least as similar as the threshold)."""
     sets = keep(spark, document_sets(docs, id_col, text_col), "sets")
     sizes = sets.groupBy("_class").agg(
@@ -436,7 +437,7 @@ def join_documents(
     named = keep(spark, named.select("_class", "_rep", "_weight", "_linked", "_label"), "named")
     least = named.groupBy("_label").agg(F.min("_rep").alias("class_id"))
     info = named.join(least, "_label").select(
-        "_class", "class_id", F.col("_rep").alias("copy_id"), F.col("_weight").alias("n_copies"),
+        "_class", "_label", "class_id", F.col("_rep").alias("copy_id"), F.col("_weight").alias("n_copies"),
         (F.col("_weight") - 1 + F.coalesce("_linked", F.lit(0))).alias("n_links"),
     )
     info = keep(spark, info, "info")
@@ -450,14 +451,12 @@ def keep_one(
     """The table with one row of each group, one of the smallest id."""
     joined = join_documents(spark, docs, id_col, text_col, **options)
     first = joined.where(F.col("_id") == F.col("class_id"))
-    first = first.select("_id", "_text", "class_id").distinct()
+    first = first.groupBy("_label", "_id").agg(F.min("_text").alias("_text"))
     first = keep(spark, first, "firsts")
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("_id"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"),
     ).join(first, ["_id", "_text"])
-    # Only rows of the smallest id of a group are left, so its window is small.
-    once = Window.partitionBy("class_id").orderBy("_text")
-    rows = rows.withColumn("_n", F.row_number().over(once))
-    return rows.where("_n = 1").select("_doc.*")
+    # One text of each group is left; its repeated rows are combined before they are dealt out.
+    return rows.dropDuplicates(["_label"]).select("_doc.*")

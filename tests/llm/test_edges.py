@@ -170,6 +170,23 @@ def test_near_duplicates(spark, docs, none):
     assert chosen_path.keep_one(spark, none).count() == 0
 
 
+def test_unrelated_texts_under_one_id_stay(spark):
+    other, third = " ".join(WORDS[150:260]), " ".join(WORDS[280:390])
+    rows = [(None, PROSE), (None, other), (None, other), (None, NEAR), (7, third), (7, other[:300]),
+            (7, third), (9, third)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = chosen_path.keep_one(spark, frame).collect()
+    assert len(kept) == 4
+    texts = {(r.doc_id, r.text) for r in kept}
+    assert (None, other) in texts and {(7, third), (7, other[:300])} <= texts
+    assert len(texts & {(None, PROSE), (None, NEAR)}) == 1
+    joined = chosen_path.join_documents(spark, frame).collect()
+    assert len(joined) == len(rows) and len({r._label for r in joined}) == 4
+    assert {(r.class_id, r.n_copies, r.n_links) for r in joined} == {
+        (chosen_path.LAST, 1, 1), (chosen_path.LAST, 2, 1), (7, 3, 2), (7, 1, 0)
+    }
+
+
 def test_pairs_in_large_nodes_are_candidates(spark, monkeypatch):
     """Pairs at the threshold among thousands that are made of shared passages: every token
     has one of two values, so all nodes are large, and unrelated sets agree in half."""
