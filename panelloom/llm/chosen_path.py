@@ -309,6 +309,7 @@ def _checked(table: pa.Table, threshold: float) -> pa.Table:
     names = table.column("_class").to_numpy()
     weights = table.column("_weight").to_numpy()
     sides = table.column("_side").to_numpy()
+    cross = table.column("_cross").to_numpy()
     sets = table.column("_grams").to_pylist()
     out: list[list[np.ndarray]] = [[], [], [], []]
     edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
@@ -320,7 +321,7 @@ def _checked(table: pa.Table, threshold: float) -> pa.Table:
         linked = common / np.maximum(union, 1) >= threshold
         np.fill_diagonal(linked, False)
         side = sides[low:high]
-        if side.min() != side.max():  # pairs inside one block belong to that block's own pair
+        if cross[low]:  # pairs inside one block belong to that block's own pair
             linked &= side[:, None] != side[None, :]
         one, two = np.nonzero(linked)
         order = np.argsort(names[low:high], kind="stable")
@@ -422,7 +423,7 @@ def join_documents(
     low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
     paired = paired.select(
         F.xxhash64("label", low, high).alias("_key"), "_class", "_weight",
-        F.col("_own").alias("_side"), "_grams",
+        F.col("_own").alias("_side"), (low != high).alias("_cross"), "_grams",
     )
     shape = "_class BIGINT, _links BIGINT, _linked BIGINT, _root BIGINT"
     checked = keep(

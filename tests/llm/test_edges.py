@@ -170,6 +170,15 @@ def test_near_duplicates(spark, docs, none):
     assert chosen_path.keep_one(spark, none).count() == 0
 
 
+def test_links_count_once_beside_empty_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "BLOCK_GRAMS", 20)
+    rows = [(i * 2 + j, " ".join([*(f"t{i}x{w}" for w in range(119)), f"end{j}"]))
+            for i in range(12) for j in range(2)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    joined = chosen_path.join_documents(spark, frame).collect()
+    assert [r.n_links for r in joined] == [1] * len(rows)
+
+
 def test_unrelated_texts_under_one_id_stay(spark):
     other, third = " ".join(WORDS[150:260]), " ".join(WORDS[280:390])
     rows = [(None, PROSE), (None, other), (None, other), (None, NEAR), (7, third), (7, other[:300]),
