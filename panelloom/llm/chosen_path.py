@@ -72,12 +72,13 @@ def gram_set(text: str, hashes: Hashes, words: int = WORDS) -> np.ndarray:
 
 
 def minwise(grams: np.ndarray) -> np.ndarray:
-    """The set's token in each slot."""
+    """The set's token in each slot: 16 bits of the mixed minimum (the top bits of a minimum
+    of many n-grams are all zero)."""
     least = np.full(SLOTS, 2**64 - 1, np.uint64)
     for low in range(0, len(grams), 1024):
         part = grams[low : low + 1024, None] * MULTIPLY + ADD
         np.minimum(least, part.min(axis=0), out=least)
-    return (least >> np.uint64(48)).astype(np.uint16)
+    return (mixed(least) >> np.uint64(48)).astype(np.uint16)
 
 
 def split(tokens: np.ndarray, owner: np.ndarray, path: np.ndarray, threshold: float):

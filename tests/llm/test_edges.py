@@ -170,6 +170,13 @@ def test_near_duplicates(spark, docs, none):
     assert chosen_path.keep_one(spark, none).count() == 0
 
 
+def test_tokens_of_long_unrelated_texts_differ():
+    random = np.random.default_rng(9)
+    one, two = (chosen_path.minwise(random.integers(0, 1 << 63, 100_000, np.uint64) * np.uint64(2))
+                for _ in range(2))
+    assert (one == two).mean() < 0.05
+
+
 def test_links_count_once_beside_empty_blocks(spark, monkeypatch):
     monkeypatch.setattr(chosen_path, "BLOCK_GRAMS", 20)
     rows = [(i * 2 + j, " ".join([*(f"t{i}x{w}" for w in range(119)), f"end{j}"]))
