@@ -380,6 +380,30 @@ def test_chunks_come_back_after_an_insertion():
     assert len(one & two) > 0.95 * len(one)
 
 
+@pytest.mark.parametrize("size", range(2, 9))
+def test_repeated_phrases_are_found_after_any_beginning(size):
+    random = np.random.default_rng(size)
+    word = lambda: "".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), random.integers(2, 9)))
+    missed = 0
+    for _ in range(200):
+        passage = " ".join([word() for _ in range(size)] * 60).split()[:60]
+        texts = [
+            " ".join([*(word() for _ in range(random.integers(1, 40))), *passage,
+                      *(word() for _ in range(random.integers(1, 40)))]).encode()
+            for _ in range(2)
+        ]
+        one, two = (passage_chunks.runs(text, passage_chunks.MIN_WORDS)[2] for text in texts)
+        missed += not len(np.intersect1d(one, two))
+    assert missed == 0
+
+
+def test_forced_cuts_bound_chunks():
+    for text in ("same " * 300, "two words " * 150, " ".join(WORDS)):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        _, words = passage_chunks.chunk_bounds(raw)
+        assert np.diff(words).max() <= passage_chunks.MAX_WORDS
+
+
 def _bounds(text):
     bounds, _ = passage_chunks.chunk_bounds(np.frombuffer(text, np.uint8))
     assert bounds[0] == 0 and bounds[-1] == len(text) and (np.diff(bounds) > 0).all()
