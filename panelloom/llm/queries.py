@@ -170,11 +170,12 @@ def op9_bloom_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_passage_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages of every document: spans that go and the documents that keep them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = passage_chunks.repeated_runs(spark, docs).withColumnRenamed("_id", "doc_id")
+    found = passage_chunks.repeated_runs(spark, docs)
+    rows = docs.select("doc_id", *passage_chunks.row_key("doc_id", "text"))
     length = lambda spans: F.aggregate(
         spans, F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["begin"]
     )
-    return docs.select("doc_id").join(found, "doc_id", "left").select(
+    return rows.join(found, ["_id", "_hash"], "left").select(
         "doc_id",
         F.coalesce(F.size("_shared"), F.lit(0)).alias("n_shared"),
         F.coalesce(F.size("_drops"), F.lit(0)).alias("n_dropped"),

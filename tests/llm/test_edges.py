@@ -22,7 +22,7 @@ from panelloom.llm import (
     url_rules,
 )
 from panelloom.llm.graph import components
-from panelloom.llm.queries import MODEL, URL_RULES
+from panelloom.llm.queries import MODEL, QUERIES, URL_RULES
 
 WORDS = [f"w{i}" for i in range(400)]
 LONG = " ".join(f"long{i * 7919 % 50_021}" for i in range(60_000))
@@ -380,6 +380,21 @@ def test_chunks_come_back_after_an_insertion():
     assert len(one & two) > 0.95 * len(one)
 
 
+def test_passages_of_texts_that_share_an_id(spark, tmp_path):
+    own = ["é" * 40 + " " + " ".join(f"own{i}x{j}" for j in range(60)) for i in range(3)]
+    rows = [(1, PROSE), (None, f"{own[0]} {PROSE}"), (None, own[1]), (5, own[2]),
+            (5, f"{own[2][:60]} {PROSE}")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r._doc.text: r._kept for r in passage_chunks.strip_passages(spark, frame).collect()}
+    assert kept[PROSE] == PROSE and kept[own[1]] == own[1] and kept[own[2]] == own[2]
+    for text in (rows[1][1], rows[4][1]):
+        assert len(kept[text]) < len(text) - len(PROSE) / 2
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    found = [r for r in QUERIES["op7_passage_chunks"](spark, str(tmp_path)).collect()]
+    assert sorted(r.doc_id or 0 for r in found if r.n_shared) == [0, 1, 5]
+    assert len(found) == len(rows) and [r.first_doc_ids for r in found if r.n_dropped] == [[1], [1]]
+
+
 @pytest.mark.parametrize("size", range(2, 9))
 def test_repeated_phrases_are_found_after_any_beginning(size):
     random = np.random.default_rng(size)
