@@ -12,13 +12,16 @@ from panelloom.llm import (
     bloom_digest,
     chat_tree,
     chosen_path,
+    hard_negatives,
     line_runs,
     mixing,
     passage_chunks,
     pieces,
     posting_lists,
     quality,
+    simplex_centroids,
     url_rules,
+    warc_ranges,
 )
 from panelloom.llm.common import table
 
@@ -219,3 +222,105 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op3_chosen_path": op3_chosen_path, "op6_quality": op6_quality}
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark, rows, F.col("vec_id") % 100 == 0, label_col=label)
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page to WARC archives and read them back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archives = warc_ranges.write_archives(spark, pages)
+    records = warc_ranges.read_archives(spark, archives, payloads=False)
+    return records.where(F.col("record_type").isin("response", "revisit")).select(
+        F.col("id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+def op13_simplex_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster all vectors of 64 finite components."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return simplex_centroids.cluster(spark, rows, k=40, rounds=5, dim=64)
+
+
+QUERIES |= {
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_warc": op12_warc,
+    "op13_simplex_centroids": op13_simplex_centroids,
+}
+
+_FINITE = (
+    "len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
+)
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE))"
+
+ORACLE["op11_hard_negatives"] = f"""
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        {_WHOLE} AS q
+      FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND {_FINITE}),
+    scored AS (
+      SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+        list_dot_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    positives AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+      row_number() OVER (PARTITION BY anchor_id, positive_id
+        ORDER BY score DESC, vec_id)::INTEGER AS rank,
+      vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10"""
+
+ORACLE["op12_warc"] = """
+    WITH p AS (
+      SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS hex,
+        min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+    SELECT page_id, n AS payload_bytes,
+      array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        (((('0x' || substr(hex, (i // 4 * 5 + 1)::BIGINT, 5))::INTEGER
+          >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+      CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM p"""
+
+
+def _cluster_sql(k: int, rounds: int, dim: int) -> str:
+    """Rounds of assigning and averaging, one after the other."""
+    steps = [
+        f"""v AS MATERIALIZED (
+          SELECT vec_id, {_WHOLE} AS q FROM embeddings
+          WHERE embedding IS NOT NULL AND len(embedding) = {dim} AND {_FINITE})""",
+        f"""c0 AS MATERIALIZED (
+          SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, q FROM v
+          QUALIFY c < {k})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+          SELECT vec_id, c, q, d FROM (
+            SELECT v.vec_id, c.c, v.q, (list_dot_product(v.q, v.q) - 2 * list_dot_product(v.q, c.q)
+              + list_dot_product(c.q, c.q))::BIGINT AS d FROM v CROSS JOIN c{i} c)
+          QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+              SELECT c{i}.c, coalesce(m.q, c{i}.q) AS q FROM c{i} LEFT JOIN (
+                SELECT c, list(floor(s / n) ORDER BY j) AS q FROM (
+                  SELECT c, j, sum(q[j]) AS s, count(*) AS n
+                  FROM a{i}, (SELECT unnest(range(1, {dim + 1})) AS j) GROUP BY c, j) GROUP BY c
+              ) m USING (c))""")
+    return f"""WITH {", ".join(steps)}
+      SELECT vec_id, a.c::INTEGER AS cluster, d AS distance,
+        (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+        (sum(d) OVER ())::BIGINT AS inertia,
+        sha256(array_to_string(list_transform(c.q, lambda x: x::BIGINT), ',')) AS centroid_sha256
+      FROM a{rounds} a JOIN c{rounds} c USING (c)"""
+
+
+ORACLE["op13_simplex_centroids"] = _cluster_sql(40, 5, 64)
