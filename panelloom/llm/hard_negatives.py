@@ -9,8 +9,9 @@ again; the others hand their interval on.
 
 Two passes do this. The first wants rows of the anchor's label that may be among the best. The
 second wants rows of other labels inside a window below a positive's score, from
-``low`` to ``high`` percent; once a window has enough negatives, their least score is its new
-lower end. Both are exact: an interval that misses the window cannot hold a result.
+``low`` to ``high`` percent; once a window has enough negatives, or intervals inside it, their
+least score is its new lower end. Both are exact: an interval that misses the window cannot
+hold a result.
 
 All candidates meet all anchors in pairs of blocks, one group each: at most about
 ``ANCHOR_BLOCK`` anchors and ``CANDIDATE_BLOCK`` candidates, dealt by hash, so neither a frequent
@@ -108,10 +109,15 @@ class Windows:
         self.best = [Best(most) for _ in bounds]
 
     def overlaps(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Which intervals may hold a score that a window still wants."""
+        """Which intervals may hold a score that a window still wants. Intervals that lie inside
+        a window hold scores of it, so the least end of the last one wanted is a bar, too."""
         found = np.zeros(len(low), bool)
         for (bottom, top), best in zip(self.bounds, self.best, strict=True):
-            found |= (high >= best.bar(bottom)) & (low <= top)
+            bar = best.bar(bottom)
+            sure = low[(low >= bar) & (high <= top)]
+            if len(sure) > best.most:
+                bar = max(bar, float(np.partition(sure, -best.most)[-best.most]))
+            found |= (high >= bar) & (low <= top)
         return found
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
@@ -179,13 +185,12 @@ def walk(
                 if not left[parent]:
                     del spans[parent]
             if goal.bounds:
-                at = np.flatnonzero(
-                    ((labels == anchors.labels[node]) == same_label) & goal.overlaps(low, high)
-                )
+                at = np.flatnonzero((labels == anchors.labels[node]) == same_label)
                 if same_label:
                     own = at[ids[at] == anchors.ids[node]]
                     itself = own[(vectors[own] == anchors.vectors[node]).all(axis=1)]
                     at = np.setdiff1d(at, itself, assume_unique=True)
+                at = at[goal.overlaps(low[at], high[at])]
                 if len(at):
                     scored += len(at)
                     scores = rows[at] @ asks[node]

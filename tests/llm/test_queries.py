@@ -41,7 +41,7 @@ def sha(text):
 
 def test_all_are_registered():
     names = set(entry_module.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in names}
     assert "pipeline" in names and set(ORACLE) <= set(entry_module.oracle_sql())
 
 
