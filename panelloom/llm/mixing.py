@@ -1,7 +1,9 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
 Every source is cut in blocks: hash ranges of its documents, so block order is already a
-random order of documents, of about ``block_words`` words each. A source's target is met by
+random order of documents. A block has about 1 / (``SHARDS`` x ``SHARD_BLOCKS``) of all words, and
+``BLOCK_WORDS`` at most, so there are ``SHARDS`` shards or more at every size, and of large inputs
+as many as keep a shard at ``MOST_BLOCKS`` blocks. A source's target is met by
 whole passes over its blocks and one partial pass that ends inside one block, at a word.
 Each pass visits the blocks in a permuted order of its own. The numbers of blocks drawn
 per source are the quotas. A binary tree over the output shards splits the quota vector: a
@@ -38,7 +40,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
 BLOCK_WORDS = 1 << 16
-BLOCKS_PER_SHARD = 1 << 12
+SHARDS = 64
+SHARD_BLOCKS = 64  # wanted in each of SHARDS shards
+MOST_BLOCKS = 1 << 12  # of a shard
 CELL = 1 << 12
 MAX_SOURCES = 1_000_000
 SEED = 20
@@ -106,6 +110,11 @@ def _plan(
     return rows
 
 
+def _block_words(total: int) -> int:
+    """Words of a block: a fixed share of all, within bounds."""
+    return max(1, min(BLOCK_WORDS, total // (SHARDS * SHARD_BLOCKS)))
+
+
 def _place(number: Column | int) -> Column:
     """Place of a row's block in the order of a pass."""
     step, shift = F.get("_steps", number), F.get("_shifts", number)
@@ -153,12 +162,13 @@ def draw_words(
     source_col: str = "source",
     weights: Sequence[float] = WEIGHTS,
     cap: float = CAP,
-    block_words: int = BLOCK_WORDS,
-    blocks_per_shard: int = BLOCKS_PER_SHARD,
+    block_words: int | None = None,
+    shards: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
     """One slim row per document: ``_id``, ``_text`` (hash), ``_source``, ``_size``,
-    ``_source_size``, ``_target`` and ``_draws``, an array of (pass, shard, words, order)."""
+    ``_source_size``, ``_target`` and ``_draws``, an array of (pass, shard, words, order, block).
+    ``block_words`` and ``shards`` follow from the number of words unless given."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = docs.select(
         F.col(id_col).alias("_id"),
@@ -171,7 +181,9 @@ def draw_words(
     totals = slim.groupBy("_source").agg(F.sum("_size")).limit(MAX_SOURCES + 1).collect()
     if len(totals) > MAX_SOURCES:
         raise ValueError("too many sources for one row each on the driver")
-    plan = _plan({r[0]: r[1] for r in totals}, weights, cap, block_words, seed)
+    sizes = {r[0]: r[1] for r in totals}
+    block_words = block_words or _block_words(sum(sizes.values()))
+    plan = _plan(sizes, weights, cap, block_words, seed)
     sources = spark.createDataFrame(plan, SOURCES)
     same = slim["_source"].eqNullSafe(sources["_source"])
     unit = F.shiftrightunsigned("_hash", 11).cast("double") / float(1 << 53)
@@ -185,22 +197,24 @@ def draw_words(
     quotas = [
         row[4] * row[6] + (cuts[row[1]][0] + 1 if row[1] in cuts else 0) for row in plan
     ]
-    shards = max(1, ceil(sum(quotas) / blocks_per_shard))
+    shards = shards or max(SHARDS, ceil(sum(quotas) / MOST_BLOCKS))
     cut_rows = spark.createDataFrame(
         [(sid, *cuts.get(sid, (-1, 0))) for sid in range(len(plan))],
         "_sid INT, _cut BIGINT, _need BIGINT",
     )
     rows = rows.join(cut_rows, "_sid")
     # Inside the block where the partial pass ends, documents are taken in order of their
-    # hash up to the cut: one block per source, so the windows are small.
+    # hash up to the cut: one block per source, so the windows are small. Documents without
+    # words, of which a block may hold any number, stay out of them.
     order = Window.partitionBy("_sid").orderBy("_hash", "_id", "_text")
     before = F.coalesce(
         F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    ends = rows.where(F.col("_place") == F.col("_cut")).withColumn(
+    cut = (F.col("_place") == F.col("_cut")) & (F.col("_size") > 0)
+    ends = rows.where(cut).withColumn(
         "_part", F.least("_size", F.greatest(F.col("_need") - before, F.lit(0)))
     )
-    inside = rows.where(F.col("_place") != F.col("_cut")).withColumn(
+    inside = rows.where(~cut).withColumn(
         "_part", F.when(F.col("_place") < F.col("_cut"), F.col("_size")).otherwise(0)
     )
 
@@ -228,6 +242,7 @@ def draw_words(
             F.get("_shards", p).alias("shard"),
             words(p).alias("words"),
             F.xxhash64(F.lit(seed), p, "_hash").alias("order"),
+            F.when(words(p) > 0, p * F.col("_blocks") + _place(p)).alias("block"),
         ),
     )
     return (
@@ -252,12 +267,14 @@ def mix(spark: SparkSession, docs: DataFrame, whole: bool = False, **options) ->
     equals = Window.partitionBy("_id", "_text", "_source").orderBy(F.size("_draws").desc())
     drawn = drawn.withColumn("_nth", F.row_number().over(equals))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"),
+    whole_row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    # Rows without words are never drawn. Equals are counted off by all their columns.
+    rows = docs.where(word_count(F.col(text_col)) > 0).select(
+        whole_row.alias("_doc"),
         F.col(id_col).alias("_id"), F.xxhash64(text).alias("_text"),
         F.col(options.get("source_col", "source")).cast("string").alias("_source"),
     ).withColumn("_nth", F.row_number().over(
-        Window.partitionBy("_id", "_text", "_source").orderBy(F.lit(0))
+        Window.partitionBy("_id", "_text", "_source").orderBy(F.xxhash64("_doc"))
     ))
     same = [rows[k].eqNullSafe(drawn[k]) for k in ("_id", "_text", "_source", "_nth")]
     taken = rows.join(drawn, same).select(
@@ -271,7 +288,8 @@ def mix(spark: SparkSession, docs: DataFrame, whole: bool = False, **options) ->
 
 
 def write_shards(mixed: DataFrame, path: str) -> None:
-    """One folder per shard, rows shuffled inside it."""
+    """One folder per shard, rows shuffled inside it. Shards have equal numbers of blocks, so
+    a task that writes one is never much larger than the others."""
     mixed.repartition("_shard").sortWithinPartitions("_shard", "_order").write.partitionBy(
         "_shard"
     ).parquet(path)

@@ -82,6 +82,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_id").alias("doc_id"), F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
         taken.alias("taken"), F.size("_draws").alias("n_draws"),
+        F.array_sort(F.transform("_draws", lambda d: d["shard"])).alias("shards"),
     )
 
 

@@ -334,6 +334,87 @@ def test_splitting_tree_is_exact(size):
     assert shards.sum(axis=1).tolist() == [tree.held(i, i + 1) for i in range(size)]
 
 
+def test_shards_against_a_plain_walk(spark):
+    """Quotas of every shard, disjoint draws, and the order inside shards."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = mixing.draw_words(spark, docs).collect()
+    blocks = {}
+    for row in rows:
+        for draw in row._draws:
+            key = (row._source, draw["block"])
+            # A drawn block is in one shard only, whoever of its documents is asked.
+            assert blocks.setdefault(key, draw["shard"]) == draw["shard"]
+    words = sum(r._size for r in rows)
+    sizes = {}
+    for row in rows:
+        sizes[row._source] = sizes.get(row._source, 0) + row._size
+    plan = mixing._plan(sizes, mixing.WEIGHTS, 3, mixing._block_words(words), mixing.SEED)
+    quotas = []
+    for name, sid, size, target, full, rest, count, steps, shifts in plan:
+        # Blocks whose number is drawn but that hold no document leave no trace in the rows.
+        seen = [b for s, b in blocks if s == name]
+        assert max(seen) < full * count + count
+        partial = [0] * count
+        held = {}
+        for row in (r for r in rows if r._source == name):
+            held.setdefault(row._id, row)
+        last = full * count - 1
+        units = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where(
+            F.col("source").eqNullSafe(F.lit(name))
+        ).select("doc_id", F.xxhash64(F.lit(mixing.SEED), "doc_id", F.coalesce("text", F.lit(""))).alias("h"))
+        for r in units.collect():
+            block = int(((r.h % (1 << 64)) >> 11) / float(1 << 53) * count)
+            partial[(block * steps[full] + shifts[full]) % count] += held[r.doc_id]._size
+        left = rest
+        for place, size_of in enumerate(partial):
+            if left <= 0:
+                break
+            left -= size_of
+            last = full * count + place
+        quotas.append(last + 1)
+    total = max(mixing.SHARDS, -(-sum(quotas) // mixing.MOST_BLOCKS))
+    assert total >= 8
+    plain = {}
+    random_tree = mixing.SplittingTree(quotas, total, mixing.SEED)
+
+    def walk(low, high, counts):
+        if high - low == 1:
+            return {low: counts}
+        middle = (low + high) // 2
+        draw = np.random.default_rng([mixing.SEED, low, high])
+        left = draw.multivariate_hypergeometric(
+            np.array(counts), random_tree.held(low, middle), method="marginals"
+        )
+        return walk(low, middle, left.tolist()) | walk(
+            middle, high, (np.array(counts) - left).tolist()
+        )
+
+    shares = walk(0, total, quotas)
+    assert len(shares) == total and [sum(c) for c in zip(*shares.values(), strict=True)] == quotas
+    assert max(map(sum, shares.values())) - min(map(sum, shares.values())) <= 1
+    for sid, row in enumerate(plan):
+        number = 0
+        for shard in range(total):
+            for _ in range(shares[shard][sid]):
+                plain[(row[0], number)] = shard
+                number += 1
+    assert all(plain[key] == shard for key, shard in blocks.items())
+    assert len(set(blocks.values())) >= 8
+
+
+def test_written_shards_are_shuffled_inside(spark, docs, tmp_path):
+    mixed = mixing.mix(spark, docs, whole=True, shards=4)
+    path = str(tmp_path / "shards")
+    mixing.write_shards(mixed, path)
+    back = spark.read.parquet(path)
+    key = lambda r: (str(r._doc["doc_id"]), r._pass, r._shard, r._order)
+    assert sorted(map(key, back.collect())) == sorted(map(key, mixed.collect()))
+    for folder in sorted(tmp_path.glob("shards/_shard=*")):
+        for file in folder.glob("*.parquet"):
+            orders = [r._order for r in spark.read.parquet(str(file)).collect()]
+            assert orders == sorted(orders)
+
+
 def test_targets_by_brute_force():
     random = np.random.default_rng(2)
     for _ in range(200):
