@@ -30,24 +30,34 @@ def _padded(number: Column) -> Column:
     return F.lpad(digits, F.greatest(F.length(digits), F.lit(CIK_DIGITS)), F.lit("0"))
 
 
+def _number(text: Column) -> Column:
+    """A number in text, else null. The cast ignores white space of ASCII; only text that it
+    can't read is stripped, which is dear, and read again."""
+    return F.coalesce(text.try_cast("bigint"), strip(text).try_cast("bigint"))
+
+
 def whole_number(text: Column) -> Column:
-    """Text as a number; bad text raises whatever the session's ANSI setting. Null stays null."""
-    number = text.try_cast("bigint")
+    """Text as a number; bad text raises whatever the session's ANSI setting. Null stays null.
+
+    What is behind the first cast runs only where that gave null, so a good id is read once.
+    """
     bad = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast("bigint")
-    return F.when(text.isNotNull() & number.isNull(), bad).otherwise(number)
+    return F.coalesce(_number(text), F.when(text.isNotNull(), bad))
 
 
 def normalize_cik(cik: Column, strict: bool = True) -> Column:
     """Zero-padded regulator id. Bad text raises, or is null when not strict. Null stays null."""
-    text = strip(cik.cast("string"))
-    return _padded(whole_number(text) if strict else text.try_cast("bigint"))
+    text = cik.cast("string")
+    return _padded(whole_number(text) if strict else _number(text))
 
 
 def normalize_file_cik(cik: Column) -> Column:
     """Variant for files: cut at the first dot; missing, blank and ``nan`` give ``""``."""
-    text = strip(F.substring_index(cik.cast("string"), ".", 1))
-    blank = text.isNull() | (text == "") | (F.lower(text) == "nan")
-    return F.when(blank, F.lit("")).otherwise(_padded(whole_number(F.when(~blank, text))))
+    text = F.substring_index(cik.cast("string"), ".", 1)
+    absent = text.isNull() | F.lower(strip(text)).isin("", "nan")
+    # Text that is no number is looked at again, to tell absent from bad.
+    rest = F.when(absent, F.lit("")).otherwise(_padded(whole_number(text)))
+    return F.coalesce(_padded(_number(text)), rest)
 
 
 def unpadded_cik(cik: Column) -> Column:
@@ -96,7 +106,10 @@ def firm_id(
     if gvkey is not None:
         seeds.append(F.concat(F.lit("gvkey:"), _non_blank(gvkey)))
     if cik is not None:
-        seeds.append(F.concat(F.lit("cik:"), normalize_cik(_non_blank(cik))))
+        text = cik.cast("string")
+        given = _padded(_number(text))
+        # Only text that is no number is looked at again: blank means missing, the rest raises.
+        seeds.append(F.concat(F.lit("cik:"), F.coalesce(given, normalize_cik(_non_blank(text)))))
     if cusip is not None:
         seeds.append(F.concat(F.lit("cusip:"), _non_blank(cusip)))
     if permno is not None:

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelloom.session import scratch_path
 
@@ -151,6 +152,76 @@ def _counted_hot_keys(
     return None if kept.isEmpty() else kept
 
 
+def merged_by_key(
+    tables: Sequence[DataFrame], keys: Sequence[str], names: Sequence[str] | None = None
+) -> DataFrame:
+    """Full outer join of any number of tables with one row per key; null keys are equal.
+
+    Every table's other columns travel as one struct at the table's place. All rows meet in one
+    union, which is shuffled once on the keys and then grouped: the growing result of a chain
+    of joins, whose coalesced keys Spark would shuffle again at every step, never exists. Rows
+    are not combined ahead of the shuffle, since no key repeats within a table. A table that does
+    repeat a key breaks its promise and raises; no row is lost in silence.
+    """
+    names = names or [f"table {i}" for i in range(len(tables))]
+
+    def placed(i: int) -> DataFrame:
+        here = F.struct(F.lit(True).alias("_in"), *[F.col(f"`{c}`") for c in _others(tables[i], keys)])
+        kinds = [
+            T.StructType([
+                T.StructField("_in", T.BooleanType()),
+                *[table.schema[c] for c in _others(table, keys)],
+            ])
+            for table in tables
+        ]
+        return tables[i].select(
+            *keys,
+            *[
+                (here if j == i else F.lit(None)).cast(_nullable(kind)).alias(f"_t{j}")
+                for j, kind in enumerate(kinds)
+            ],
+        )
+
+    union = reduce(DataFrame.unionByName, [placed(i) for i in range(len(tables))])
+    count = lambda i: F.count(F.col(f"_t{i}._in"))
+    grouped = union.repartition(*keys).groupBy(*keys).agg(
+        *[F.first(f"_t{i}", ignorenulls=True).alias(f"_t{i}") for i in range(len(tables))],
+        *[count(i).alias(f"_n{i}") for i in range(len(tables))],
+    )
+    # The check is part of the rows' keys, so no optimizer drops it.
+    broken = [
+        F.when(
+            F.col(f"_n{i}") > 1,
+            F.raise_error(F.lit(f"{name} repeats a key; unique_keys does not hold")).cast("boolean"),
+        )
+        for i, name in enumerate(names)
+    ]
+    checked = grouped.where(F.coalesce(*broken, F.lit(True)))
+    return checked.select(
+        *keys,
+        *[
+            F.col(f"_t{i}").getField(c).alias(c)
+            for i, table in enumerate(tables) for c in _others(table, keys)
+        ],
+    )
+
+
+def _nullable(kind: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in kind.fields])
+
+
+def null_salt(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """A further join key that deals rows with a null key to all tasks and leaves the others.
+
+    Null keys match nothing, yet all of them hash alike and would meet in one task. The salt is
+    a hash of the row's values, so a task that runs again deals alike.
+    """
+    keyless = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
+    return df.withColumn(
+        name, F.when(keyless, F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
+    )
+
+
 def outer_join(
     tables: Sequence[DataFrame],
     keys: Sequence[str],
@@ -162,11 +233,14 @@ def outer_join(
 
     ``null_safe`` makes null keys match each other; otherwise rows with a null key
     match nothing and are appended without a join. Tables known to have one row per
-    key (``unique_keys``) cannot be skewed and are joined at once. For others the
-    keys are counted once, by a job of its own, and hot ones are joined apart in slices.
+    key (``unique_keys``) cannot be skewed: from three on they meet in one shuffle
+    (``merged_by_key``). For others the keys are counted once, by a job of its own, and
+    hot ones are joined apart in slices.
     """
     if len(tables) == 1:
         return tables[0]
+    if unique_keys and null_safe and len(tables) > 2:
+        return merged_by_key(tables, keys)
     if not null_safe:
         keyless = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
         loners = [table.where(keyless) for table in tables]

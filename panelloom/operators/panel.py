@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelloom import schemas
 from panelloom.operators.features import prefix_columns
-from panelloom.operators.joins import HOT_ROWS, left_join, outer_join
+from panelloom.operators.joins import HOT_ROWS, left_join, null_salt, outer_join
 
 # Fixed values -------------------------------------------------------------
 JOIN_KEYS = ("firm_id", "year")
@@ -75,7 +75,8 @@ def panel_sql(
 ) -> DataFrame:
     """SQL form: ``FULL OUTER JOIN ... USING (firm_id, year)`` over named views.
 
-    Null keys match nothing, so rows with one never enter the join: they are appended.
+    Null keys match nothing. Inside the views such rows get a salt as one more key, which
+    spreads them over all tasks, so one join serves all rows and each table is read once.
     Columns keep their names, except that every later ``source`` is called
     ``source_<table>``. A year filter on the joined year equals one on each input, and
     only the latter is pushed down. Views get names of their own for each call. Tables
@@ -91,18 +92,16 @@ def panel_sql(
         parts.append(within_years(df, min_year, max_year))
     if not unique_keys:
         return outer_join(parts, JOIN_KEYS, False, False, hot_rows)
-    keyless = F.col("firm_id").isNull() | F.col("year").isNull()
     call = uuid.uuid4().hex
+    salt = f"_salt_{call}"
     views = []
     for name, part in zip(tables, parts, strict=True):
-        view = f"{table_prefix(name)}_{call}"
-        part.where(~keyless).createOrReplaceTempView(f"`{view.replace('`', '_')}`")
-        views.append(f"`{view.replace('`', '_')}`")
-    joins = "".join(f" FULL OUTER JOIN {view} USING (firm_id, year)" for view in views[1:])
-    joined = spark.sql(f"SELECT * FROM {views[0]}{joins}")
-    for part in parts:
-        joined = joined.unionByName(part.where(keyless), allowMissingColumns=True)
-    return joined
+        view = f"`{table_prefix(name).replace('`', '_')}_{call}`"
+        null_salt(part, JOIN_KEYS, salt).createOrReplaceTempView(view)
+        views.append(view)
+    using = f"USING (firm_id, year, {salt})"
+    joins = "".join(f" FULL OUTER JOIN {view} {using}" for view in views[1:])
+    return spark.sql(f"SELECT * EXCEPT ({salt}) FROM {views[0]}{joins}")
 
 
 def add_controls(

@@ -132,3 +132,42 @@ def test_slices_do_not_depend_on_row_order(spark, tmp_path):
     two = joins.outer_join([x.orderBy("x").repartition(3, "x"), y], KEYS, hot_rows=100)
     assert one.count() == 6_000
     assert as_counter(map(tuple, one.collect())) == as_counter(map(tuple, two.collect()))
+
+
+def _eight(spark):
+    rng = random.Random(8)
+    frames = []
+    for i in range(8):
+        keys = {(rng.choice(["a", "b", "c", None]), rng.choice([1, 2, 3, None])) for _ in range(6)}
+        rows = [(k, y, rng.choice([None, rng.randrange(9)])) for k, y in keys]
+        frames.append((rows, spark.createDataFrame(rows, f"k string, y int, v{i} int")))
+    return frames
+
+
+def test_many_tables_meet_in_one_shuffle(spark):
+    """Against a plain dictionary; null keys are equal, and null values stay null."""
+    frames = _eight(spark)
+    expected = {}
+    for i, (rows, _) in enumerate(frames):
+        for k, y, v in rows:
+            expected.setdefault((k, y), [None] * 8)[i] = v
+    merged = joins.outer_join([df for _, df in frames], ["k", "y"], True, unique_keys=True)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert {(r.k, r.y): list(r)[2:] for r in merged.collect()} == expected
+    assert merged.count() == len(expected)
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_a_broken_promise_of_unique_keys_raises(spark):
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 1, 2)], "k string, y int, v int")
+    others = [spark.createDataFrame([("a", 1, 3)], f"k string, y int, w{i} int") for i in range(2)]
+    with pytest.raises(Exception, match="repeats a key"):
+        joins.outer_join([rows, *others], ["k", "y"], True, unique_keys=True).collect()
+
+
+def test_null_keys_are_dealt_out(spark):
+    df = spark.range(1000).selectExpr("cast(null AS string) AS k", "1 AS y", "id AS v")
+    salted = joins.null_salt(df, ["k", "y"], "_s")
+    assert salted.select("_s").distinct().count() == 1000
+    full = joins.null_salt(df.fillna({"k": "a"}), ["k", "y"], "_s")
+    assert [r[0] for r in full.select("_s").distinct().collect()] == [0]
