@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.functions import identifiers as ids
 from panelloom.functions import text as tx
+from panelloom.session import scratch_path
 
 # Fixed values -------------------------------------------------------------
 SAMPLE_SIZE = 250
@@ -27,8 +28,6 @@ SCORE_COLUMNS = (
 )
 # --------------------------------------------------------------------------
 
-# A stratum is cut into this many slices for the first round of its top-k.
-_SLICES = 256
 _STRATUM = ("fiscal_year", "density_bin")
 
 
@@ -60,37 +59,69 @@ def _draw(seed: int, salt: str) -> Column:
     return F.sha2(F.concat(F.lit(f"{seed}|{salt}"), F.col("document_id").cast("string")), 256)
 
 
+def _needed(most: int) -> float:
+    """How many rows of a stratum to let through so that ``most`` are almost surely among them:
+    the expected number is eight standard deviations above."""
+    return most + 8 * most**0.5 + 16
+
+
 def choose_ids(
-    pool: DataFrame, sample_size: int = SAMPLE_SIZE, seed: int = SEED
+    pool: DataFrame,
+    sample_size: int = SAMPLE_SIZE,
+    seed: int = SEED,
+    needed: Callable[[int], float] = _needed,
 ) -> DataFrame:
     """Ids of up to ``sample_size`` documents, spread over (fiscal_year, density_bin) strata.
 
-    Each stratum gives at most ``max(1, sample_size // bins present)`` documents and
-    the union is cut down uniformly. A stratum may hold most of the documents, so its
-    smallest draws are found in two rounds: per slice, then over the slices. The
-    first round keeps ``sample_size`` rows per slice, a constant that lets Spark
-    drop the others before the shuffle and that no quota can exceed. Only the id, the
-    stratum and the draw travel. Bins are counted by an aggregate over the rows left.
+    Each stratum gives at most ``max(1, sample_size // bins present)`` documents, those with the
+    smallest draws, and the union is cut down uniformly. The id, stratum and draw of every
+    document are written once, as the pool may be dear to compute. Strata are counted map-side.
+    A draw is uniform, so from a stratum's count follows a threshold that lets through a few
+    more rows than its quota; the scan drops all others. What is shuffled depends on the
+    number of strata and the sample's size, not on the pool's. A stratum that its threshold
+    leaves short (about once in 10^15) is read again without one, so the result is exact.
     """
-    drawn = pool.select("document_id", *_STRATUM).withColumns(
-        {
-            "_draw": _draw(seed, ""),
-            "_slice": F.pmod(F.xxhash64("document_id"), F.lit(_SLICES)),
-        }
+    spark = pool.sparkSession
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    # As one text, a stratum without a year or bin joins with itself.
+    stratum = F.to_json(F.struct(*_STRATUM)).alias("_stratum")
+    drawn = kept(
+        pool.select("document_id", "density_bin", stratum, _draw(seed, "").alias("_draw")), "draws"
     )
-    by_slice = Window.partitionBy(*_STRATUM, "_slice").orderBy("_draw", "document_id")
-    by_stratum = Window.partitionBy(*_STRATUM).orderBy("_draw", "document_id")
-    survivors = (
-        drawn.withColumn("_rank", F.row_number().over(by_slice))
-        .where(F.col("_rank") <= sample_size)
-        .withColumn("_rank", F.row_number().over(by_stratum))
-        .where(F.col("_rank") <= sample_size)
+    sizes = kept(
+        drawn.groupBy("_stratum").agg(
+            F.count("*").alias("_size"), F.max("density_bin").alias("_bin")
+        ),
+        "strata",
+    )
+    bins = sizes.agg(F.count_distinct("_bin")).first()[0]
+    quota = max(1, sample_size // max(1, bins))
+    # The leading 52 bits of a draw as a fraction, which a double holds exactly.
+    share = F.conv(F.substring("_draw", 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
+    wanted = F.lit(float(needed(quota)))
+    passed = kept(
+        drawn.join(sizes, "_stratum").where(share * F.col("_size") <= wanted)
+        .select("document_id", "_stratum", "_draw"),
+        "passed",
     )
-    # Every bin has a row of rank 1 in each of its strata.
-    bins = survivors.where(F.col("_rank") == 1).agg(F.count_distinct("density_bin")).scalar()
-    quota = F.greatest(F.lit(1), F.floor(F.lit(sample_size) / bins))
+    have = passed.groupBy("_stratum").agg(F.count("*").alias("_have"))
+    short = (
+        sizes.join(have, "_stratum", "left")
+        .where(F.coalesce("_have", F.lit(0)) < F.least(F.col("_size"), F.lit(quota)))
+        .select("_stratum")
+    )
+    again = drawn.join(short, "_stratum", "left_semi").select("document_id", "_stratum", "_draw")
+    rest = passed.join(short, "_stratum", "left_anti")
+    by_stratum = Window.partitionBy("_stratum").orderBy("_draw", "document_id")
     return (
-        survivors.where(F.col("_rank") <= quota)
+        rest.unionByName(again)
+        .withColumn("_rank", F.row_number().over(by_stratum))
+        .where(F.col("_rank") <= quota)
         .withColumn("_second", _draw(seed, "second|"))
         .orderBy("_second", "document_id")
         .limit(sample_size)
