@@ -93,6 +93,18 @@ def manifest_rows(filings: DataFrame, root: str) -> DataFrame:
     return padded.select(*schemas.MANIFEST.names)
 
 
+def first_per_key(
+    batch: DataFrame,
+    order: Sequence[str] = ("filing_date", "primary_document"),
+    keys: Sequence[str] = MANIFEST_KEYS,
+) -> DataFrame:
+    """One row per key, the first by ``order``. A key repeated any number of times shrinks
+    to one row per task ahead of the shuffle."""
+    ranked = [*order, *[name for name in batch.columns if name not in {*keys, *order}]]
+    first = batch.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_row"))
+    return first.select(*keys, "_row.*").select(*batch.columns)
+
+
 def new_rows(
     batch: DataFrame,
     manifest: DataFrame,
@@ -101,19 +113,15 @@ def new_rows(
 ) -> DataFrame:
     """Batch rows whose key the manifest lacks, one per key: the first by ``order``.
 
-    The batch is reduced to one row per key before the join, so a key repeated any
-    number of times shrinks to one row per task ahead of the shuffle, and the join
-    reads that shuffle. The join is a left join with a filter for that reason: Spark
-    would move an anti join below the aggregate, where the repeats are.
+    The batch is reduced to one row per key before the join, which reads that shuffle. The
+    join is a left join with a filter for that reason: Spark would move an anti join below
+    the aggregate, where the repeats are. The manifest is read whole; one that is kept in a
+    ``ManifestStore`` is not.
     """
-    ranked = [*order, *[name for name in batch.columns if name not in {*keys, *order}]]
-    first = batch.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_row"))
+    first = first_per_key(batch, order, keys)
     known = manifest.select(*keys).distinct().withColumn("_known", F.lit(True))
     return (
-        first.join(known, list(keys), "left")
-        .where(F.col("_known").isNull())
-        .select(*keys, "_row.*")
-        .select(*batch.columns)
+        first.join(known, list(keys), "left").where(F.col("_known").isNull()).select(*batch.columns)
     )
 
 

@@ -13,10 +13,13 @@ from panelloom.functions import identifiers as ids
 from panelloom.functions import text as tx
 from panelloom.operators import features, filings, metrics, panel, quality, sampling
 from panelloom.operators import mapping as maps
-from panelloom.plans import inputs
+from panelloom.operators.joins import HOT_ROWS
+from panelloom.plans import inputs, stages
 from panelloom.session import scratch_path
-from panelloom.sources import scans, sinks, views
-from panelloom.streaming import landing
+from panelloom.sources import listing, scans, sinks, views
+from panelloom.sources.manifest_store import ManifestStore
+from panelloom.sources.mapping_store import MappingStore
+from panelloom.streaming import landing, rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -171,15 +174,7 @@ def firm_id_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mapping_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers registered once, and customers in debt once more under a new ticker."""
     records = inputs.customer_records(spark, sf_dir)
-    in_debt = inputs.table(spark, sf_dir, "customer").where("c_acctbal < 0")
-    again = records.join(
-        in_debt.select(F.col("c_custkey").alias("registered_seq")), "registered_seq", "left_semi"
-    ).withColumns(
-        {
-            "ticker": F.concat(F.lit("new"), "registered_seq"),
-            "registered_seq": F.col("registered_seq") + 1_000_000_000_000,
-        }
-    )
+    again = inputs.customers_again(spark, sf_dir, records)
     mapping = maps.upsert_mapping(schemas.empty(spark, schemas.MAPPING), records)
     return maps.upsert_mapping(mapping, again)
 
@@ -329,13 +324,11 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.table(spark, sf_dir, "lineitem")
     # As a glob, the path may be one file as well as a folder of files.
     stream = spark.readStream.schema(lines.schema).parquet(f"{sf_dir}/lineitem.parque[t]")
-    landing.append_stream(
-        stream,
-        manifest_path,
-        scratch_path(spark, "checkpoint"),
-        inputs.lines_as_manifest,
+    store = ManifestStore(spark, manifest_path, buckets=8, expected_keys=lines.count())
+    landing.append_stream_to_store(
+        stream, store, scratch_path(spark, "checkpoint"), inputs.lines_as_manifest
     ).awaitTermination()
-    return scans.read_stage(spark, manifest_path, schemas.MANIFEST)
+    return store.read()
 
 
 @query
@@ -446,9 +439,7 @@ def panel_outer_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def panel_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panel of yearly orders and single line items: firm-years repeat on one side."""
+def _repeated(spark: SparkSession, sf_dir: str, hot_rows: int) -> DataFrame:
     lines = inputs.table(spark, sf_dir, "lineitem").select(
         ids.firm_id(cik=F.col("l_suppkey")).alias("firm_id"),
         F.year("l_shipdate").alias("year"),
@@ -457,10 +448,16 @@ def panel_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = inputs.order_firm_years(spark, sf_dir).select("firm_id", "year", "orders")
     return panel.assemble_panel(
-        spark, {"orders": orders, "lines": lines}, min_year=_LOW, max_year=_HIGH
+        spark, {"orders": orders, "lines": lines}, min_year=_LOW, max_year=_HIGH, hot_rows=hot_rows
     )
 
 
+@query
+def panel_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel of yearly orders and single line items: firm-years repeat on one side."""
+    return _repeated(spark, sf_dir, HOT_ROWS)
+
+
 @query
 def panel_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL form of the panel; rows without a firm match nothing."""
@@ -645,3 +642,137 @@ def sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         """,
         [25.0, "N"],
     )
+
+
+# -- incremental tables ------------------------------------------------------------------
+
+
+def _early_lines(spark: SparkSession, sf_dir: str) -> tuple[ManifestStore, DataFrame]:
+    """A store of the line items shipped before 1998, and a batch of all line items."""
+    batch = inputs.line_manifest(spark, sf_dir)
+    lines = inputs.table(spark, sf_dir, "lineitem").count()
+    path = scratch_path(spark, "manifest-store")
+    store = ManifestStore(spark, path, buckets=16, expected_keys=lines)
+    store.append(batch.where("filing_date < '1998-01-01'"))
+    return store, batch
+
+
+@query
+def manifest_store_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New rows of a batch of all line items, given a store of those shipped before 1998."""
+    store, batch = _early_lines(spark, sf_dir)
+    return store.append(batch).fresh
+
+
+@query
+def manifest_store_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that all line items add to those shipped before 1998, that a replay adds, and of all."""
+    store, batch = _early_lines(spark, sf_dir)
+    counted = lambda df, step: df.agg(F.lit(step).alias("step"), F.count("*").alias("rows"))
+    added = [counted(store.append(batch).fresh, step) for step in ("all", "replay")]
+    return added[0].unionByName(added[1]).unionByName(counted(store.read(), "stored"))
+
+
+@query
+def mapping_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``mapping_upsert``, in a store whose untouched buckets stay as they are."""
+    records = inputs.customer_records(spark, sf_dir)
+    store = MappingStore(spark, scratch_path(spark, "mapping-store"), buckets=8)
+    store.upsert(records)
+    store.upsert(inputs.customers_again(spark, sf_dir, records))
+    return store.read()
+
+
+@query
+def firm_year_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Firm-years added up from a stream of document batches, one of them replayed."""
+    landed = scratch_path(spark, "documents")
+    documents = inputs.documents(spark, sf_dir)
+    documents.repartition(3, "document_id").write.parquet(landed)
+    stream = (
+        spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    )
+    store = rollup.FirmYearStore(spark, scratch_path(spark, "firm-years"), fold_after=1)
+    checkpoint = scratch_path(spark, "checkpoint")
+    rollup.roll_up_stream(stream, store, checkpoint, inputs.KEYWORDS).awaitTermination()
+    replayed = features.document_features(spark.read.parquet(landed), inputs.KEYWORDS)
+    store.add(replayed, 0)
+    return store.read(inputs.PANEL_SOURCE)
+
+
+@query
+def listed_raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages landed as files, listed and read by the executors and bundled."""
+    root = scratch_path(spark, "raw")
+    listing.write_files(inputs.page_files(spark, sf_dir), root)
+    files = listing.list_files(spark, root)
+    bundles = f"bundles_{uuid.uuid4().hex}"
+    sinks.write_bundles(listing.read_listed(files), bundles, buckets=8)
+    tail = lambda path: F.regexp_extract(path, "/raw-[0-9a-f]{32}(/.*)$", 1)
+    lengths = files.select(tail("path").alias("path"), "length")
+    contents = spark.table(bundles).select(
+        tail("path").alias("path"), F.sha2("content", 256).alias("content_sha256")
+    )
+    return contents.join(lengths, "path")
+
+
+@query
+def filing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histories whose filings before 1996 lie in shards, landed as JSON and read back."""
+    recent, shards = scratch_path(spark, "recent"), scratch_path(spark, "shards")
+    filed = inputs.order_filings(spark, sf_dir)
+    older = F.col("filing_date") < "1996-01-01"
+    inputs.histories(filed.where(~older)).write.partitionBy("shelf").text(recent)
+    listing.write_files(inputs.shard_files(filed.where(older)), shards)
+    history = scans.filings_as_columns(scans.read_filing_history(spark, recent, shards))
+    return history.withColumn("cik", ids.unpadded_cik(F.col("cik")))
+
+
+# -- absent and empty inputs, hot keys ---------------------------------------------------
+
+
+@query
+def features_of_missing_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of a documents stage that was never written, beside those of all documents."""
+    missing = scans.read_stage_if_exists(
+        spark, scratch_path(spark, "never-written"), schemas.DOCUMENTS
+    )
+    none = features.attention_firm_year(missing, inputs.KEYWORDS, inputs.PANEL_SOURCE)
+    return none.unionByName(firm_year_attention(spark, sf_dir))
+
+
+@query
+def panel_without_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Firm-years of a panel without any table, beside those of all orders."""
+    absent = scans.read_stage_if_filled(spark, scratch_path(spark, "never-written"))
+    none = panel.assemble_panel(spark, {"shop/orders": absent})
+    return none.unionByName(inputs.order_firm_years(spark, sf_dir).select("firm_id", "year"))
+
+
+@query
+def panel_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel built between paths: two stored feature tables and one that is missing."""
+    paths = {name: scratch_path(spark, "stage") for name in ("shop/orders", "none", "ship/lines")}
+    for name, table in _tables(spark, sf_dir, null_firms=True).items():
+        table.write.parquet(paths[name])
+    output = scratch_path(spark, "panel")
+    stages.build_panel(spark, paths, output, min_year=_LOW, max_year=_HIGH)
+    return scans.read_stage(spark, output)
+
+
+@query
+def panel_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``panel_repeated_keys``, with firm-years of 20 rows counted as hot and cut in slices."""
+    return _repeated(spark, sf_dir, hot_rows=20)
+
+
+@query
+def panel_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel of eight feature tables in one shuffle: orders by status and priority."""
+    orders = inputs.table(spark, sf_dir, "orders")
+    tables = {}
+    for i, column in enumerate(["o_orderstatus"] * 3 + ["o_orderpriority"] * 5):
+        value = ("F", "O", "P", "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")[i]
+        rows = orders.where(F.col(column) == value)
+        tables[f"t{i}"] = inputs.firm_years_of(rows)
+    return panel.assemble_panel(spark, tables, unique_keys=True)

@@ -76,6 +76,19 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customers_again(spark: SparkSession, sf_dir: str, records: DataFrame) -> DataFrame:
+    """The records of customers in debt once more, later and under a new ticker."""
+    in_debt = table(spark, sf_dir, "customer").where("c_acctbal < 0")
+    return records.join(
+        in_debt.select(F.col("c_custkey").alias("registered_seq")), "registered_seq", "left_semi"
+    ).withColumns(
+        {
+            "ticker": F.concat(F.lit("new"), "registered_seq"),
+            "registered_seq": F.col("registered_seq") + 1_000_000_000_000,
+        }
+    )
+
+
 def cik_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mapping of all customers in credit, keyed by cik; the segment is the ticker."""
     records = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(
@@ -150,21 +163,38 @@ def orders_as_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filing histories as JSON text, one array of 100 customers' objects per shelf."""
-    filed = order_filings(spark, sf_dir).withColumnsRenamed(
+    return histories(order_filings(spark, sf_dir))
+
+
+def _history_lists(filed: DataFrame) -> tuple[DataFrame, Column]:
+    """Filings per cik (column ``rows``), and the struct of arrays made of them."""
+    named = filed.withColumnsRenamed(
         {"accession_number": "accessionNumber", "form_type": "form",
          "filing_date": "filingDate", "primary_document": "primaryDocument"}
     )
     names = ("accessionNumber", "form", "filingDate", "primaryDocument")
-    lists = [F.col(f"rows.{n}").alias(n) for n in names]
-    recent = filed.groupBy("cik").agg(F.collect_list(F.struct(*names)).alias("rows"))
+    recent = named.groupBy("cik").agg(F.collect_list(F.struct(*names)).alias("rows"))
+    return recent, F.struct(*[F.col(f"rows.{n}").alias(n) for n in names])
+
+
+def histories(filed: DataFrame) -> DataFrame:
+    """Filings as JSON text, one array of the objects of 100 ciks per shelf."""
+    recent, lists = _history_lists(filed)
     objects = recent.select(
         F.floor(F.col("cik").cast("bigint") / 100).alias("shelf"),
-        F.struct("cik", F.struct(F.struct(*lists).alias("recent")).alias("filings")).alias("one"),
+        F.struct("cik", F.struct(lists.alias("recent")).alias("filings")).alias("one"),
     )
     packed = objects.groupBy("shelf").agg(F.collect_list("one").alias("all"))
     return packed.select(F.to_json("all").alias("value"), "shelf")
 
 
+def shard_files(filed: DataFrame) -> DataFrame:
+    """Older filings as one JSON file per cik, which is in the file's name only."""
+    recent, lists = _history_lists(filed)
+    name = F.concat(F.lit("CIK"), pad("cik", 10), F.lit("-submissions-001.json"))
+    return recent.select(name.alias("path"), F.encode(F.to_json(lists), "UTF-8").alias("content"))
+
+
 def lines_as_manifest(lines: DataFrame) -> DataFrame:
     """Line items as manifest rows; the lines of one order and supplier share a key."""
     cik = ids.normalize_cik(F.col("l_suppkey"))
@@ -255,6 +285,14 @@ def order_firm_years(
     )
 
 
+def firm_years_of(orders: DataFrame) -> DataFrame:
+    """Number of orders per customer and year."""
+    counted = orders.groupBy("o_custkey", F.year("o_orderdate").alias("year"))
+    return counted.agg(F.count("*").alias("orders")).select(
+        ids.firm_id(cik=F.col("o_custkey")).alias("firm_id"), "year", "orders"
+    )
+
+
 def line_firm_years(
     spark: SparkSession, sf_dir: str, null_firms: bool = False
 ) -> DataFrame:

@@ -568,3 +568,46 @@ ORACLE["sql_view"] = """
 SELECT o_orderstatus, count(*) AS lines, sum(l_quantity) AS quantity
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 WHERE l_quantity < 25 AND l_returnflag <> 'N' GROUP BY o_orderstatus"""
+
+# -- incremental tables ------------------------------------------------------------
+
+ORACLE["manifest_store_append"] = ORACLE["incremental_append"]
+
+ORACLE["manifest_store_replay"] = f"""WITH {_LINES}, firsts AS (
+  SELECT (cik, accession_number) IN (
+    SELECT (cik, accession_number) FROM lines WHERE filing_date < '1998-01-01') AS early
+  FROM ranked WHERE position = 1)
+SELECT 'all' AS step, count(*) FILTER (NOT early) AS rows FROM firsts
+UNION ALL SELECT 'replay', 0 UNION ALL SELECT 'stored', count(*) FROM firsts"""
+
+ORACLE["mapping_store_upsert"] = ORACLE["mapping_upsert"]
+
+ORACLE["firm_year_rollup"] = ORACLE["firm_year_attention"]
+
+ORACLE["filing_shards"] = _ORDERS_FILED
+
+ORACLE["listed_raw_files"] = f"""WITH {_PAGES}
+SELECT CASE WHEN contains(url, '/en/')
+            THEN '/landing/' || page_id || '/' || replace(accession_number, '-', '') || '/' || document
+            WHEN contains(url, '/es/') THEN '/lost/' || page_id
+            ELSE '/archive/' || page_id END AS path,
+       CAST(strlen(html) AS BIGINT) AS length, sha256(html) AS content_sha256
+FROM page_rows"""
+
+# -- absent and empty inputs, hot keys ---------------------------------------------
+
+ORACLE["features_of_missing_stage"] = ORACLE["firm_year_attention"]
+
+ORACLE["panel_without_inputs"] = f"SELECT firm_id, year FROM ({_orders()})"
+
+ORACLE["panel_built"] = ORACLE["panel_outer_nullsafe"]
+
+ORACLE["panel_hot_keys"] = ORACLE["panel_repeated_keys"]
+
+_MANY = "F O P 1-URGENT 2-HIGH 3-MEDIUM 4-NOT|SPECIFIED 5-LOW".split()
+ORACLE["panel_many"] = f"""
+SELECT {_cik_firm('o_custkey')} AS firm_id, CAST(year(o_orderdate) AS INTEGER) AS year, {", ".join(
+    f"nullif(count(*) FILTER (o_order{'status' if i < 3 else 'priority'} = "
+    f"'{value.replace('|', ' ')}'), 0) AS {f't{i}_' if i else ''}orders"
+    for i, value in enumerate(_MANY))}
+FROM orders GROUP BY ALL"""

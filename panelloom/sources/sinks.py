@@ -23,6 +23,27 @@ def _rename(spark: SparkSession, source: str, target: str) -> bool:
     return fs.exists(path(source)) and fs.rename(path(source), path(target))
 
 
+def _folder(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def committed_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders right under ``root`` that a Spark job has written to its end."""
+    base, fs = _folder(spark, root)
+    if not fs.exists(base):
+        return []
+    paths = [status.getPath() for status in fs.listStatus(base)]
+    marker = lambda path: _folder(spark, f"{path.toString()}/_SUCCESS")[0]
+    return [path.getName() for path in paths if fs.exists(marker(path))]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    target, fs = _folder(spark, path)
+    fs.delete(target, True)
+
+
 def publish_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Publish a table as Parquet; see ``_swapped``."""
     return _swapped(
@@ -55,8 +76,7 @@ def _swapped(spark: SparkSession, path: str, write: Callable[[str], None]) -> st
             _rename(spark, old, base)
         raise OSError(f"could not publish {base}; the new copy is in {fresh}")
     if replaced:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        remove_folder(spark, old)
     return path
 
 
@@ -103,14 +123,44 @@ def save_panel(panel: DataFrame, path: str, formats: Sequence[str] = ("parquet",
     if "csv" in formats:
         publish_csv(written, f"{path.rstrip('/')}.csv")
     if "table" in formats:
-        # A complete new table first, then the name moves to it.
-        spark, fresh = panel.sparkSession, f"{PANEL_TABLE}_{uuid.uuid4().hex}"
-        written.write.saveAsTable(fresh)
-        spark.sql(f"DROP TABLE IF EXISTS {PANEL_TABLE}")
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {PANEL_TABLE}")
+        publish_table(written, PANEL_TABLE, f"{path.rstrip('/')}__table")
     return path
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return about.first()["data_type"]
+
+
+def publish_table(df: DataFrame, name: str, root: str) -> str:
+    """Publish a catalogue table: write a fresh folder under ``root``, then point the name at it.
+
+    The pointer moves by one catalogue operation after the folder is complete, so a reader sees
+    the old rows or the new ones, and the table is never absent. No file is renamed, which
+    suits object stores. ``df`` may read the table itself. The folder of the state before stays
+    for its readers until the next publication. Only where the columns change, the table
+    is made anew, and is absent for a moment.
+    """
+    spark = df.sparkSession
+    fresh = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    target, fs = _folder(spark, fresh)
+    location = fs.makeQualified(target).toString()
+    before = _location(spark, name) if spark.catalog.tableExists(name) else None
+    columns = spark.read.parquet(fresh).schema
+    if before and spark.table(name).schema.simpleString() == columns.simpleString():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=location, source="parquet", schema=columns)
+    in_use = {str(place).rstrip("/").rsplit("/", 1)[-1] for place in (location, before)}
+    for folder in committed_folders(spark, root):
+        if folder not in in_use:
+            remove_folder(spark, f"{root.rstrip('/')}/{folder}")
+    return location
+
+
 def write_bundles(files: DataFrame, table: str, buckets: int) -> str:
     """Raw files as a catalogue table of (path, content), bucketed and sorted by path.
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from panelloom import schemas
 from panelloom.operators import filings
+from panelloom.sources.manifest_store import ManifestStore
 from panelloom.sources.scans import raw_file_rows, read_stage_if_exists
 
 
@@ -45,6 +46,25 @@ def append_stream(
         fresh = filings.new_rows(rows.select(*schemas.MANIFEST.names), manifest, order)
         fresh.write.mode("append").parquet(manifest_path)
 
+    return _started(batches, append, checkpoint)
+
+
+def append_stream_to_store(
+    batches: DataFrame,
+    store: ManifestStore,
+    checkpoint: str,
+    to_manifest: Callable[[DataFrame], DataFrame] | None = None,
+    order: Sequence[str] = ("filing_date", "primary_document"),
+) -> StreamingQuery:
+    """As ``append_stream``, into a store that opens only buckets which may hold a batch's keys."""
+
+    def append(batch: DataFrame, _epoch: int) -> None:
+        store.append(to_manifest(batch) if to_manifest else batch, order)
+
+    return _started(batches, append, checkpoint)
+
+
+def _started(batches: DataFrame, append: Callable, checkpoint: str) -> StreamingQuery:
     return (
         batches.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)

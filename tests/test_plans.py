@@ -89,3 +89,14 @@ def test_sample_moves_ids_only(spark):
 def test_files_are_found_in_one_join(spark):
     plan = plan_of(spark, "standardized_documents")
     assert plan.count("Join") == 2  # paths to manifest rows, records to texts
+
+
+def test_sql_panel_reads_each_table_once(spark):
+    plan = plan_of(spark, "panel_sql")
+    assert plan.count("FileScan") == 2 and plan.count("FullOuter") == 1
+
+
+def test_three_tables_share_one_shuffle(spark):
+    """One exchange for each input's own aggregate and one for the panel."""
+    plan = plan_of(spark, "panel_outer")
+    assert plan.count("Exchange hashpartitioning") == 4 and "Join" not in plan
