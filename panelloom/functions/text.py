@@ -7,7 +7,9 @@ them; all other rows pass a null.
 
 from __future__ import annotations
 
+import functools
 import html
+import os.path
 import unicodedata
 from collections.abc import Sequence
 
@@ -98,10 +100,40 @@ def _nfkc_batch(text: pd.Series) -> pd.Series:
     return text.map(lambda value: unicodedata.normalize("NFKC", value), na_action="ignore")
 
 
+def _may_change(code: int) -> bool:
+    """Whether a character is no NFKC form by itself, or may move or join with its neighbours."""
+    char = chr(code)
+    return unicodedata.combining(char) != 0 or unicodedata.normalize("NFKC", char) != char
+
+
+@functools.cache
+def settled_ranges(least: int = 24) -> tuple[tuple[int, int], ...]:
+    """Ranges of characters that NFKC leaves alone wherever they stand, the short ones left out.
+
+    Besides characters that change, those that can be the second part of a composition are
+    out. All of these lie in the first two planes and one block of the third.
+    """
+    codes = [*range(0xA0, 0x20000), *range(0x2F800, 0x2FA20)]
+    moving = {code for code in codes if _may_change(code)}
+    for code in codes:
+        parts = unicodedata.decomposition(chr(code)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            moving.add(int(parts[1], 16))
+    moving |= {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}  # parts of Hangul syllables
+    moving |= {*range(0xD800, 0xE000)}  # no characters
+    edges = sorted(moving)
+    gaps = zip([-1, *edges], [*edges, 0x20000], strict=True)
+    return tuple((a + 1, b - 1) for a, b in gaps if b < 0x20001 and b - a - 1 >= least)
+
+
 def normalize_unicode(text: Column) -> Column:
-    """NFKC form. ASCII text is its own NFKC form and never reaches Python."""
+    """NFKC form. A text of settled characters only is its own NFKC form, and so is every ASCII
+    text; those never reach Python. Letters with accents are settled, too, unless the accent
+    is a character of its own."""
+    ranges = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in settled_ranges())
     is_ascii = F.octet_length(text) == F.char_length(text)
-    return F.when(is_ascii, text).otherwise(_nfkc_batch(F.when(~is_ascii, text)))
+    settled = is_ascii | ~text.rlike(f"[^{ranges}]")
+    return F.when(settled, text).otherwise(_nfkc_batch(F.when(~settled, text)))
 
 
 def preprocess(text: Column) -> Column:
@@ -140,19 +172,53 @@ def keyword_pattern(keywords: Sequence[str]) -> str | None:
     words = clean_keywords(keywords)
     if not words:
         return None
-    alternatives = []
-    for kw in words:
-        left = rf"(?<![{_WORD}])" if _is_word(kw[0]) else rf"(?<=[{_WORD}])"
-        right = rf"(?![{_WORD}])" if _is_word(kw[-1]) else rf"(?=[{_WORD}])"
-        alternatives.append((left, _quoted(kw), right))
-    lefts = {left for left, _, _ in alternatives}
-    rights = {right for _, _, right in alternatives}
-    if len(lefts) == len(rights) == 1:
-        body = "(?:" + "|".join(kw for _, kw, _ in alternatives) + ")"
-        body = lefts.pop() + body + rights.pop()
-    else:
-        body = "(?:" + "|".join("".join(parts) for parts in alternatives) + ")"
-    return "(?iu)" + _first_chars(words) + body
+    return "(?iu)" + _first_chars(words) + _alternation(words, borders=True)
+
+
+def _left(char: str) -> str:
+    return rf"(?<![{_WORD}])" if _is_word(char) else rf"(?<=[{_WORD}])"
+
+
+def _right(char: str) -> str:
+    return rf"(?![{_WORD}])" if _is_word(char) else rf"(?=[{_WORD}])"
+
+
+def _alternation(words: Sequence[str], borders: bool) -> str:
+    """One group of all words that matches as trying them in list order does.
+
+    Words of ASCII characters are factored into a trie, so a place in the text is compared
+    with each common beginning once, however many words share it. Words whose next characters
+    differ can't both match; only a word and its own continuation compete, and there the trie
+    keeps the order of the list. Other scripts have characters that match each other without
+    being equal, so a list with such words is tried word by word.
+    """
+    words = list(dict.fromkeys(words))
+    ends = {word: _right(word[-1]) if borders else "" for word in words}
+    if not all(word.isascii() for word in words):
+        parts = [(_left(w[0]) if borders else "") + _quoted(w) + ends[w] for w in words]
+        return "(?:" + "|".join(parts) + ")"
+    return _trie([(word.lower(), ends[word]) for word in words], borders)
+
+
+def _trie(entries: list[tuple[str, str]], borders: bool) -> str:
+    """Rests of words in list order, each with what must follow it."""
+    finished = next((i for i, (rest, _) in enumerate(entries) if not rest), None)
+    if finished is not None:
+        parts = [_trie(entries[:finished], False)] if finished else []
+        parts.append(entries[finished][1])
+        later = [entry for entry in entries[finished + 1 :] if entry[0]]
+        parts += [_trie(later, False)] if later else []
+        return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+    groups: dict[str, list[tuple[str, str]]] = {}
+    for rest, end in entries:
+        groups.setdefault(rest[0], []).append((rest, end))
+    branches = []
+    for char, group in groups.items():
+        shared = len(os.path.commonprefix([rest for rest, _ in group]))
+        beginning = "".join(rf"\x{{{ord(c):x}}}" for c in group[0][0][:shared])
+        rests = [(rest[shared:], end) for rest, end in group]
+        branches.append((_left(char) if borders else "") + beginning + _trie(rests, False))
+    return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
 
 
 def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
@@ -209,7 +275,7 @@ def with_keyword_excerpt(
     words = [kw for kw in keywords if kw]
     if not words:
         return df.withColumn(output, head_excerpt(F.col(text), length))
-    pattern = "(?iu)" + _first_chars(words) + "(?:" + "|".join(map(_quoted, words)) + ")"
+    pattern = "(?iu)" + _first_chars(words) + _alternation(words, borders=False)
     body, size, pieces = F.col("__body"), F.col("__size"), F.col("__pieces")
     df = df.withColumn("__body", strip(F.col(text)))
     df = df.withColumn("__size", F.char_length(body))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import unicodedata
 
 import pytest
@@ -133,3 +134,78 @@ def test_density_bins(spark):
     df = spark.createDataFrame([(n,) for n in (0, 1, 5, 6, 20, 21, 999)], "n int")
     bins = [row.o for row in df.select(tx.density_bin(F.col("n")).alias("o")).collect()]
     assert bins == ["zero", "low", "low", "medium", "medium", "high", "high"]
+
+
+def plain_pattern(keywords):
+    """The alternation word by word, for Python's engine on ASCII text."""
+    word = r"[A-Za-z0-9_]"
+    sides = lambda c, yes, no: yes if c == "_" or c.isalnum() else no
+    parts = [
+        sides(kw[0], f"(?<!{word})", f"(?<={word})") + re.escape(kw)
+        + sides(kw[-1], f"(?!{word})", f"(?={word})")
+        for kw in tx.clean_keywords(keywords)
+    ]
+    return re.compile("|".join(parts), re.IGNORECASE | re.ASCII)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_keyword_trie_keeps_list_order(spark, seed):
+    """Keywords that begin alike, continue each other, repeat and carry punctuation."""
+    rng = random.Random(seed)
+    pieces = ["a", "ab", "abc", "b", "+", " ", "a b", ".", "\\E", "-", "c"]
+    keywords = ["".join(rng.choices(pieces, k=rng.randrange(1, 4))) for _ in range(25)]
+    texts = ["".join(rng.choices([*pieces, "A", "B ", "_"], k=rng.randrange(0, 30))) for _ in range(300)]
+    expected = [plain_pattern(keywords).findall(t) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = df.select("i", tx.keyword_hits(F.col("t"), keywords).alias("h")).collect()
+    assert [r.h for r in sorted(found)] == expected and any(expected)
+
+
+def test_a_thousand_keywords_cost_little_more(spark):
+    rng = random.Random(0)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(1_000)]
+    body = " ".join(rng.choices(words + ["filler"] * 3_000, k=3_000))
+    df = spark.range(400).select(F.concat(F.lit(body), F.col("id").cast("string")).alias("t")).persist()
+    df.count()
+
+    def seconds(keywords):
+        best = 1e9
+        for _ in range(3):
+            start = time.perf_counter()
+            df.select(tx.mention_count(F.col("t"), keywords).alias("n")).agg(F.sum("n")).collect()
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    assert seconds(words) < 3 * seconds(words[:8]) + 0.5
+    assert df.select(tx.mention_count(F.col("t"), words)).first()[0] == len(
+        plain_pattern(words).findall(body + "0")
+    )
+    df.unpersist()
+
+
+def test_settled_characters_never_change():
+    """Over all code points: alone, and as any part of a composition."""
+    settled = {c for a, b in tx.settled_ranges() for c in range(a, b + 1)}
+    assert {ord(c) for c in "aZ09 éñüßĀЖжλ漢字かカ가"} <= settled
+    for code in settled:
+        char = chr(code)
+        assert unicodedata.normalize("NFKC", char) == char and not unicodedata.combining(char)
+    for code in range(0x110000):
+        parts = unicodedata.decomposition(chr(code)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            assert int(parts[1], 16) not in settled
+    rng = random.Random(1)
+    pool = sorted(settled)
+    for _ in range(300):
+        text = "".join(map(chr, rng.choices(pool, k=40)))
+        assert unicodedata.normalize("NFKC", text) == text
+
+
+def test_only_texts_that_can_change_reach_python(spark):
+    rows = ["plain", "café Übung", "漢字かな", "é", "ﬁ", "１２", "각", "가", None, ""]
+    df = spark.createDataFrame([(t,) for t in rows], "t string")
+    out = [r[0] for r in df.select(tx.normalize_unicode(F.col("t"))).collect()]
+    assert out == [None if t is None else unicodedata.normalize("NFKC", t) for t in rows]
+    ranges = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in tx.settled_ranges())
+    sent = df.where(F.col("t").rlike(f"[^{ranges}]")).count()
+    assert sent == 4
