@@ -450,7 +450,8 @@ def join_documents(
 def keep_one(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
-    """The table with one row of each group, one of the smallest id."""
+    """The table with one row of each group, one of the smallest id; among rows of one id and
+    text the one with the least hash of all columns, so a rerun keeps the same."""
     joined = join_documents(spark, docs, id_col, text_col, **options)
     first = joined.where(F.col("_id") == F.col("class_id"))
     first = first.groupBy("_label", "_id").agg(F.min("_text").alias("_text"))
@@ -461,4 +462,5 @@ def keep_one(
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"),
     ).join(first, ["_id", "_text"])
     # One text of each group is left; its repeated rows are combined before they are dealt out.
-    return rows.dropDuplicates(["_label"]).select("_doc.*")
+    least = rows.groupBy("_label").agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc"))
+    return least.select("_doc.*")

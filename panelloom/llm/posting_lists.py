@@ -7,8 +7,11 @@ means are the centroids. A graph over the centroids (near neighbours and some fa
 held in memory by every worker and searched with a beam, for all rows of a batch at once.
 Vectors near a border are stored in every list whose centroid is at most ``REPLICA_RATIO``
 times as far as the nearest, up to ``REPLICAS`` lists. A query reads the lists whose distance
-is at most a ratio times that of the nearest one. The ratio is the smallest of ``RATIOS`` that
-reaches ``TARGET`` recall on sampled queries against brute force over the sample.
+is at most a ratio times that of the nearest one. The beam is ``BEAM`` wide, however many
+centroids there are, and the ratio is the smallest of ``RATIOS`` that reaches ``TARGET`` recall on
+sampled queries against brute force over the sample. Where none does, the beam is doubled, in
+the end to all centroids with all lists read, which is exact; so the target is always met on
+the sample.
 
 All rows are indexed; among equal vectors only the k + 1 smallest ids can be results, so
 only those are stored (Spark keeps that many per task before it shuffles). Neighbouring lists
@@ -127,7 +130,7 @@ def beam_search(
 
 def lists_of(ids: np.ndarray, away: np.ndarray, ratio: float, most: int | None) -> list[np.ndarray]:
     """Lists at most ``ratio`` times as far as the nearest."""
-    near = away <= ratio * away[:, :1] + 1e-12
+    near = away <= ratio * away[:, :1] + 1e-12 if np.isfinite(ratio) else np.ones(away.shape, bool)
     if most:
         near[:, most:] = False
     return [row[mark] for row, mark in zip(ids, near, strict=True)]
@@ -152,25 +155,29 @@ class Index:
         stored = widened(sample, norm)
         self.centres = halved(stored, max(1, ceil(len(stored) / lists)))
         self.links = link(self.centres)
-        self.beam = max(BEAM, ceil(len(self.centres) / 2))
-        self.ratio, self.recall = self._tuned(sample, stored, k)
+        self.beam, self.ratio, self.recall = self._tuned(sample, stored, k)
 
-    def _tuned(self, sample: np.ndarray, stored: np.ndarray, k: int) -> tuple[float, float]:
+    def _tuned(self, sample: np.ndarray, stored: np.ndarray, k: int) -> tuple[int, float, float]:
         queries = sample[:TUNING_QUERIES]
         best = np.argsort(-(queries @ sample.T), axis=1, kind="stable")[:, : k + 1]
         homes = self.store(stored)
         places: list[set[int]] = [set(home.tolist()) for home in homes]
-        ids, away = beam_search(asked(queries), self.centres, self.links, self.beam)
-        for ratio in RATIOS:
-            read = lists_of(ids, away, ratio, None)
-            hits = [
-                not places[row].isdisjoint(lists.tolist())
-                for lists, rows in zip(read, best, strict=True) for row in rows
-            ]
-            recall = float(np.mean(hits)) if hits else 1.0
-            if recall >= TARGET:
-                break
-        return ratio, recall
+        beam = BEAM
+        while True:
+            ids, away = beam_search(asked(queries), self.centres, self.links, beam)
+            whole = beam >= len(self.centres)
+            for ratio in (*RATIOS, np.inf) if whole else RATIOS:
+                read = lists_of(ids, away, ratio, None)
+                hits = [
+                    not places[row].isdisjoint(lists.tolist())
+                    for lists, rows in zip(read, best, strict=True) for row in rows
+                ]
+                recall = float(np.mean(hits)) if hits else 1.0
+                if recall >= TARGET:
+                    return beam, ratio, recall
+            if whole:
+                raise ValueError("the index misses vectors that it stores")
+            beam *= 2
 
     def store(self, stored: np.ndarray) -> list[np.ndarray]:
         """Lists that hold each stored vector."""

@@ -12,8 +12,9 @@ host, then the later one given. Where no rule fits, the verdict is ``default``.
 
 Defined results: null urls and urls without ``://`` have an empty host and path and get the
 default; an empty host fits no rule; repeated rows are judged alike; an empty table gives
-an empty table; other columns pass through and ``host``, ``path``, ``rule``, ``verdict`` are
-returned beside them in a struct of their own.
+an empty table; all other columns pass through, whatever their names, and ``host``, ``path``,
+``rule``, ``verdict`` are returned beside them in a struct of their own, which is called ``_url``
+unless the caller names it otherwise; rows that have a column of that name raise.
 """
 
 from __future__ import annotations
@@ -165,8 +166,11 @@ def judge_urls(
     rules: Iterable[tuple[str, str, str]],
     url_col: str = "url",
     default: str = "allow",
+    into: str = "_url",
 ) -> DataFrame:
-    """Rows with a struct ``_url`` (host, path, rule, verdict); nothing is shuffled."""
+    """Rows with a struct ``into`` (host, path, rule, verdict); nothing is shuffled."""
+    if into in rows.columns:
+        raise ValueError(f"the rows have a column {into}; choose another name")
     name = f"rules-{uuid.uuid4().hex}.idx"
     # From the shared folder Spark copies the file to each executor once.
     spark.sparkContext.addFile(save_bytes(spark, build_index(rules), name))
@@ -183,17 +187,17 @@ def judge_urls(
                 }
             )
 
-    host, path = host_and_path(F.col(url_col))
-    verdict = judged("_host", "_path")
-    return (
-        rows.withColumns({"_host": host, "_path": path})
-        .withColumn("_verdict", verdict)
-        .withColumn(
-            "_url",
-            F.struct(
-                F.col("_host").alias("host"), F.col("_path").alias("path"),
-                "_verdict.rule", "_verdict.verdict",
-            ),
-        )
-        .drop("_host", "_path", "_verdict")
+    # The judged columns have names of this call, which no column of the rows can have.
+    own = {part: f"{part}_{name}" for part in ("host", "path", "verdict")}
+    host, path = host_and_path(F.col(f"`{url_col}`"))
+    given = [F.col(f"`{column}`") for column in rows.columns]
+    split = rows.select(*given, host.alias(own["host"]), path.alias(own["path"]))
+    both = [F.col(f"`{own[part]}`") for part in ("host", "path")]
+    verdict = F.col(f"`{own['verdict']}`")
+    return split.select("*", judged(*both).alias(own["verdict"])).select(
+        *given,
+        F.struct(
+            both[0].alias("host"), both[1].alias("path"),
+            verdict.getField("rule").alias("rule"), verdict.getField("verdict").alias("verdict"),
+        ).alias(into),
     )

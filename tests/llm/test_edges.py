@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from panelloom.llm import (
     bloom_digest,
     chat_tree,
@@ -270,6 +272,21 @@ def test_url_rules(spark):
     assert url_rules.judge_urls(spark, frame, []).where("_url.rule is not null").count() == 0
 
 
+def test_urls_keep_columns_of_any_name(spark):
+    frame = spark.createDataFrame(
+        [("http://example.com/de/x", 1, 2, 3, 4, 5)],
+        "url string, _host int, _path int, _verdict int, `a.b` int, host int",
+    )
+    row = url_rules.judge_urls(spark, frame, URL_RULES).first()
+    assert [row[name] for name in ("_host", "_path", "_verdict", "a.b", "host")] == [1, 2, 3, 4, 5]
+    assert tuple(row._url) == ("example.com", "/de/x", "example.com/de/", "block")
+    named = frame.withColumn("_url", F.lit("own"))
+    with pytest.raises(ValueError):
+        url_rules.judge_urls(spark, named, URL_RULES)
+    row = url_rules.judge_urls(spark, named, URL_RULES, into="judged").first()
+    assert row._url == "own" and row.judged.verdict == "block"
+
+
 def test_url_digest_collisions(tmp_path, monkeypatch):
     """Equal digests never decide: the stored string does."""
     monkeypatch.setattr(url_rules, "_digest", lambda text: len(text) % 2)
@@ -574,3 +591,77 @@ def test_neighbours(spark):
     assert [r.rank for r in few] == [1, 2, 3]
     assert posting_lists.search(spark, frame.where("vec_id < 0"), F.col("vec_id") == 0).count() == 0
     assert posting_lists.search(spark, frame.where("vec_id >= 500"), F.col("vec_id") == 0).count() == 0
+
+
+def _clustered(count, dim=64, clusters=400, seed=3):
+    random = np.random.default_rng(seed)
+    centres = random.normal(size=(clusters, dim))
+    rows = centres[random.integers(clusters, size=count)] + 0.8 * random.normal(size=(count, dim))
+    return rows / np.linalg.norm(rows, axis=1)[:, None]
+
+
+def test_recall_where_graph_and_sample_matter(spark):
+    """More lists than the beam is wide, and a sample of a fifth of the rows."""
+    count = 100_000
+    vectors = _clustered(count).astype(np.float32)
+    frame = spark.createDataFrame(
+        pd.DataFrame({"vec_id": np.arange(count), "embedding": list(vectors)})
+    ).repartition(8)
+    found = posting_lists.search(spark, frame, F.col("vec_id") % 1000 == 0, k=20).collect()
+    assert posting_lists.SAMPLE_ROWS < count
+    answers = {}
+    for r in found:
+        answers.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for query in range(0, count, 1000):
+        scores = vectors.astype(np.float64) @ vectors[query].astype(np.float64)
+        scores[query] = -np.inf
+        hits += len(answers[query] & set(np.argsort(-scores)[:20].tolist()))
+    assert hits / (20 * 100) >= 0.9
+
+
+def test_share_of_lists_read_falls_with_the_rows():
+    shares = []
+    for count in (2_500, 40_000):
+        vectors = _clustered(count)
+        lists = int(np.ceil(count**0.5))
+        index = posting_lists.Index(vectors[:20_000], 1.0, lists, 20)
+        assert index.recall >= posting_lists.TARGET
+        read = index.read(vectors[:200])
+        shares.append(sum(map(len, read)) / (200 * len(index.centres)))
+    assert shares[1] < shares[0]
+
+
+def test_a_missed_target_widens_the_search(monkeypatch):
+    monkeypatch.setattr(posting_lists, "RATIOS", (1.0,))
+    monkeypatch.setattr(posting_lists, "BEAM", 2)
+    random = np.random.default_rng(1)
+    index = posting_lists.Index(random.normal(size=(900, 32)), 9.0, 30, 20)
+    assert index.recall >= posting_lists.TARGET and index.beam > 2
+
+
+def test_pipeline_stages_on_odd_rows(spark, docs, none, tmp_path):
+    """Nulls, empty and long texts, repeated rows, clashing names and no rows in every stage."""
+    sf_dir = "/root/testdata/sf0.001"
+    typed = docs.withColumn("n_chars", F.col("n_chars").cast("bigint"))
+    for name, stage in corpus_pipeline.STAGES:
+        for rows in (typed, none):
+            out = stage(spark, rows, sf_dir)
+            path = str(tmp_path / f"{name}-{rows is none}")
+            out.write.parquet(path)  # fails on two columns of one name
+            back = spark.read.parquet(path)
+            if name != "encoding":
+                assert back.columns == rows.columns
+            if rows is none:
+                assert back.count() == 0
+            elif name == "line_dedup":
+                assert back.count() == len(ROWS)
+            elif name == "near_duplicates":
+                again = stage(spark, rows.repartition(2), sf_dir)
+                assert sorted(map(str, again.collect())) == sorted(map(str, back.collect()))
+            elif name == "encoding":
+                assert back.count() == len(ROWS)
+                assert {r.doc_ids for r in back.collect()} == {"own"}
+            if rows is typed:
+                own = [c for c in CLASHES if c != "ids"]
+                assert all(r[c] == "own" for r in back.collect() for c in own)
