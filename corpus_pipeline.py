@@ -20,6 +20,9 @@ from panelloom.llm.queries import QUERIES as OPERATORS
 from panelloom.session import scratch_path
 
 
+ENCODED = ("n_tokens", "ids", "begins", "ends", "decoded_sha256")
+
+
 def _columns(docs: DataFrame, **changed) -> list:
     """The columns of ``_doc``, some of them replaced."""
     return [
@@ -56,12 +59,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and spans of every text."""
     coded = pieces.encode_texts(docs, MODEL)
-    others = [name for name in docs.columns if name != "text"]
-    return coded.select(
-        *[F.col("_doc").getField(name).alias(name) for name in others],
-        "n_tokens", "ids", "begins", "ends",
-        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
-    )
+    coded = coded.withColumn("decoded_sha256", F.sha2(F.encode("decoded", "UTF-8"), 256))
+    given = [name for name in docs.columns if name != "text"]
+    # A document's own column of such a name keeps its values under another one.
+    taken = {*given, *ENCODED}
+    names = {}
+    for name in given:
+        free = name
+        while free in ENCODED or (free != name and free in taken):
+            free = f"doc_{free}"
+        names[name] = free
+        taken.add(free)
+    own = [F.col("_doc").getField(name).alias(free) for name, free in names.items()]
+    return coded.select(*own, *ENCODED)
 
 
 STAGES = [
