@@ -146,12 +146,16 @@ def _counted_hot_keys(
     tables: Sequence[DataFrame], keys: Sequence[str], hot_rows: int
 ) -> DataFrame | None:
     """The hot keys, counted once and kept in the shared folder; None when there are none."""
-    path = scratch_path(tables[0].sparkSession, "hot-keys")
-    hot_keys(tables, keys, hot_rows).write.parquet(path)
-    kept = tables[0].sparkSession.read.parquet(path)
+    kept = _written(hot_keys(tables, keys, hot_rows), "hot-keys")
     return None if kept.isEmpty() else kept
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def merged_by_key(
     tables: Sequence[DataFrame], keys: Sequence[str], names: Sequence[str] | None = None
 ) -> DataFrame:
@@ -228,6 +232,7 @@ def outer_join(
     null_safe: bool = True,
     unique_keys: bool = False,
     hot_rows: int = HOT_ROWS,
+    keep_inputs: bool = False,
 ) -> DataFrame:
     """Full outer equi-join of all tables, keys coalesced, other columns side by side.
 
@@ -235,7 +240,8 @@ def outer_join(
     match nothing and are appended without a join. Tables known to have one row per
     key (``unique_keys``) cannot be skewed: from three on they meet in one shuffle
     (``merged_by_key``). For others the keys are counted once, by a job of its own, and
-    hot ones are joined apart in slices.
+    hot ones are joined apart in slices. That reads the inputs' keys twice: stored tables may
+    well be, but inputs that are dear to compute are written once first (``keep_inputs``).
     """
     if len(tables) == 1:
         return tables[0]
@@ -249,6 +255,8 @@ def outer_join(
     def fold(parts: Sequence[DataFrame]) -> DataFrame:
         return reduce(lambda a, b: _full_outer(a, b, keys, null_safe), parts)
 
+    if keep_inputs and not unique_keys:
+        tables = [_written(table, "join-input") for table in tables]
     hot = None if unique_keys else _counted_hot_keys(tables, keys, hot_rows)
     if hot is None:
         merged = fold(tables)

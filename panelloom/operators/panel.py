@@ -43,6 +43,7 @@ def assemble_panel(
     null_safe: bool = True,
     unique_keys: bool = False,
     hot_rows: int = HOT_ROWS,
+    keep_inputs: bool = False,
 ) -> DataFrame:
     """Full outer join of feature tables on the keys, years filtered before the join.
 
@@ -62,7 +63,7 @@ def assemble_panel(
         parts.append(within_years(df, min_year, max_year))
     if not parts:
         return schemas.empty(spark, schemas.PANEL_KEYS)
-    return outer_join(parts, join_keys, null_safe, unique_keys, hot_rows)
+    return outer_join(parts, join_keys, null_safe, unique_keys, hot_rows, keep_inputs)
 
 
 def panel_sql(

@@ -448,7 +448,8 @@ def _repeated(spark: SparkSession, sf_dir: str, hot_rows: int) -> DataFrame:
     )
     orders = inputs.order_firm_years(spark, sf_dir).select("firm_id", "year", "orders")
     return panel.assemble_panel(
-        spark, {"orders": orders, "lines": lines}, min_year=_LOW, max_year=_HIGH, hot_rows=hot_rows
+        spark, {"orders": orders, "lines": lines}, min_year=_LOW, max_year=_HIGH,
+        hot_rows=hot_rows, keep_inputs=True,
     )
 
 
@@ -707,7 +708,8 @@ def listed_raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing.write_files(inputs.page_files(spark, sf_dir), root)
     files = listing.list_files(spark, root)
     bundles = f"bundles_{uuid.uuid4().hex}"
-    sinks.write_bundles(listing.read_listed(files), bundles, buckets=8)
+    for _ in range(2):  # the second time nothing is left to add
+        stages.bundle_files(spark, root, bundles, buckets=8)
     tail = lambda path: F.regexp_extract(path, "/raw-[0-9a-f]{32}(/.*)$", 1)
     lengths = files.select(tail("path").alias("path"), "length")
     contents = spark.table(bundles).select(
@@ -716,6 +718,23 @@ def listed_raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contents.join(lengths, "path")
 
 
+@query
+def documents_from_landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed as files, bundled and standardised by a manifest kept in a store."""
+    root, documents = scratch_path(spark, "raw"), scratch_path(spark, "documents")
+    landed = F.regexp_extract("path", "^/landing(/.*)$", 1)
+    files = inputs.page_files(spark, sf_dir).where(F.col("path").startswith(inputs.LANDING))
+    listing.write_files(files.select(landed.alias("path"), "content"), root)
+    bundles = f"bundles_{uuid.uuid4().hex}"
+    stages.bundle_files(spark, root, bundles, buckets=8)
+    store = ManifestStore(spark, scratch_path(spark, "manifest-store"), buckets=8)
+    store.append(inputs.page_manifest(spark, sf_dir))
+    stages.standardize_bundles(
+        spark, store.read(), bundles, root, documents, scratch_path(spark, "metadata")
+    )
+    return scans.read_stage(spark, documents, schemas.DOCUMENTS).drop("raw_path")
+
+
 @query
 def filing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histories whose filings before 1996 lie in shards, landed as JSON and read back."""

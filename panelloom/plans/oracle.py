@@ -594,6 +594,11 @@ SELECT CASE WHEN contains(url, '/en/')
        CAST(strlen(html) AS BIGINT) AS length, sha256(html) AS content_sha256
 FROM page_rows"""
 
+ORACLE["documents_from_landed_files"] = f"""WITH {_PAGES}
+SELECT cik || '_' || accession_number || '_' || document AS document_id, firm_id, cik, ticker,
+       '10-K' AS form_type, filing_date, fiscal_year, {_routed('html')} AS text
+FROM page_docs WHERE contains(url, '/en/')"""
+
 # -- absent and empty inputs, hot keys ---------------------------------------------
 
 ORACLE["features_of_missing_stage"] = ORACLE["firm_year_attention"]

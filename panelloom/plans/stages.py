@@ -8,11 +8,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelloom import schemas
 from panelloom.functions import text as tx
 from panelloom.operators import features, filings, mapping, metrics, panel, sampling
-from panelloom.sources import scans, sinks
+from panelloom.session import scratch_path
+from panelloom.sources import listing, scans, sinks
+from panelloom.sources.manifest_store import ManifestStore
+from panelloom.sources.mapping_store import MappingStore
 
 
 def bootstrap(
@@ -38,17 +42,81 @@ def ingest(
 ) -> str:
     """Append the wanted new filings of a landed history to the manifest."""
     manifest = scans.read_stage_if_exists(spark, manifest_path, schemas.MANIFEST)
+    mapped = sinks.load_mapping(spark, mapping_path)
+    universe = scans.read_universe(spark, universe_path)
+    rows = _wanted_rows(history, universe, mapped, root, forms, start_year, end_year)
+    filings.new_rows(rows, manifest).write.mode("append").parquet(manifest_path)
+    return manifest_path
+
+
+def _wanted_rows(
+    history: DataFrame,
+    universe: DataFrame,
+    mapped: DataFrame,
+    root: str,
+    forms: Sequence[str],
+    start_year: int | None,
+    end_year: int | None,
+) -> DataFrame:
     wanted = filings.select_filings(
         scans.filings_as_columns(history), forms, start_year, end_year
     )
-    firms = filings.attach_firms(
-        wanted,
-        scans.read_universe(spark, universe_path),
-        sinks.load_mapping(spark, mapping_path),
+    return filings.manifest_rows(filings.attach_firms(wanted, universe, mapped), root)
+
+
+def ingest_into(
+    store: ManifestStore,
+    mapping_store: MappingStore,
+    history: DataFrame,
+    universe_path: str,
+    root: str,
+    forms: Sequence[str] = filings.FORM_TYPES,
+    start_year: int | None = None,
+    end_year: int | None = None,
+) -> DataFrame:
+    """As ``ingest``, between stores that batches do not read whole; returns the new rows."""
+    universe = scans.read_universe(store.spark, universe_path)
+    rows = _wanted_rows(
+        history, universe, mapping_store.read(), root, forms, start_year, end_year
+    )
+    return store.append(rows).fresh
+
+
+def bundle_files(spark: SparkSession, root: str, table: str, buckets: int) -> int:
+    """Add the landed files that a bundle table lacks; returns how many. Files are listed and
+    read by the executors; a file that is in the table already is not opened. A file that is
+    named twice in the table, as after a death while appending, never comes about: Spark commits
+    an append as a whole."""
+    files = listing.list_files(spark, root)
+    path = F.regexp_replace("path", "^file:/+", "/")
+    if spark.catalog.tableExists(table):
+        held = spark.table(table).select(F.col("path").alias("_held"))
+        files = files.join(held, path == F.col("_held"), "left_anti")
+    fresh = files.where(~F.col("path").endswith(".parquet"))
+    known = scratch_path(spark, "listed")
+    fresh.write.parquet(known)  # the list is read twice: for its bytes and for its files
+    fresh = spark.read.parquet(known)
+    count = fresh.count()
+    if count:
+        sinks.write_bundles(listing.read_listed(fresh), table, buckets)
+    return count
+
+
+def standardize_bundles(
+    spark: SparkSession,
+    manifest: DataFrame,
+    table: str,
+    root: str,
+    documents_path: str,
+    metadata_path: str,
+) -> str:
+    """Manifest rows and a bundle table to the documents table; contents stay where they are."""
+    base = listing.plain(listing.qualified(spark, root))  # as the table's paths begin
+    documents = filings.standardize(manifest, spark.table(table), base)
+    return sinks.write_stage(
+        documents, documents_path, "intermediate", features.FEATURE_SOURCE, "attention",
+        metadata_path,
     )
-    fresh = filings.new_rows(filings.manifest_rows(firms, root), manifest)
-    fresh.write.mode("append").parquet(manifest_path)
-    return manifest_path
 
 
 def standardize(

@@ -12,6 +12,7 @@ store that only Spark reaches, ``scans.read_raw_files`` lists on the driver.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from math import ceil
@@ -37,6 +38,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return system.makeQualified(target).toString()
 
 
+def plain(uri: str) -> str:
+    """A qualified path as the readers give it: local ones without a scheme."""
+    return re.sub("^file:/+", "/", uri)
+
+
 def opened(uri: str) -> tuple[pa.fs.FileSystem, str]:
     """The file system of a path with a scheme, and the path in it. Names in such paths are
     plain, not escaped, so only scheme and host go through Arrow's parser."""

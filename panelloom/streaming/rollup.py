@@ -1,7 +1,7 @@
 """Firm-year features kept up to date batch by batch.
 
 A landed batch of documents is counted once and stored as sums per firm-year under its batch
-number. Writing a batch again replaces its sums, so a replay changes nothing. The feature table
+number. A batch whose sums are complete is left out when it is replayed. The feature table
 is the sum of all parts, whose size is that of firm-years, not of documents. From time to time the
 parts are folded into a base that names the last batch in it; a batch at or below that number is
 already in and is left out when replayed. A base counts only once it is complete.
@@ -64,7 +64,7 @@ class FirmYearStore:
     def add(self, measured: DataFrame, batch: int) -> None:
         """Store the sums of one batch of document features."""
         folded = self._folded()
-        if batch <= folded:
+        if batch <= folded or batch in self._open_parts(folded):
             return
         partial_sums(measured).write.mode("overwrite").parquet(f"{self.parts}/{batch}")
         numbers = self._open_parts(folded)

@@ -171,3 +171,14 @@ def test_null_keys_are_dealt_out(spark):
     assert salted.select("_s").distinct().count() == 1000
     full = joins.null_salt(df.fillna({"k": "a"}), ["k", "y"], "_s")
     assert [r[0] for r in full.select("_s").distinct().collect()] == [0]
+
+
+@pytest.mark.parametrize("hot_rows", [3, 1_000])
+def test_kept_inputs_are_computed_once(spark, tmp_path, hot_rows):
+    rng = random.Random(7)
+    frames = [(n, random_rows(rng, 30, ("a", 2000))) for n in "xy"]
+    tables = [table(spark, str(tmp_path / n), n, rows) for n, rows in frames]
+    out = joins.outer_join(tables, KEYS, hot_rows=hot_rows, keep_inputs=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert str(tmp_path) not in "".join(out.inputFiles()) and plan
+    assert as_counter(map(tuple, out.collect())) == merged(frames)

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from panelloom import schemas
 from panelloom.operators import features, sampling
 from panelloom.operators import mapping as maps
+from panelloom.plans import stages
 from panelloom.sources import listing, sinks
 from panelloom.sources import manifest_store as stores
 from panelloom.sources.mapping_store import MappingStore
+from panelloom.streaming import rollup
 from panelloom.streaming.rollup import FirmYearStore, roll_up_stream
 
 
@@ -137,17 +139,39 @@ def test_upsert_leaves_untouched_buckets_alone(spark, tmp_path):
     store = MappingStore(spark, str(tmp_path / "mapping"), buckets=16)
     assert store.read().count() == 0 and store.upsert(spark.createDataFrame([], shape)) == []
     assert store.upsert(spark.createDataFrame(first, shape)) == list(range(16))
-    files = lambda: {str(p.relative_to(tmp_path)) for p in tmp_path.glob("mapping/rows/*/*.parquet")}
+    files = lambda: {str(p.relative_to(tmp_path)) for p in tmp_path.glob("mapping/rows/*/*/*.parquet")}
+    bucket = lambda f: int(f.split("bucket=")[1].split("/")[0])
     before = files()
     touched = store.upsert(spark.createDataFrame(again, shape))
     assert 1 <= len(touched) <= 2
-    same = {f for f in before if int(f.split("bucket=")[1].split("/")[0]) not in touched}
-    assert same <= files() and same and not (before - same) & files()
+    assert before < files() and {bucket(f) for f in files() - before} == set(touched)
     plain = maps.upsert_mapping(schemas.empty(spark, schemas.MAPPING), spark.createDataFrame(first + again, shape))
-    key = lambda r: tuple(map(str, r))
-    assert sorted(map(key, store.read().collect())) == sorted(map(key, plain.collect()))
-    store.upsert(spark.createDataFrame(again, shape))
-    assert sorted(map(key, store.read().collect())) == sorted(map(key, plain.collect()))
+    expected = sorted(tuple(map(str, r)) for r in plain.collect())
+    held = lambda: sorted(tuple(map(str, r)) for r in store.read().collect())
+    assert held() == expected
+    store.upsert(spark.createDataFrame(again, shape))  # a replay
+    assert held() == expected
+    # Replaced files are gone after the next upsert, those of other buckets are still there.
+    assert {f for f in before if f in files()} == {f for f in before if bucket(f) not in touched}
+
+
+def test_an_upsert_that_dies_leaves_the_state_before(spark, tmp_path, monkeypatch):
+    shape = "ticker string, registered_seq long"
+    store = MappingStore(spark, str(tmp_path / "mapping"), buckets=4)
+    store.upsert(spark.createDataFrame([("a", 1), ("b", 2)], shape))
+    held = lambda: sorted((r.ticker, r.registered_seq) for r in store.read().collect())
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(store, "_publish", dies)
+    again = spark.createDataFrame([("a", 5), ("c", 6)], shape)
+    with pytest.raises(RuntimeError):
+        store.upsert(again)
+    assert held() == [("A", 1), ("B", 2)]
+    monkeypatch.undo()
+    store.upsert(again)
+    assert held() == [("A", 5), ("B", 2), ("C", 6)]
 
 
 # -- roll-up ---------------------------------------------------------------------------
@@ -183,6 +207,19 @@ def test_sums_of_batches_equal_the_whole(spark, tmp_path, fold_after):
     assert sorted(map(key, store.read().collect())) == sorted(map(key, expected.collect()))
 
 
+def test_parts_that_a_base_holds_count_once(spark, tmp_path, monkeypatch):
+    """A death after the base was written and before its parts were deleted."""
+    store = FirmYearStore(spark, str(tmp_path / "years"), 1)
+    batches = [spark.createDataFrame(rows, DOCUMENT) for rows in document_batches()[:2]]
+    store.add(features.document_features(batches[0]), 0)
+    monkeypatch.setattr(rollup, "remove_folder", lambda *_: None)
+    store.add(features.document_features(batches[1]), 1)
+    expected = features.attention_firm_year(batches[0].unionByName(batches[1]))
+    key = lambda r: tuple(map(str, r))
+    assert store._folded() == 1
+    assert sorted(map(key, store.read().collect())) == sorted(map(key, expected.collect()))
+
+
 def test_roll_up_stream(spark, tmp_path):
     for number, rows in enumerate(document_batches()):
         spark.createDataFrame(rows, DOCUMENT).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
@@ -295,3 +332,19 @@ def test_threshold_lets_few_rows_through(spark):
     stages = chosen._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" in stages
     assert sampling._needed(50) < 150
+
+
+def test_bundles_take_each_file_once(spark, tmp_path):
+    root, table = str(tmp_path / "raw"), "bundles_of_test"
+    land = lambda rows: listing.write_files(
+        spark.createDataFrame(rows, "path string, content binary"), root
+    )
+    land([("1/a.htm", b"a"), ("2/b.htm", b"b"), ("2/part.parquet", b"no")])
+    assert stages.bundle_files(spark, root, table, 4) == 2
+    assert stages.bundle_files(spark, root, table, 4) == 0
+    land([("1/c.htm", b"c")])
+    assert stages.bundle_files(spark, root, table, 4) == 1
+    rows = {r.path: bytes(r.content) for r in spark.table(table).collect()}
+    assert rows == {f"{root}/{p}.htm": p[-1].encode() for p in ("1/a", "2/b", "1/c")}
+    assert spark.table(table).count() == 3
+    spark.sql(f"DROP TABLE {table}")
