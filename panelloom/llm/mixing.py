@@ -287,12 +287,15 @@ def mix(spark: SparkSession, docs: DataFrame, whole: bool = False, **options) ->
     )
 
 
+def in_shards(mixed: DataFrame) -> DataFrame:
+    """Rows of a shard side by side in one task, shuffled inside it. Shards have equal numbers
+    of blocks, so no task is much larger than the others."""
+    return mixed.repartition("_shard").sortWithinPartitions("_shard", "_order")
+
+
 def write_shards(mixed: DataFrame, path: str) -> None:
-    """One folder per shard, rows shuffled inside it. Shards have equal numbers of blocks, so
-    a task that writes one is never much larger than the others."""
-    mixed.repartition("_shard").sortWithinPartitions("_shard", "_order").write.partitionBy(
-        "_shard"
-    ).parquet(path)
+    """One folder per shard, rows shuffled inside it."""
+    in_shards(mixed).write.partitionBy("_shard").parquet(path)
 
 
 @functools.lru_cache(maxsize=4)
