@@ -17,7 +17,6 @@ from panelloom.llm import chosen_path, line_runs, mixing, pieces, quality
 from panelloom.llm.common import keep, table
 from panelloom.llm.queries import MODEL
 from panelloom.llm.queries import QUERIES as OPERATORS
-from panelloom.session import scratch_path
 
 
 ENCODED = ("n_tokens", "ids", "begins", "ends", "decoded_sha256")
@@ -51,9 +50,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents as the mix takes them, one row per copy, shard by shard and shuffled
     inside each shard."""
-    path = scratch_path(spark, "shards")
-    mixing.write_shards(mixing.mix(spark, docs, whole=True), path)
-    return spark.read.parquet(path).select(*_columns(docs))
+    mixed = mixing.in_shards(mixing.mix(spark, docs, whole=True))
+    return mixed.select(*_columns(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
