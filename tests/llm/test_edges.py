@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -600,13 +601,13 @@ def _clustered(count, dim=64, clusters=400, seed=3):
     return rows / np.linalg.norm(rows, axis=1)[:, None]
 
 
-def test_recall_where_graph_and_sample_matter(spark):
+def test_recall_where_graph_and_sample_matter(spark, tmp_path):
     """More lists than the beam is wide, and a sample of a fifth of the rows."""
     count = 100_000
     vectors = _clustered(count).astype(np.float32)
-    frame = spark.createDataFrame(
-        pd.DataFrame({"vec_id": np.arange(count), "embedding": list(vectors)})
-    ).repartition(8)
+    columns = {"vec_id": pa.array(range(count)), "embedding": pa.array(vectors.tolist(), pa.list_(pa.float32()))}
+    pq.write_table(pa.table(columns), tmp_path / "vectors.parquet")
+    frame = spark.read.parquet(str(tmp_path)).repartition(8)
     found = posting_lists.search(spark, frame, F.col("vec_id") % 1000 == 0, k=20).collect()
     assert posting_lists.SAMPLE_ROWS < count
     answers = {}
