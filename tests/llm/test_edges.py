@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -322,6 +323,61 @@ def test_levels_are_compacted(spark):
     assert runs.where("_first = 0").count() == 2
 
 
+def _line_batches(spark, count):
+    return [
+        spark.createDataFrame(
+            [(10 * i + j, f"line {j % 4} of batch {i}\nthe line of everyone\nseen from {i // 2} on")
+             for j in range(6)],
+            "doc_id bigint, text string",
+        )
+        for i in range(count)
+    ]
+
+
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_runs_against_plain_python(spark, fanout):
+    """First documents, marks of repeated keys and stripped texts, over several levels."""
+    store, batches = line_runs.LineRuns(spark, fanout=fanout), _line_batches(spark, 7)
+    for batch in batches:
+        store.add(batch)
+    rows = [row for batch in batches for row in batch.collect()]
+    holders = {}
+    for row in rows:
+        for line in row.text.split("\n"):
+            holders.setdefault(line, []).append(row.doc_id)
+    assert sorted(r._first for r in store.runs().collect()) == sorted(map(min, holders.values()))
+    assert sorted(r._first for r in store.repeated().collect()) == sorted(
+        min(ids) for ids in holders.values() if len(set(ids)) > 1
+    )
+    docs = functools.reduce(type(batches[0]).unionByName, batches)
+    kept = {r._doc.doc_id: r._kept for r in store.strip(docs).collect()}
+    assert kept == {
+        row.doc_id: "\n".join(
+            line for line in row.text.split("\n") if min(holders[line]) == row.doc_id
+        )
+        for row in rows
+    }
+
+
+def test_runs_stay_where_they_are(spark, monkeypatch):
+    """Only a batch is shuffled and sorted; runs are read and merged in their order."""
+    plans, write = [], line_runs.LineRuns._write
+
+    def spy(self, keys):
+        with line_runs._sorted_buckets(self.spark):
+            plans.append(keys._jdf.queryExecution().executedPlan().toString())
+        return write(self, keys)
+
+    monkeypatch.setattr(line_runs.LineRuns, "_write", spy)
+    store = line_runs.LineRuns(spark)
+    for batch in _line_batches(spark, 4):
+        store.add(batch)
+    shape = [(p.count("Exchange "), p.count("Sort ["), p.count("SortMergeJoin ")) for p in plans]
+    batch, merge = (1, 1, 1), (0, 0, 1)
+    assert shape == [(1, 0, 0), batch, merge, batch, (1, 1, 2), merge, merge]
+    assert spark.conf.get(line_runs.IN_ORDER) == "false"
+
+
 def test_mixing(spark, docs, none):
     drawn = mixing.draw_words(spark, docs).collect()
     assert len(drawn) == len(ROWS)
