@@ -182,3 +182,16 @@ def test_kept_inputs_are_computed_once(spark, tmp_path, hot_rows):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert str(tmp_path) not in "".join(out.inputFiles()) and plan
     assert as_counter(map(tuple, out.collect())) == merged(frames)
+
+
+def test_union_of_bucketed_tables_groups_each_key_once(spark):
+    """The session keeps Spark from trusting the buckets of a union."""
+    names = ["union_one", "union_two"]
+    for name in names:
+        rows = spark.range(100).selectExpr("id", "1 AS n")
+        rows.write.bucketBy(4, "id").sortBy("id").mode("overwrite").saveAsTable(name)
+    both = reduce(lambda a, b: a.unionByName(b), map(spark.table, names))
+    grouped = both.groupBy("id").sum("n").toDF("id", "n").collect()
+    assert len(grouped) == 100 and {row.n for row in grouped} == {2}
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
