@@ -16,8 +16,9 @@ Defined results: null is the empty text; an empty text has no features, an empty
 fingerprint and likeness 1 to another empty one, 0 to all others; a text shorter than a
 window is one window filled up with zero bytes; texts without a window of score
 ``MIN_SCORE`` use their leftmost of lowest rank; long texts are read whole; rows are ordered by
-descending id (null last), then text, so repeated rows follow each other; an empty table
-gives an empty table; other columns are not read.
+descending id (null last), then a hash of the text, then text, so repeated rows follow each
+other; an id with more rows than a range holds is dealt over several ranges by that hash; an
+empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.llm.common import mixed, text_runs
@@ -198,6 +199,39 @@ def histogram(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return total
 
 
+def _cuts(keys: DataFrame, parts: int) -> tuple[list[int], dict[int, int]]:
+    """Keys that end ranges of about equal numbers of rows, and how many ranges each key
+    that fills more than one of them takes."""
+    shares = [i / parts for i in range(1, parts)] or [0.5]
+    found, total = keys.agg(
+        F.percentile_approx("_key", shares, 20 * parts), F.count(F.lit(1))
+    ).first()
+    cuts, hot = [int(cut) for cut in found or []], {}
+    if len(set(cuts)) < len(cuts):
+        # At most as many keys as ranges can fill one.
+        large = keys.groupBy("_key").count().where(F.col("count") * parts > total)
+        hot = {key: -(-count * parts // total) for key, count in large.collect()}
+    return sorted({*cuts, *hot}), hot
+
+
+def _bucket(cuts: list[int], hot: dict[int, int], parts: int) -> Column:
+    """Range of a row, in the order of rows. The rows of a hot key are dealt over ranges of
+    their own by ranges of ``_tie``; smaller keys of the same cut follow them."""
+    bounds = F.array(*map(_long, cuts)) if cuts else F.array().cast("array<bigint>")
+    reached = F.filter(bounds, lambda cut: cut >= F.col("_key"))
+    inner = _long(0)
+    for key, count in hot.items():
+        own = F.least(F.floor(F.col("_tie") / 2.0**63 * count), _long(count - 1))
+        inner = F.when(
+            F.array_min(reached) == key, F.when(F.col("_key") == key, own).otherwise(count)
+        ).otherwise(inner)
+    return F.size(reached) * _long(parts + 2) + inner
+
+
+def _long(value: int) -> Column:
+    return F.lit(value).cast("bigint")
+
+
 def _with_next(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows dealt by ranges of ids, sorted by descending id, each range followed by the
     first row of the next one (``_own`` false), the last by the first of all."""
@@ -206,26 +240,34 @@ def _with_next(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str)
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(HEAD)).alias("_key"),
         F.col(id_col).alias("_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
+    ).withColumn("_tie", F.shiftrightunsigned(F.xxhash64("_text"), 1))
+    rows = rows.withColumn("_bucket", _bucket(*_cuts(rows.select("_key"), parts), parts))
+    # One row per range; their number is a small multiple of the shuffle partitions.
+    tops = rows.groupBy("_bucket").agg(F.max("_key").alias("_key"))
+    heads = (
+        rows.select("_bucket", "_key", "_tie")
+        .join(F.broadcast(tops), ["_bucket", "_key"])
+        .groupBy("_bucket", "_key").agg(F.min("_tie").alias("_tie"))
+        .orderBy("_bucket").collect()
     )
-    shares = [i / parts for i in range(1, parts)] or [0.5]
-    found = docs.agg(F.percentile_approx(id_col, shares, 20 * parts)).first()[0] or []
-    cuts = sorted({int(cut) for cut in found})
-    bounds = F.array(*[F.lit(cut).cast("bigint") for cut in cuts]) if cuts else F.array().cast("array<bigint>")
-    bucket = F.size(F.filter(bounds, lambda cut: cut >= F.col("_key")))
-    rows = rows.withColumn("_bucket", bucket)
-    # One row per range; their number is the number of shuffle partitions.
-    heads = rows.groupBy("_bucket").agg(F.max("_key").alias("_key")).orderBy("_bucket").collect()
+    following = [*heads[1:], *heads[:1]]
     pairs = [
-        (heads[(i + 1) % len(heads)]["_key"], head["_bucket"]) for i, head in enumerate(heads)
+        (after["_key"], after["_tie"], head["_bucket"])
+        for head, after in zip(heads, following, strict=True)
     ]
-    followers = spark.createDataFrame(pairs, "_key BIGINT, _before INT")
-    extra = rows.join(F.broadcast(followers), "_key").select(
-        F.col("_before").alias("_bucket"), "_key", "_id", "_text", F.lit(False).alias("_own")
+    followers = spark.createDataFrame(pairs, "_key BIGINT, _tie BIGINT, _before BIGINT")
+    # Rows of one id and text are alike, so any of them will do.
+    extra = (
+        rows.select("_key", "_id", "_text", "_tie")
+        .join(F.broadcast(followers), ["_key", "_tie"])
+        .groupBy("_before").agg(F.min(F.struct("_text", "_key", "_id", "_tie")).alias("_row"))
+        .select(F.col("_before").alias("_bucket"), "_row.*", F.lit(False).alias("_own"))
     )
-    own = rows.select("_bucket", "_key", "_id", "_text", F.lit(True).alias("_own"))
-    return own.unionByName(extra).repartition(parts, "_bucket").sortWithinPartitions(
-        F.asc("_bucket"), F.desc("_own"), F.desc("_key"), F.asc("_text")
+    own = rows.withColumn("_own", F.lit(True))
+    dealt = own.unionByName(extra).repartition(parts, "_bucket").sortWithinPartitions(
+        F.asc("_bucket"), F.desc("_own"), F.desc("_key"), F.asc("_tie"), F.asc("_text")
     )
+    return dealt.drop("_key", "_tie")
 
 
 RESULT = pa.schema(

@@ -607,6 +607,39 @@ def test_fingerprints(spark, docs, none):
     assert bloom_digest.compare_with_next(spark, none).count() == 0
 
 
+@pytest.mark.parametrize("hot", [7, None])
+def test_a_hot_id_is_dealt_over_ranges(spark, hot):
+    """Half of the rows share an id; rows follow each other as in one sorted list."""
+    rows = [(i, f"text number {i} " * 9) for i in range(60)]
+    rows += [(hot, f"other text {i} " * 9) for i in range(60)] + [(hot, "the same text " * 9)] * 5
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = docs.select(F.coalesce("doc_id", F.lit(bloom_digest.HEAD)).alias("_key"))
+    cuts, found = bloom_digest._cuts(keyed, parts)
+    assert list(found.values()) == [-(-parts * (65 + (hot is not None)) // len(rows))]
+    assert set(found) <= set(cuts)
+    dealt = bloom_digest._with_next(spark, docs, "doc_id", "text")
+    ranges = {}
+    for row in dealt.collect():
+        ranges.setdefault(row._bucket, []).append(row)
+    assert len([r for r in ranges.values() if sum(x._id == hot for x in r if x._own) > 1]) > 1
+    ties = {
+        r.text: r.tie for r in docs.select(
+            "text", F.shiftrightunsigned(F.xxhash64("text"), 1).alias("tie")
+        ).collect()
+    }
+    order = sorted(
+        rows, key=lambda r: (-(bloom_digest.HEAD if r[0] is None else r[0]), ties[r[1]], r[1])
+    )
+    after = dict(zip(order, [*order[1:], order[0]], strict=True))
+    assert sum(row._own for part in ranges.values() for row in part) == len(rows)
+    for part in ranges.values():
+        assert [row._own for row in part] == [True] * (len(part) - 1) + [False]
+        for one, two in zip(part, part[1:], strict=False):
+            same = (one._id, one._text) == (two._id, two._text)
+            assert same or after[one._id, one._text] == (two._id, two._text)
+
+
 def test_levels_by_brute_force():
     raw = np.random.default_rng(4).integers(0, 30, 400).astype(np.uint8)
     found = bloom_digest.levels(raw)
