@@ -214,18 +214,17 @@ def _cuts(keys: DataFrame, parts: int) -> tuple[list[int], dict[int, int]]:
     return sorted({*cuts, *hot}), hot
 
 
-def _bucket(cuts: list[int], hot: dict[int, int], parts: int) -> Column:
-    """Range of a row, in the order of rows. The rows of a hot key are dealt over ranges of
-    their own by ranges of ``_tie``; smaller keys of the same cut follow them."""
+def _bucket(cuts: list[int], hot: dict[int, int]) -> tuple[Column, int]:
+    """Number of a row's range, in the order of rows, and how many there are. The rows of a
+    hot key are dealt over ranges of their own by ``_tie``; smaller keys follow them."""
     bounds = F.array(*map(_long, cuts)) if cuts else F.array().cast("array<bigint>")
-    reached = F.filter(bounds, lambda cut: cut >= F.col("_key"))
-    inner = _long(0)
+    bucket = F.size(F.filter(bounds, lambda cut: cut >= F.col("_key")))
     for key, count in hot.items():
-        own = F.least(F.floor(F.col("_tie") / 2.0**63 * count), _long(count - 1))
-        inner = F.when(
-            F.array_min(reached) == key, F.when(F.col("_key") == key, own).otherwise(count)
-        ).otherwise(inner)
-    return F.size(reached) * _long(parts + 2) + inner
+        own = F.least(F.floor(F.col("_tie") / 2.0**63 * count), _long(count - 1)).cast("int")
+        bucket += F.when(F.col("_key") == _long(key), own).otherwise(
+            F.when(F.col("_key") < _long(key), count).otherwise(0)
+        )
+    return bucket, len(cuts) + 1 + sum(hot.values())
 
 
 def _long(value: int) -> Column:
@@ -241,7 +240,8 @@ def _with_next(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str)
         F.col(id_col).alias("_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
     ).withColumn("_tie", F.shiftrightunsigned(F.xxhash64("_text"), 1))
-    rows = rows.withColumn("_bucket", _bucket(*_cuts(rows.select("_key"), parts), parts))
+    bucket, ranges = _bucket(*_cuts(rows.select("_key"), parts))
+    rows = rows.withColumn("_bucket", bucket)
     # One row per range; their number is a small multiple of the shuffle partitions.
     tops = rows.groupBy("_bucket").agg(F.max("_key").alias("_key"))
     heads = (
@@ -255,7 +255,7 @@ def _with_next(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str)
         (after["_key"], after["_tie"], head["_bucket"])
         for head, after in zip(heads, following, strict=True)
     ]
-    followers = spark.createDataFrame(pairs, "_key BIGINT, _tie BIGINT, _before BIGINT")
+    followers = spark.createDataFrame(pairs, "_key BIGINT, _tie BIGINT, _before INT")
     # Rows of one id and text are alike, so any of them will do.
     extra = (
         rows.select("_key", "_id", "_text", "_tie")
@@ -264,7 +264,7 @@ def _with_next(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str)
         .select(F.col("_before").alias("_bucket"), "_row.*", F.lit(False).alias("_own"))
     )
     own = rows.withColumn("_own", F.lit(True))
-    dealt = own.unionByName(extra).repartition(parts, "_bucket").sortWithinPartitions(
+    dealt = own.unionByName(extra).repartitionById(ranges, "_bucket").sortWithinPartitions(
         F.asc("_bucket"), F.desc("_own"), F.desc("_key"), F.asc("_tie"), F.asc("_text")
     )
     return dealt.drop("_key", "_tie")

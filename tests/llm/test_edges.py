@@ -619,6 +619,8 @@ def test_a_hot_id_is_dealt_over_ranges(spark, hot):
     assert list(found.values()) == [-(-parts * (65 + (hot is not None)) // len(rows))]
     assert set(found) <= set(cuts)
     dealt = bloom_digest._with_next(spark, docs, "doc_id", "text")
+    places = dealt.select("_bucket", F.spark_partition_id().alias("at")).distinct().collect()
+    assert all(row._bucket == row.at for row in places)  # a task has one range
     ranges = {}
     for row in dealt.collect():
         ranges.setdefault(row._bucket, []).append(row)
