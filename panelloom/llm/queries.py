@@ -184,7 +184,10 @@ def op7_passage_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.size("_shared"), F.lit(0)).alias("n_shared"),
         F.coalesce(F.size("_drops"), F.lit(0)).alias("n_dropped"),
         F.coalesce(length("_drops"), F.lit(0)).alias("dropped_bytes"),
-        F.coalesce("_firsts", F.array().cast("array<bigint>")).alias("first_doc_ids"),
+        F.coalesce(
+            F.transform("_firsts", lambda i: F.nullif(i, F.lit(passage_chunks.LAST))),
+            F.array().cast("array<bigint>"),
+        ).alias("first_doc_ids"),
         F.coalesce("_drops", F.array().cast("array<struct<begin:bigint,end:bigint>>")).alias("spans"),
     )
 

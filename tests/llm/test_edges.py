@@ -567,6 +567,31 @@ def test_repeated_phrases_are_found_after_any_beginning(size):
     assert missed == 0
 
 
+@pytest.mark.parametrize("least_bits", [4, 1 << 20])
+def test_every_shared_passage_of_twenty_words_is_found(spark, monkeypatch, least_bits):
+    """Also where it stands between other words, twice in a document, or in rows that share an id,
+    and where the filters are crowded."""
+    monkeypatch.setattr(passage_chunks.Filter, "LEAST_BITS_PER_KEY", least_bits)
+    random = np.random.default_rng(23)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    words = lambda n: ["".join(random.choice(letters, random.integers(1, 8))) + str(random.integers(10**6))
+                       for _ in range(n)]
+    rows, expected = [], {}
+    for i in range(150):
+        passage, pads = " ".join(words(20)), [" ".join(words(int(random.integers(1, 15)))) for _ in range(5)]
+        rows.append((2 * i, f"{pads[0]} {passage} {pads[1]}"))
+        rows.append((2 * i + 1, f"{pads[2]} {passage} {pads[3]} {passage} {pads[4]}"))
+        expected[2 * i + 1] = f"{pads[2]}  {pads[3]}  {pads[4]}"
+    passage = " ".join(words(20))
+    rows += [(None, f"{word} {passage}") for word in words(2)] + [(999, f"{word} {passage}") for word in words(2)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    kept = [(r._doc.doc_id, r._kept) for r in passage_chunks.strip_passages(spark, frame).collect()]
+    held = {key: text for key, text in kept if key in expected}
+    assert held == expected
+    assert all(text == dict(rows)[key] for key, text in kept if key is not None and key % 2 == 0)
+    assert sorted(passage in text for key, text in kept if key in (None, 999)) == [False] * 3 + [True]
+
+
 def test_forced_cuts_bound_chunks():
     for text in ("same " * 300, "two words " * 150, " ".join(WORDS)):
         raw = np.frombuffer(text.encode(), np.uint8)
