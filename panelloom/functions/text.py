@@ -13,7 +13,10 @@ import os.path
 import unicodedata
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +33,7 @@ DEFAULT_KEYWORDS = (
     "computer vision",
 )
 EXCERPT_CHARS = 500
+SLICE_BYTES = 1 << 20  # of texts that are held as Python strings at once
 # Density bins: name and the largest mention count still inside it.
 DENSITY_BINS = (("zero", 0), ("low", 5), ("medium", 20))
 TOP_DENSITY_BIN = "high"
@@ -95,9 +99,20 @@ def token_count(text: Column) -> Column:
 # -- normalisation -------------------------------------------------------------
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc_batch(text: pd.Series) -> pd.Series:
-    return text.map(lambda value: unicodedata.normalize("NFKC", value), na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _nfkc_batch(text: pa.Array) -> pa.Array:
+    """NFKC of a batch, some texts at a time: only those are held as Python strings."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False))
+    parts, low = [], 0
+    while low < len(text):
+        before = sizes[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
+        values = text.slice(low, high - low).to_pylist()
+        parts.append(
+            pa.array([v if v is None else unicodedata.normalize("NFKC", v) for v in values], pa.string())
+        )
+        low = high
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def _may_change(code: int) -> bool:

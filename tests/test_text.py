@@ -5,8 +5,10 @@ from __future__ import annotations
 import random
 import re
 import time
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,3 +211,15 @@ def test_only_texts_that_can_change_reach_python(spark):
     ranges = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in tx.settled_ranges())
     sent = df.where(F.col("t").rlike(f"[^{ranges}]")).count()
     assert sent == 4
+
+
+def test_nfkc_of_a_batch_holds_some_texts_at_a_time():
+    texts = [None, "", *[f"{i} ｗｉｄｅ ﬁ " * 1_000 for i in range(600)]]
+    batch = pa.array(texts, pa.string())
+    tracemalloc.start()
+    out = tx._nfkc_batch.func(batch)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 8 << 20 < batch.nbytes
+    assert out.to_pylist() == [t and unicodedata.normalize("NFKC", t) for t in texts]
+    assert tx._nfkc_batch.func(batch.slice(0, 0)).to_pylist() == []
