@@ -111,22 +111,34 @@ class ManifestStore:
     ) -> Appended:
         """Add the rows whose key the store lacks, one per key: the first by ``order``."""
         first = first_per_key(batch.select(*self.schema.names), order, self.keys)
-        looked = (
-            first.withColumns({"segment": self._segment(), "_probes": self._probes()})
-            .join(self._filters(), "segment", "left")
-            .withColumn("_maybe", F.coalesce(_all_set("bits", "_probes"), F.lit(False)))
-            .drop("bits", "_probes")
-            .withColumn("bucket", F.col("segment") % F.lit(self.buckets))
-        )
+        looked = first.withColumn("segment", self._segment())
+        filters = self._filters()
+        if filters.isEmpty():  # an empty store: rows need not go to any filter
+            looked = looked.withColumn("_maybe", F.lit(False))
+        else:
+            # Positions are worked out behind the join, so they are not shuffled.
+            looked = (
+                looked.join(filters, "segment", "left")
+                .withColumn("_probes", self._probes())
+                .withColumn("_maybe", F.coalesce(_all_set("bits", "_probes"), F.lit(False)))
+                .drop("bits", "_probes")
+            )
+        looked = looked.withColumn("bucket", F.col("segment") % F.lit(self.buckets))
         looked = self._kept(looked, "looked-up")
         maybe = looked.where("_maybe")
         # At most as many numbers as there are buckets.
         opened = tuple(sorted(r[0] for r in maybe.select("bucket").distinct().collect()))
         fresh = looked.where(~F.col("_maybe"))
         if opened:
+            # Keys alone are compared; of whole rows only the missing ones are gathered.
             known = self.known_keys(opened).withColumn("_known", F.lit(True))
-            missing = maybe.join(known, self.keys, "left").where("_known is null").drop("_known")
-            fresh = self._kept(fresh.unionByName(missing), "fresh")
+            missing = maybe.select(*self.keys).join(known, self.keys, "left").where("_known is null")
+            missing = self._kept(missing.select(*[F.col(k).alias(f"_{k}") for k in self.keys]), "missing")
+            if not missing.isEmpty():
+                same = reduce(
+                    lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys]
+                )
+                fresh = self._kept(fresh.unionByName(maybe.join(missing, same, "left_semi")), "fresh")
         self._write_filters(fresh)
         stored = fresh.select(*self.schema.names, "bucket")
         stored.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(

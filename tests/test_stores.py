@@ -113,6 +113,18 @@ def test_filters_are_merged_after_many_appends(spark, store, monkeypatch):
     assert store.read().count() == 8
 
 
+def test_rows_go_to_no_filter_of_an_empty_store(spark, store, monkeypatch):
+    def asked(*_):
+        raise AssertionError("an empty store has no filters")
+
+    monkeypatch.setattr(stores, "_all_set", asked)
+    rows = [filing(1, "a"), filing(1, "b"), filing(1, "a", "2019-01-01")]
+    assert keys_of(store.append(batch_of(spark, rows)).fresh) == keys_of(batch_of(spark, rows[:2]))
+    monkeypatch.undo()
+    added = store.append(batch_of(spark, [*rows, filing(2, "c")])).fresh
+    assert keys_of(added) == keys_of(batch_of(spark, [filing(2, "c")]))
+
+
 def test_null_keys_and_empty_batches(spark, store):
     assert store.read().count() == 0
     assert store.append(batch_of(spark, [])).fresh.count() == 0
