@@ -21,6 +21,8 @@ KEYWORDS = ("that", "with", "the of", "in the")
 PANEL_YEARS = (1996, 2000)
 PANEL_SOURCE = "documents"
 LANDING = "/landing"
+FILE_BYTES = 64 << 20  # of a landed file of texts, as stored
+FOLDER_FILES = 1000  # small files in one folder, so that few folders are listed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -191,10 +193,27 @@ def histories(filed: DataFrame) -> DataFrame:
 def shard_files(filed: DataFrame) -> DataFrame:
     """Older filings as one JSON file per cik, which is in the file's name only."""
     recent, lists = _history_lists(filed)
-    name = F.concat(F.lit("CIK"), pad("cik", 10), F.lit("-submissions-001.json"))
+    folder = F.floor(F.col("cik").cast("bigint") / FOLDER_FILES).cast("string")
+    name = F.concat(folder, F.lit("/CIK"), pad("cik", 10), F.lit("-submissions-001.json"))
     return recent.select(name.alias("path"), F.encode(F.to_json(lists), "UTF-8").alias("content"))
 
 
+def supplier_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as one text file per key, which is in the file's name only; one name a line."""
+    rows = table(spark, sf_dir, "supplier").select("s_name", "s_suppkey")
+    rows = rows.withColumn("_at", F.monotonically_increasing_id())
+    lines = F.concat(F.coalesce("s_name", F.lit("")), F.lit("\n"))
+    packed = rows.groupBy("s_suppkey").agg(
+        F.array_sort(F.collect_list(F.struct("_at", lines.alias("line")))).alias("_lines")
+    )
+    key = F.coalesce(F.col("s_suppkey").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    folder = F.coalesce(F.floor(F.col("s_suppkey") / FOLDER_FILES).cast("string"), F.lit("none"))
+    return packed.select(
+        F.concat(folder, F.lit("/s_suppkey="), key, F.lit(".txt")).alias("path"),
+        F.encode(F.array_join("_lines.line", ""), "UTF-8").alias("content"),
+    )
+
+
 def lines_as_manifest(lines: DataFrame) -> DataFrame:
     """Line items as manifest rows; the lines of one order and supplier share a key."""
     cik = ids.normalize_cik(F.col("l_suppkey"))

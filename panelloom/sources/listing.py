@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from panelloom.session import scratch_path
 
 TASK_BYTES = 128 << 20
+TASK_FILES = 20_000
+SCHEMES = ("file", "hdfs", "s3", "gs")
 BATCH_BYTES = 16 << 20
 FILES = "path STRING, length BIGINT, modified TIMESTAMP"
 _FOUND = f"{FILES}, folder BOOLEAN"
@@ -52,6 +54,13 @@ def opened(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return system, f"{base.rstrip('/')}/{path}"
 
 
+def opens(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` is a folder of a file system that Arrow opens."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getScheme() in SCHEMES and system.exists(target) and system.isDirectory(target)
+
+
 def _children(folders: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.bool_()]
     for batch in folders:
@@ -96,11 +105,11 @@ def list_files(spark: SparkSession, root: str, tasks: int | None = None) -> Data
 def read_listed(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Content of listed files: ``path`` (without ``file:``) and ``content``.
 
-    Files are dealt by a hash of their path to as many tasks as their bytes ask for; batches
-    hold about ``BATCH_BYTES`` or one file.
+    Files are dealt by a hash of their path to as many tasks as their bytes and number ask for;
+    batches hold about ``BATCH_BYTES`` or one file.
     """
-    total = files.agg(F.sum("length")).first()[0] or 0
-    tasks = max(1, ceil(total / task_bytes))
+    total, number = files.agg(F.sum("length"), F.count("*")).first()
+    tasks = max(1, ceil((total or 0) / task_bytes), ceil(number / TASK_FILES))
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths, data, room = [], [], BATCH_BYTES

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from panelloom import schemas
 from panelloom.functions import identifiers as ids
+from panelloom.sources import listing
 
 # Fixed values -------------------------------------------------------------
 CONTROL_REQUIRED = ("gvkey", "cik", "fyear", "at", "roa", "sic", "emp")
@@ -108,6 +109,18 @@ def transpose_filings(batches: DataFrame, column: str, keep: tuple[str, ...] = (
     return batches.select(*keep, F.inline(rows))
 
 
+def _whole_files(spark: SparkSession, root: str) -> DataFrame:
+    """``name`` and text (``value``) of all files under a folder, found and read by the executors;
+    a single file, a pattern or a store that Arrow does not open is listed by the driver."""
+    if listing.opens(spark, root):
+        files = listing.read_listed(listing.list_files(spark, root))
+        name = F.element_at(F.split("path", "/"), -1)
+        return files.select(name.alias("name"), F.col("content").cast("string").alias("value"))
+    return spark.read.text(root, wholetext=True).select(
+        F.col("_metadata.file_name").alias("name"), "value"
+    )
+
+
 def read_filing_history(
     spark: SparkSession, submissions: str, shards: str | None = None
 ) -> DataFrame:
@@ -125,8 +138,8 @@ def read_filing_history(
     if shards is None:
         return recent
     # A shard carries no id of its own; its file name starts with CIK and ten digits.
-    cik = F.regexp_extract(F.col("_metadata.file_name"), "CIK([0-9]{10})", 1)
-    shard = spark.read.text(shards, wholetext=True).select(
+    cik = F.regexp_extract(F.col("name"), "CIK([0-9]{10})", 1)
+    shard = _whole_files(spark, shards).select(
         cik.alias("cik"), F.from_json("value", schemas.SUBMISSION_SHARD, strict).alias("batch")
     )
     return recent.unionByName(
