@@ -262,9 +262,7 @@ def filing_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed file per supplier, read as bytes and decoded."""
     path = scratch_path(spark, "raw")
-    inputs.table(spark, sf_dir, "supplier").select("s_name", "s_suppkey").write.partitionBy(
-        "s_suppkey"
-    ).text(path)
+    listing.write_files(inputs.supplier_files(spark, sf_dir), path)
     files = scans.read_raw_files(spark, path)
     return files.select(
         F.regexp_extract("path", "s_suppkey=([0-9]+)", 1).cast("bigint").alias("s_suppkey"),
