@@ -687,9 +687,12 @@ def firm_year_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Firm-years added up from a stream of document batches, one of them replayed."""
     landed = scratch_path(spark, "documents")
     documents = inputs.documents(spark, sf_dir)
-    documents.repartition(3, "document_id").write.parquet(landed)
+    files = inputs.files_per_batch(spark, sf_dir, "documents", batches=3)
+    documents.repartition(3 * files, "document_id").write.parquet(landed)
     stream = (
-        spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+        spark.readStream.schema(documents.schema)
+        .option("maxFilesPerTrigger", files)
+        .parquet(landed)
     )
     store = rollup.FirmYearStore(spark, scratch_path(spark, "firm-years"), fold_after=1)
     checkpoint = scratch_path(spark, "checkpoint")

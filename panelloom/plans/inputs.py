@@ -8,6 +8,7 @@ its whole table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,13 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.repartition(tasks) if tasks else rows
 
 
+def files_per_batch(spark: SparkSession, sf_dir: str, name: str, batches: int) -> int:
+    """Files that each of so many batches of a table should land in, by the table's bytes."""
+    sizes = table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size")
+    total = sizes.distinct().agg(F.sum("file_size")).first()[0] or 0
+    return max(1, ceil(total / (batches * FILE_BYTES)))
+
+
 def pad(number: Column | str, width: int) -> Column:
     """Zero-padded number that is never cut."""
     digits = (F.col(number) if isinstance(number, str) else number).cast("string")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelloom import schemas
 from panelloom.operators import quality
-from panelloom.plans import stages
+from panelloom.plans import inputs, stages
 from panelloom.sources import scans, sinks, views
 
 
@@ -224,3 +224,39 @@ def test_stages_without_inputs(spark, tmp_path):
     stages.extract_features(spark, at("documents"), at("features"), at("meta"))
     stages.build_panel(spark, {"a": at("features")}, at("panel"))
     assert spark.read.parquet(at("panel")).columns == ["firm_id", "year"]
+
+
+def test_shards_are_found_in_folders_and_read_without_a_listing_by_the_driver(spark, tmp_path):
+    subs, shards = history_files(tmp_path)
+    everything = scans.filings_as_columns(scans.read_filing_history(spark, subs, shards))
+    before = sorted(map(str, everything.collect()))
+    folder = tmp_path / "shards" / "0"
+    folder.mkdir()
+    for file in list((tmp_path / "shards").glob("*.json")):
+        (folder / file.name).write_bytes(file.read_bytes())
+    history = scans.read_filing_history(spark, subs, str(folder.parent / "0"))
+    assert sorted(map(str, scans.filings_as_columns(history).collect())) == before
+    nested = tmp_path / "nested" / "7"
+    nested.mkdir(parents=True)
+    for file in folder.glob("*.json"):
+        (nested / file.name).write_bytes(file.read_bytes())
+    history = scans.read_filing_history(spark, subs, str(nested.parent))
+    assert sorted(map(str, scans.filings_as_columns(history).collect())) == before
+
+
+def test_supplier_files_lie_in_few_folders(spark, tmp_path):
+    rows = [(i, f"name {i}") for i in range(2500)] + [(7, "again")]
+    frame = spark.createDataFrame(rows, "s_suppkey bigint, s_name string").coalesce(1)
+    frame.write.parquet(str(tmp_path / "supplier.parquet"))
+    files = inputs.supplier_files(spark, str(tmp_path)).collect()
+    assert len(files) == 2500 and len({f.path.split("/")[0] for f in files}) == 3
+    assert {f.path: bytes(f.content) for f in files}["0/s_suppkey=7.txt"] == b"name 7\nagain\n"
+
+
+def test_a_batch_of_texts_lands_in_more_files_as_it_grows(spark, tmp_path, monkeypatch):
+    rows = [(i, "text " * 50 + str(i)) for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    assert inputs.files_per_batch(spark, str(tmp_path), "documents", 3) == 1
+    monkeypatch.setattr(inputs, "FILE_BYTES", 1000)
+    assert inputs.files_per_batch(spark, str(tmp_path), "documents", 3) > 1
