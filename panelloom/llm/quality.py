@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -85,13 +86,16 @@ def context_sums(docs: DataFrame, text_col: str) -> DataFrame:
         for batch in batches:
             for _, _, texts in text_runs(batch.column(0), SLICE_BYTES):
                 add_contexts(total, seen, [buckets(t, hashes) for t in texts])
+        batch = texts = None  # the texts are gone before the sums go out
+        hashes.clear()
+        release()
         used = np.flatnonzero(seen)
         for low in range(0, len(used), 4096):
             part = used[low : low + 4096]
             arrays = [pa.array(part), pa.array(seen[part])]
             arrays += [pa.array(np.ascontiguousarray(total[part, i])) for i in range(WIDTH)]
             yield pa.RecordBatch.from_arrays(arrays, ["bucket", "n", *COLUMNS])
-        del total, seen, hashes
+        del total, seen
         release()
 
     shape = ", ".join(f"{name} BIGINT" for name in ("bucket", "n", *COLUMNS))
@@ -208,6 +212,24 @@ def _loss(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(-(labels * np.log(p) + (1 - labels) * np.log(1 - p)).mean())
 
 
+def scored_slices(
+    docs: pa.Array, texts: pa.Array, table: np.ndarray, network: Network, hashes: Hashes
+) -> Iterator[pa.RecordBatch]:
+    """``_doc`` and ``_score`` of a batch, some texts at a time: the JVM holds each batch that
+    comes back beside the one it sends."""
+    vectors, cuts = np.empty((len(docs), POOLED), np.float32), []
+    for low, high, run in text_runs(texts, SLICE_BYTES):
+        for i, text in enumerate(run, low):
+            vectors[i] = pooled(text, table, hashes)
+        cuts.append((low, high))
+    values = network.scores(vectors)
+    del vectors
+    for low, high in cuts:
+        yield pa.RecordBatch.from_arrays(
+            [docs.slice(low, high - low), pa.array(values[low:high], pa.float64())], ["_doc", "_score"]
+        )
+
+
 def held_out(id_col: Column) -> Column:
     """Rows whose labels are never learned from."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -237,6 +259,9 @@ def score_documents(
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_label"), pa.array(rows, pa.binary())], ["_label", "_vector"]
             )
+        batch = rows = None
+        hashes.clear()
+        release()
 
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
     known = known.where(F.col("_label").isNotNull() & F.col("_id").isNotNull() & ~held_out(F.col("_id")))
@@ -253,23 +278,24 @@ def score_documents(
     order = np.lexsort((*vectors.T[:4], found))  # the order of tasks must not matter
     network = spark.sparkContext.broadcast(Network(vectors[order], found[order]))
 
+    # The struct has the text already: a second copy would double what Python and the JVM hold.
+    within = docs.columns.index(text_col) if text_col in docs.columns and "." not in text_col else None
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
-        for batch in batches:
-            rows = [
-                pooled(text, table.value, hashes)
-                for _, _, texts in text_runs(batch.column("_text"), SLICE_BYTES)
-                for text in texts
-            ]
-            values = network.value.scores(np.array(rows, np.float32).reshape(-1, POOLED))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_doc"), pa.array(values, pa.float64())], ["_doc", "_score"]
-            )
+
+        def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            rows = batch.column("_doc")
+            texts = batch.column("_text") if within is None else rows.field(within)
+            return scored_slices(rows, texts, table.value, network.value, hashes)
+
+        yield from chain.from_iterable(map(slices, batches))
+        hashes.clear()
         release()
 
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"),
-        F.col(text_col).alias("_text"),
+        *([F.col(text_col).alias("_text")] if within is None else []),
     )
     kind = rows.schema["_doc"].dataType.simpleString()
     return rows.mapInArrow(score, f"_doc {kind}, _score DOUBLE")

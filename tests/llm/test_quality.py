@@ -97,3 +97,38 @@ def test_accuracy_with_many_words_a_bucket(monkeypatch):
     network = quality.Network(vectors[~held], known[~held])
     right = (network.scores(vectors[held]) >= 0.5) == known[held]
     assert right.mean() >= 0.9
+
+
+def test_scored_texts_are_held_once(spark):
+    """The text goes to Python within its document only."""
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1), (5, 0), (6, 1)], "doc_id bigint, quality int")
+    scored = quality.score_documents(spark, docs, labels)
+    sent = scored._jdf.queryExecution().optimizedPlan().children().apply(0).output()
+    assert [sent.apply(i).name() for i in range(sent.size())] == ["_doc"]
+    found = {r["_doc"].doc_id: (r["_doc"].text, r["_score"]) for r in scored.collect()}
+    assert {i: text for i, (text, _) in found.items()} == dict(rows)
+    # A text that is no column of its own is sent beside the document.
+    inner = docs.selectExpr("doc_id", "struct(text) AS body")
+    beside = quality.score_documents(spark, inner, labels, text_col="body.text").collect()
+    assert {r["_doc"].doc_id: r["_score"] for r in beside} == {i: s for i, (_, s) in found.items()}
+
+
+def test_scored_texts_come_back_in_slices():
+    """A batch comes back some texts at a time, with the scores it has as a whole."""
+    random = np.random.default_rng(3)
+    names = [f"word{i}" for i in range(500)]
+    texts = [None, "", *(" ".join(random.choice(names, n)) for n in random.integers(1, 8000, 120))]
+    table = random.normal(size=(quality.BUCKETS, 2 * quality.WIDTH + 2)).astype(np.float32) ** 2
+    hashes = quality.Hashes()
+    vectors = np.stack([quality.pooled(t or "", table, hashes) for t in texts])
+    network = quality.Network(vectors, np.arange(len(texts)) % 2)
+    docs = pa.array([{"doc_id": i, "text": t} for i, t in enumerate(texts)])
+    parts = list(quality.scored_slices(docs, docs.field(1), table, network, hashes))
+    longest = max(len(t or "") for t in texts)
+    assert sum(p.column("_doc").nbytes for p in parts) > 4 * quality.SLICE_BYTES
+    assert all(p.column("_doc").nbytes < quality.SLICE_BYTES + longest + 16 * p.num_rows + 64 for p in parts)
+    whole = pa.Table.from_batches(parts)
+    assert whole.column("_doc").to_pylist() == docs.to_pylist()
+    assert whole.column("_score").to_pylist() == network.scores(vectors).tolist()
