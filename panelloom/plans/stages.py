@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from panelloom import schemas
 from panelloom.functions import text as tx
 from panelloom.operators import features, filings, mapping, metrics, panel, sampling
-from panelloom.session import scratch_path
+from panelloom.session import kept, scratch_path
 from panelloom.sources import listing, scans, sinks
 from panelloom.sources.manifest_store import ManifestStore
 from panelloom.sources.mapping_store import MappingStore
@@ -79,7 +79,7 @@ def ingest_into(
     rows = _wanted_rows(
         history, universe, mapping_store.read(), root, forms, start_year, end_year
     )
-    return store.append(rows).fresh
+    return store.append(kept(store.spark, rows, "wanted")).fresh
 
 
 def bundle_files(spark: SparkSession, root: str, table: str, buckets: int) -> int:

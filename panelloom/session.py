@@ -7,8 +7,10 @@ import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does the skew and partition-size work: reducers are merged
 # to the advisory size, hot partitions of joins are split, and a side is broadcast
@@ -80,3 +82,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A frame written to the scratch folder and read from there, so it is computed once."""
+    path = scratch_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session options that hold inside the block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -4,8 +4,10 @@ Rows lie in ``buckets`` folders by a hash of their key. Beside them is a table o
 filters: keys are hashed to ``segments`` (several to a bucket), and each segment has one bitmap
 of 32,768 bits, in which every key sets ``PROBES`` bits. An append looks its keys up in the
 bitmaps of their segments. Keys that a bitmap rules out are new. Only the buckets of the other
-keys are opened, key columns alone, and an anti-join there decides exactly. So a batch of new keys
-reads the filters (two bytes a key, as laid out) and next to none of the rows.
+keys are opened, key columns alone, and a comparison there decides exactly. So a batch of new keys
+reads the filters (two bytes a key, as laid out) and next to none of the rows. Whole rows of a
+batch are shuffled once, by bucket, together with the keys of the opened buckets; of a batch that
+is known but for a few keys, only the rows of these.
 
 Filters only ever say "maybe" too often: a store that outgrows its layout opens more buckets
 and stays right. Filters are written before rows. If an append dies between the two, its keys
@@ -17,6 +19,7 @@ filters are a generation of their own, read only once it is complete. One writer
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import AbstractContextManager
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
@@ -27,7 +30,7 @@ from pyspark.sql import types as T
 
 from panelloom import schemas
 from panelloom.operators.filings import MANIFEST_KEYS, first_per_key
-from panelloom.session import scratch_path
+from panelloom.session import kept, settings
 from panelloom.sources.scans import read_stage_if_exists
 from panelloom.sources.sinks import committed_folders, remove_folder
 
@@ -35,6 +38,12 @@ BITS = 32_768  # of one bitmap; Spark's bitmap functions fix this number
 PROBES = 6
 BITS_PER_KEY = 16
 COMPACT_AFTER = 16  # appends whose filters are read side by side
+SLICE_SEGMENTS = 64  # of a bucket, dealt as one: about 130,000 keys
+TASK_ROWS = 1_500_000  # of a task that sorts rows it has read from files
+KNOWN_SHARE = 0.9  # above it keys are compared before whole rows are moved
+HOT_ROWS = 500_000  # in one segment, which is laid out for 2,048 keys
+HOT_SEGMENTS = 1000  # at most so many are named to all tasks
+EARLY, EARLY_ROWS = 64, 1_000_000  # one key of so many is asked first, in a batch of more rows
 
 _LAYOUT = T.StructType(
     [T.StructField("buckets", T.IntegerType()), T.StructField("segments", T.IntegerType())]
@@ -100,60 +109,148 @@ class ManifestStore:
         found = committed_folders(self.spark, self.filters_root)
         return max((int(name) for name in found), default=0)
 
+    def _parts(self) -> DataFrame:
+        """Bitmaps of the newest generation, several to a segment."""
+        newest = f"{self.filters_root}/{self._generation()}"
+        return read_stage_if_exists(self.spark, newest, _FILTERS)
+
     def _filters(self) -> DataFrame:
         """One bitmap per segment."""
-        newest = f"{self.filters_root}/{self._generation()}"
-        parts = read_stage_if_exists(self.spark, newest, _FILTERS)
-        return parts.groupBy("segment").agg(F.bitmap_or_agg("bits").alias("bits"))
+        return self._parts().groupBy("segment").agg(F.bitmap_or_agg("bits").alias("bits"))
 
     def append(
         self, batch: DataFrame, order: Sequence[str] = ("filing_date", "primary_document")
     ) -> Appended:
-        """Add the rows whose key the store lacks, one per key: the first by ``order``."""
-        first = first_per_key(batch.select(*self.schema.names), order, self.keys)
-        looked = first.withColumn("segment", self._segment())
-        filters = self._filters()
-        if filters.isEmpty():  # an empty store: rows need not go to any filter
-            looked = looked.withColumn("_maybe", F.lit(False))
-        else:
-            # Positions are worked out behind the join, so they are not shuffled.
-            looked = (
-                looked.join(filters, "segment", "left")
+        """Add the rows whose key the store lacks, one per key: the first by ``order``.
+
+        The batch is computed several times (rows are counted, filters asked, rows dealt), so it
+        must give the same keys each time; keep one that is costly to compute.
+        """
+        rows = batch.select(*self.schema.names).withColumn("_new", F.lit(True))
+        number, hot = self._counted(rows)
+        opened, known_share = self._opened(rows, number)
+        if hot:  # rows of a key that comes very often shrink before they meet in one task
+            ranked = ("_new", *order)
+            often = first_per_key(rows.where(self._segment().isin(hot)), ranked, self.keys)
+            rows = rows.where(~self._segment().isin(hot)).unionByName(often)
+        with self._settings(batch.sparkSession, number):
+            if opened:
+                # Known keys rank first in their key. A key with a null in it is never known.
+                known = self._stored_keys(opened).dropna().withColumn("_new", F.lit(False))
+                if known_share > KNOWN_SHARE:
+                    rows = self._missing(rows, known, opened)
+                else:
+                    rows = rows.unionByName(known, allowMissingColumns=True)
+            first = self._firsts(rows, order).select(*self.schema.names, "segment", "bucket")
+            fresh = self._kept(first, "fresh")
+        with self._settings(self.spark, fresh.count()):
+            self._write_filters(fresh)
+            stored = fresh.select(*self.schema.names, "bucket")
+            packed = stored.write.mode("append").option("compression", "zstd")
+            packed.partitionBy("bucket").parquet(self.rows_path)
+        return Appended(stored.drop("bucket"), opened)
+
+    def _firsts(self, rows: DataFrame, order: Sequence[str]) -> DataFrame:
+        """The new row of each key that has no known one.
+
+        Rows are dealt once: those of a key and its known key meet, and lie by bucket as stored.
+        Places are worked out again behind the shuffle, so they are not shuffled.
+        """
+        place = self._place()
+        dealt = rows.repartition(place["bucket"], place["slice"]).withColumns(place)
+        return first_per_key(dealt, ("_new", *order), [*place, *self.keys]).where("_new")
+
+    def _missing(self, rows: DataFrame, known: DataFrame, opened: tuple[int, ...]) -> DataFrame:
+        """Rows whose keys are not known. Keys alone are compared, and of whole rows only those of
+        missing keys are gathered, which are few where this is asked."""
+        inside = self._place()["bucket"].isin(list(opened))
+        outside = F.lit(False) if len(opened) == self.buckets else ~inside
+        keys = rows.where(inside).select(*self.keys, "_new").unionByName(known)
+        names = [F.col(k).alias(f"_{k}") for k in self.keys]
+        missing = self._kept(self._firsts(keys, ()).select(*names), "missing")
+        unopened = rows.where(outside)
+        if missing.isEmpty():
+            return unopened
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys])
+        return unopened.unionByName(rows.where(inside).join(missing, same, "left_semi"))
+
+    def _place(self) -> dict[str, Column]:
+        """Bucket of a row, the slice of the bucket that one task takes, and segment."""
+        slices = ceil(self.segments / self.buckets / SLICE_SEGMENTS)
+        group = F.floor(self._segment() / F.lit(self.buckets)) % F.lit(slices)
+        bucket = self._segment() % F.lit(self.buckets)
+        return {"bucket": bucket, "slice": group.cast("int"), "segment": self._segment()}
+
+    def _counted(self, rows: DataFrame) -> tuple[int, list[int]]:
+        """Number of rows, and the segments with too many of them for one task."""
+        counts = rows.groupBy(self._segment().alias("segment")).count()
+        large = F.when(F.col("count") > HOT_ROWS, F.struct("count", "segment"))
+        largest = F.slice(F.sort_array(F.collect_list(large), asc=False), 1, HOT_SEGMENTS)
+        found = counts.agg(F.sum("count").alias("rows"), largest["segment"].alias("hot")).first()
+        return found["rows"] or 0, found["hot"]
+
+    def _opened(self, rows: DataFrame, number: int) -> tuple[tuple[int, ...], float]:
+        """Buckets in which a bitmap says "maybe" to some key of the rows, and the share of the
+        rows asked first that hear it.
+
+        Of many rows those of some keys are asked first. The other keys of buckets that these open
+        need not be asked.
+        """
+        if self._parts().isEmpty():
+            return (), 0.0
+        filters, opened, share = self._filters(), set(), None
+        bucket = self._place()["bucket"]
+        early = F.pmod(F.xxhash64(*self.keys, F.lit(PROBES)), F.lit(EARLY)) == 0
+        for asked in (early, ~early) if number > EARLY_ROWS else (F.lit(True),):
+            if len(opened) == self.buckets:
+                break
+            keys = rows.where(asked & ~bucket.isin(list(opened))).select(*self.keys)
+            maybe = (
+                # Positions are worked out behind the join, so they are not shuffled.
+                keys.withColumn("segment", self._segment())
+                .join(filters, "segment", "left")
                 .withColumn("_probes", self._probes())
                 .withColumn("_maybe", F.coalesce(_all_set("bits", "_probes"), F.lit(False)))
-                .drop("bits", "_probes")
             )
-        looked = looked.withColumn("bucket", F.col("segment") % F.lit(self.buckets))
-        looked = self._kept(looked, "looked-up")
-        maybe = looked.where("_maybe")
-        # At most as many numbers as there are buckets.
-        opened = tuple(sorted(r[0] for r in maybe.select("bucket").distinct().collect()))
-        fresh = looked.where(~F.col("_maybe"))
-        if opened:
-            # Keys alone are compared; of whole rows only the missing ones are gathered.
-            known = self.known_keys(opened).withColumn("_known", F.lit(True))
-            missing = maybe.select(*self.keys).join(known, self.keys, "left").where("_known is null")
-            missing = self._kept(missing.select(*[F.col(k).alias(f"_{k}") for k in self.keys]), "missing")
-            if not missing.isEmpty():
-                same = reduce(
-                    lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys]
-                )
-                fresh = self._kept(fresh.unionByName(maybe.join(missing, same, "left_semi")), "fresh")
-        self._write_filters(fresh)
-        stored = fresh.select(*self.schema.names, "bucket")
-        stored.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(
-            self.rows_path
+            # At most as many rows as there are buckets.
+            counts = maybe.groupBy(bucket.alias("bucket")).agg(
+                F.count("*").alias("asked"), F.count_if("_maybe").alias("maybe")
+            )
+            found = counts.collect()
+            opened |= {r["bucket"] for r in found if r["maybe"]}
+            if share is None:
+                share = sum(r["maybe"] for r in found) / max(1, sum(r["asked"] for r in found))
+        return tuple(sorted(opened)), share
+
+    def _settings(self, spark: SparkSession, rows: int) -> AbstractContextManager[None]:
+        """Files are read by so many tasks that each sorts its rows in memory, and shuffle files go
+        when a write ends, not when the driver next collects garbage."""
+        key = "spark.sql.files.minPartitionNum"
+        least = int(spark.conf.get(key, None) or spark.sparkContext.defaultParallelism)
+        return settings(
+            spark,
+            {key: str(max(least, ceil(rows / TASK_ROWS))),
+             "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"},
         )
-        return Appended(stored.drop("bucket"), opened)
 
     def known_keys(self, buckets: Sequence[int]) -> DataFrame:
         """Keys in some buckets; the other buckets' folders are not read."""
-        return self._rows().where(F.col("bucket").isin(list(buckets))).select(*self.keys).distinct()
+        return self._stored_keys(buckets).distinct()
+
+    def _stored_keys(self, buckets: Sequence[int]) -> DataFrame:
+        return self._rows().where(F.col("bucket").isin(list(buckets))).select(*self.keys)
 
     def _write_filters(self, fresh: DataFrame) -> None:
-        bits = fresh.select("segment", F.explode(self._probes()).alias("_probe")).groupBy(
-            "segment"
-        ).agg(F.bitmap_construct_agg("_probe").alias("bits"))
+        # One row per key is sorted, not one per position.
+        probes = fresh.select("segment", self._probes().alias("_probes")).select(
+            "segment", *[F.col("_probes")[i].alias(f"_probe{i}") for i in range(PROBES)]
+        )
+        each = probes.groupBy("segment").agg(
+            F.array(*[F.bitmap_construct_agg(f"_probe{i}") for i in range(PROBES)]).alias("_each")
+        )
+        bits = each.select("segment", F.explode("_each").alias("bits")).groupBy("segment").agg(
+            F.bitmap_or_agg("bits").alias("bits")
+        )
         generation = self._generation()
         newest = f"{self.filters_root}/{generation}"
         parts = read_stage_if_exists(self.spark, newest, _FILTERS)
@@ -167,9 +264,7 @@ class ManifestStore:
         bits.withColumn("part", F.lit(f"append-{number}")).write.mode("append").parquet(newest)
 
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(self.spark, name)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return kept(self.spark, df, name)
 
 
 def _all_set(bits: str, probes: str) -> Column:

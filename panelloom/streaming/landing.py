@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from panelloom import schemas
 from panelloom.operators import filings
+from panelloom.session import kept
 from panelloom.sources.manifest_store import ManifestStore
 from panelloom.sources.scans import raw_file_rows, read_stage_if_exists
 
@@ -59,7 +60,9 @@ def append_stream_to_store(
     """As ``append_stream``, into a store that opens only buckets which may hold a batch's keys."""
 
     def append(batch: DataFrame, _epoch: int) -> None:
-        store.append(to_manifest(batch) if to_manifest else batch, order)
+        # An append computes its rows several times; what has landed is read once.
+        rows = to_manifest(batch) if to_manifest else batch
+        store.append(kept(store.spark, rows.select(*store.schema.names), "landed"), order)
 
     return _started(batches, append, checkpoint)
 

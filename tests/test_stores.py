@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import pathlib
 import random
 import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from panelloom import schemas
+from panelloom import schemas, session
 from panelloom.operators import features, sampling
 from panelloom.operators import mapping as maps
 from panelloom.plans import stages
@@ -125,6 +126,105 @@ def test_rows_go_to_no_filter_of_an_empty_store(spark, store, monkeypatch):
     assert keys_of(added) == keys_of(batch_of(spark, [filing(2, "c")]))
 
 
+def wide_batch(spark, numbers):
+    """Rows with a path of 4,000 random characters each."""
+    path = lambda i: "".join(random.Random(i).choices("0123456789abcdefghijklmnopqrstuv", k=4_000))
+    rows = [(*filing(i % 7, f"a{i}")[:8], path(i)) for i in numbers]
+    return spark.createDataFrame(rows, schemas.MANIFEST)
+
+
+def row_shuffles(df):
+    """Shuffles in a frame's plan whose rows have more than keys in them."""
+
+    def of(node):
+        children = node.children()
+        below = sum(of(children.apply(i)) for i in range(children.size()))
+        return below + (node.nodeName() == "Exchange" and node.output().size() > 3)
+
+    plan = df._jdf.queryExecution().executedPlan()
+    return of(plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)
+
+
+def test_whole_rows_are_shuffled_once(spark, store, monkeypatch, settings):
+    """Once by bucket, whatever the filters' size, and not again when they are stored."""
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    frames, kept, write = [], store._kept, type(spark.range(1).write).parquet
+    monkeypatch.setattr(store, "_kept", lambda df, name: frames.append(df) or kept(df, name))
+
+    def seen(writer, path, *args, **options):
+        if path == store.rows_path:
+            frames.append(writer._df)
+        return write(writer, path, *args, **options)
+
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", seen)
+    for numbers in (range(60), range(30, 150)):
+        frames.clear()
+        store.append(wide_batch(spark, numbers))
+        assert [row_shuffles(df) for df in frames] == [1, 0]
+    assert store.read().count() == 150
+
+
+def test_a_replay_moves_keys_alone(spark, store):
+    """No row of a known batch is shuffled or lands in the scratch folder."""
+    root = pathlib.Path(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    size = lambda: sum(f.stat().st_size for f in root.rglob("*") if f.is_file())
+    batch = wide_batch(spark, range(200))
+    assert store.append(batch).fresh.count() == 200
+    before = size()
+    assert store.append(batch).fresh.count() == 0
+    assert size() - before < 100_000  # of some 500,000 bytes
+    late = wide_batch(spark, range(203))
+    added = store.append(late).fresh.collect()
+    wanted = late.where("accession_number in ('a200', 'a201', 'a202')").collect()
+    assert sorted(added) == sorted(wanted)
+    assert sorted(store.read().collect()) == sorted(late.collect())
+
+
+@pytest.mark.parametrize("known_share", [-1.0, 0.9, 2.0])  # keys first, as it is, rows first
+def test_large_batches_against_brute_force(spark, store, monkeypatch, known_share):
+    """With keys asked in two rounds, and with keys that come too often for one task."""
+    limits = {"EARLY_ROWS": 0, "EARLY": 3, "HOT_ROWS": 40, "KNOWN_SHARE": known_share, "SLICE_SEGMENTS": 1}
+    for name, value in limits.items():
+        monkeypatch.setattr(stores, name, value)
+    store.segments = 4 * store.buckets
+    hot, counted = [], store._counted
+    monkeypatch.setattr(store, "_counted", lambda rows: hot.append(counted(rows)) or hot[-1])
+    rng = random.Random(5)
+    held, nulls = {}, 0
+    for step in range(3):
+        rows = [
+            filing(rng.randrange(5), f"a{rng.randrange(40 * (step + 1))}",
+                   f"20{rng.randrange(10, 20)}-01-01", str(rng.randrange(9)))
+            for _ in range(200)
+        ]
+        rows += [filing(1, "often", f"2010-01-{i % 28 + 1:02d}", str(i)) for i in range(100)]
+        rows += [(*r[:2], None, *r[3:]) for r in rows[:2]]
+        new = {}
+        for r in sorted(rows, key=lambda r: (r[5], r[7])):
+            if (r[2], r[3]) not in held or r[2] is None:
+                new.setdefault((r[2], r[3]), r)
+        fresh = store.append(batch_of(spark, rows)).fresh.collect()
+        assert {(r.cik, r.accession_number): (r.filing_date, r.primary_document) for r in fresh} == {
+            k: (r[5], r[7]) for k, r in new.items()}
+        assert len(fresh) == len(new)
+        held |= new
+        nulls += sum(k[0] is None for k in new)  # a null key is never known
+        assert store.read().count() == sum(k[0] is not None for k in held) + nulls
+    assert all(number == 302 and len(segments) >= 1 for number, segments in hot)
+
+
+def test_an_append_leaves_the_session_as_it_was(spark, store, settings):
+    least = "spark.sql.files.minPartitionNum"
+    settings({least: "3"})
+    seen = []
+    with session.settings(spark, {least: "5", "panelloom.test": "x"}):
+        seen += [spark.conf.get(least), spark.conf.get("panelloom.test")]
+    store.append(batch_of(spark, [filing(1, "a")]))
+    assert seen == ["5", "x"] and spark.conf.get("panelloom.test", None) is None
+    assert spark.conf.get(least) == "3"
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_null_keys_and_empty_batches(spark, store):
     assert store.read().count() == 0
     assert store.append(batch_of(spark, [])).fresh.count() == 0
